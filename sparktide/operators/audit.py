@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparktide.functions import conversion, temporal
-from sparktide.operators import predicates
+from sparktide.operators import joins, predicates
 
 # Device types a backup can be written to; fixed values of the export.
 DEVICE_TYPES = {2: "Disk", 5: "Tape", 7: "Virtual Device", 9: "Azure Storage"}
@@ -33,9 +33,8 @@ def privileged_principals(principals: DataFrame, permissions: DataFrame) -> Data
         F.col("state").isin("G", "W") & (F.col("class") == 100) & (F.col("type") == "CL")
     )
     named = principals.where(~F.col("name").like("##%##"))
-    return named.join(
-        granted, named["principal_id"] == granted["grantee_principal_id"], "left_semi"
-    ).select("name", "type_desc", "is_disabled")
+    privileged = joins.semi_join_in(named, granted, "principal_id", "grantee_principal_id")
+    return privileged.select("name", "type_desc", "is_disabled")
 
 
 def weak_passwords(credentials: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ splits it.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,17 +33,18 @@ def chain_roots(edges: DataFrame, scope: str, node: str, parent: str) -> DataFra
     doubling.
     """
     start = edges.select(scope, node, parent, F.col(parent).alias("root"), F.lit(False).alias("found"))
-    state = materialise(start.where(F.col(parent).isNotNull()), "roots")
-    _check_single_holder(state, [scope, node])
+    waiting = materialise(start.where(F.col(parent).isNotNull()), "roots")
+    _check_single_holder(waiting, [scope, node])
+    settled: list[DataFrame] = []
     open_before = None
     while True:
-        above = state.select(
+        # A round rewrites only the rows still waiting; settled ones stay where they are.
+        above = reduce(DataFrame.unionByName, settled, waiting).select(
             F.col(scope).alias("_scope"),
             F.col(node).alias("_node"),
             F.col("root").alias("_root"),
             F.col("found").alias("_found"),
         )
-        waiting = state.where(~F.col("found"))
         on = (F.col(scope) == F.col("_scope")) & (F.col("root") == F.col("_node"))
         moved = waiting.join(above, on, "left").select(
             scope,
@@ -52,11 +54,13 @@ def chain_roots(edges: DataFrame, scope: str, node: str, parent: str) -> DataFra
             # Nobody blocks the pointed-to session, or its own head is known.
             (F.col("_node").isNull() | F.col("_found")).alias("found"),
         )
-        state = materialise(state.where("found").unionByName(moved), "roots")
-        still_open = state.where(~F.col("found")).count()
+        moved = materialise(moved, "roots")
+        settled.append(moved.where(F.col("found")))
+        waiting = moved.where(~F.col("found"))
+        still_open = waiting.count()
         # Depths are contiguous: a round that settles nobody leaves only cycles.
         if still_open == 0 or still_open == open_before:
-            return state.where("found").drop("found")
+            return reduce(DataFrame.unionByName, settled).drop("found")
         open_before = still_open
 
 
@@ -84,8 +88,11 @@ def _cycle_edges(edges: DataFrame) -> DataFrame:
     Following 2^k edges at once, the set of sessions that can be arrived at
     shrinks until it is exactly the sessions on cycles.
     """
-    state = materialise(edges.withColumn("at", F.col("holder")), "jumps")
-    _check_single_holder(state, ["waiter"])
+    _check_single_holder(edges, ["waiter"])
+    # Most waiters block nobody; they and the crowd behind one holder go first.
+    holders = edges.select(F.col("holder").alias("held")).distinct()
+    blocking = edges.join(holders, edges["waiter"] == holders["held"], "left_semi")
+    state = materialise(blocking.withColumn("at", F.col("holder")), "jumps")
     seen = None
     while True:
         arrived = materialise(state.select(F.col("at").alias("member")).distinct(), "arrived")

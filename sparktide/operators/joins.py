@@ -30,8 +30,13 @@ def distinct_join(
 
 
 def semi_join_in(parent: DataFrame, child: DataFrame, parent_key: str, child_key: str) -> DataFrame:
-    """Parents that have a child: no duplicates arise, so none are removed."""
-    return parent.join(child, parent[parent_key] == child[child_key], "left_semi")
+    """Parents that have a child: no duplicates of a parent arise, so none are removed.
+
+    The child keys are reduced to distinct ones before they are shuffled, so
+    neither many children per parent nor one parent with very many cost more.
+    """
+    keys = child.select(child_key).distinct()
+    return parent.join(keys, parent[parent_key] == keys[child_key], "left_semi")
 
 
 def wide_join(frames, keys, predicate: Column, cols: Sequence[str]) -> DataFrame:
@@ -63,13 +68,15 @@ def staged_join(
 
 def anti_join_left_null(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Outer join and keep the unmatched: every match is built before it is dropped."""
-    marked = right.select(F.col(right_key).alias("_right_key"))
+    marked = right.select(F.col(right_key).alias("_right_key")).distinct()
     joined = left.join(marked, left[left_key] == marked["_right_key"], "left")
     return joined.where(F.col("_right_key").isNull()).drop("_right_key")
 
 
 def anti_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    return left.join(right, left[left_key] == right[right_key], "left_anti")
+    """Rows of ``left`` without a partner; the partner keys are reduced first."""
+    keys = right.select(right_key).distinct()
+    return left.join(keys, left[left_key] == keys[right_key], "left_anti")
 
 
 def or_across_tables(

@@ -6,11 +6,17 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Up to this many rows Spark's own top-k keeps the rows of every task in one
 # final task; beyond it the rows are cut at a key found by counting.
 SMALL_TOP = 10_000
 
+# Half width of the bracket around a wanted key, as a share of the rows, and
+# the accuracy of the quantiles it is taken from.
+BRACKET = 0.001
+QUANTILE_ACCURACY = 10_000
+
 
 def sort_columns(spec: str) -> list[Column]:
     """Columns of a ``[name] DESC, [other]`` specification."""
@@ -41,55 +47,78 @@ def limit_any(df: DataFrame, n: int) -> DataFrame:
     return df.limit(n)
 
 
-def _upper_bound(rows: DataFrame, key: str, n: int):
-    """A key with at least ``n`` rows up to it and not many more, or None for all."""
-    total = rows.agg(F.count(key)).head()[0]
-    if n >= total:
-        return total, None
-    share = min(1.0, 1.5 * n / total)
-    while share < 1.0:
-        bound = rows.agg(F.percentile_approx(key, share, 10_000)).head()[0]
-        held = rows.where(F.col(key) <= bound).count()
-        if held >= n:
-            return total, bound
-        share = min(1.0, share * 2)
-    return total, None
+def _countable(df: DataFrame, key: str) -> bool:
+    return isinstance(df.schema[key].dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
+def _key_at(rows: DataFrame, key: str, n: int, size: int):
+    """The ``n``-th smallest of ``size`` keys, by narrowing a bracket around it.
+
+    Each round takes two quantiles close to the wanted place and counts on
+    which side of them it falls, so a bracket shrinks a few hundred times per
+    pass and only a small one is ever sorted. The two quantiles themselves
+    leave the bracket, so a key with very many rows ends the search.
+    """
+    want = n
+    value = F.col(key)
+    while size > SMALL_TOP:
+        place = want / size
+        shares = [max(0.0, place - BRACKET), min(1.0, place + BRACKET)]
+        a, b = rows.agg(F.percentile_approx(key, shares, QUANTILE_ACCURACY)).head()[0]
+        below_a, to_a, below_b, to_b = rows.agg(
+            F.count_if(value < F.lit(a)),
+            F.count_if(value <= F.lit(a)),
+            F.count_if(value < F.lit(b)),
+            F.count_if(value <= F.lit(b)),
+        ).head()
+        if below_a < want <= to_a:
+            return a
+        if to_a < want and below_b < want <= to_b:
+            return b
+        if want <= below_a:
+            rows, size = rows.where(value < F.lit(a)), below_a
+        elif want <= below_b:
+            rows = rows.where((value > F.lit(a)) & (value < F.lit(b)))
+            want, size = want - to_a, below_b - to_a
+        else:
+            rows, want, size = rows.where(value > F.lit(b)), want - to_b, size - to_b
+    return rows.orderBy(key).limit(want).agg(F.max(key)).head()[0]
 
 
 def nth_key(df: DataFrame, key: str, after, n: int) -> DataFrame:
     """The ``n``-th key above ``after``, or the last one if fewer are left.
 
-    One row with column ``nth_key``; null when no key lies above. A counted
-    upper bound keeps the final sort to a few times ``n`` rows however large
-    the table is.
+    One row with column ``nth_key``; null when no key lies above. A far key is
+    found by counting (runs jobs), a near one by a plain top-k.
     """
     rows = df.where(F.col(key) > F.lit(after)).select(key)
-    if n > SMALL_TOP:
-        total, bound = _upper_bound(rows, key, n)
-        if n >= total:
+    if n > SMALL_TOP and _countable(df, key):
+        size = rows.count()
+        if n >= size:
             return rows.agg(F.max(key).alias("nth_key"))
-        if bound is not None:
-            rows = rows.where(F.col(key) <= F.lit(bound))
+        last = _key_at(rows, key, n, size)
+        return rows.where(F.col(key) == F.lit(last)).agg(F.max(key).alias("nth_key"))
     return rows.orderBy(key).limit(n).agg(F.max(key).alias("nth_key"))
 
 
 def first_rows(df: DataFrame, key: str, n: int) -> DataFrame:
-    """The ``n`` rows with the smallest non-null keys, without one task holding them.
+    """The ``n`` rows with the smallest non-null keys.
 
-    Rows that tie at the last key are taken in any order, just enough of them.
+    A large ``n`` is a comparison with the n-th key, so no task holds the
+    rows. Rows that tie at that key are taken in any order, just enough of them.
     """
-    if n <= SMALL_TOP:
-        return df.where(F.col(key).isNotNull()).orderBy(key).limit(n)
-    total, bound = _upper_bound(df, key, n)
-    if n >= total:
-        return df.where(F.col(key).isNotNull())
-    near = df if bound is None else df.where(F.col(key) <= F.lit(bound))
-    last = near.select(key).where(F.col(key).isNotNull()).orderBy(key).limit(n).agg(F.max(key)).head()[0]
-    below = df.where(F.col(key) < F.lit(last))
-    ties = df.where(F.col(key) == F.lit(last)).limit(n - below.count())
-    return below.unionByName(ties)
+    keyed = df.where(F.col(key).isNotNull())
+    if n <= SMALL_TOP or not _countable(df, key):
+        return keyed.orderBy(key).limit(n)
+    size = keyed.count()
+    if n >= size:
+        return keyed
+    last = F.lit(_key_at(keyed.select(key), key, n, size))
+    below, ties = df.where(F.col(key) < last), df.where(F.col(key) == last)
+    missing, tied = n - below.count(), ties.count()
+    return below.unionByName(ties if missing == tied else ties.limit(missing))
 
 
 def intersect_rows(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct common rows; null equals null."""
-    return left.intersect(right)
+    """Distinct common rows; null equals null. Each side is reduced before the shuffle."""
+    return left.distinct().intersect(right.distinct())

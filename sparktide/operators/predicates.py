@@ -209,14 +209,15 @@ def filter_optional(df: DataFrame, col: str, value) -> DataFrame:
 def filter_in_table(df: DataFrame, col: str, values: DataFrame) -> DataFrame:
     """Semi join with a one-column table; its size decides the join strategy."""
     key = values.columns[0]
-    return df.join(values, df[col] == values[key], "left_semi")
+    wanted = values.select(key).distinct()
+    return df.join(wanted, df[col] == wanted[key], "left_semi")
 
 
 def _in_list(df: DataFrame, col: str, values: list) -> DataFrame:
     if len(values) <= LONG_LIST:
         return df.where(F.col(col).isin(values))
     kind = _type_of(df, col).simpleString()
-    table = df.sparkSession.createDataFrame([(v,) for v in values], f"wanted {kind}").distinct()
+    table = df.sparkSession.createDataFrame([(v,) for v in values], f"wanted {kind}")
     return filter_in_table(df, col, table)
 
 

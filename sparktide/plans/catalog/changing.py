@@ -58,7 +58,7 @@ def _(t):
 def _(t):
     path = new_path(t.spark, "by_year")
     by_year = t.orders.select(*COLUMNS, F.year("o_orderdate").cast("bigint").alias("order_year"))
-    by_year.repartition("order_year", F.col("o_orderkey") % 16).write.partitionBy("order_year").parquet(path)
+    by_year.hint("rebalance", "order_year").write.partitionBy("order_year").parquet(path)
     target = (F.col("order_year") == 1997) & (F.col("o_orderkey") % 2 == 0)
     publish.update_partitions(
         t.spark, path, "order_year", target, lambda df: M.update_where(df, target, "o_orderdate", _stamp())
@@ -205,14 +205,14 @@ def _(t):
 @query(
     "unforce_plans",
     "M-10",
-    """SELECT plan_id, query_id, CASE WHEN query_id = 19 AND plan_id = 1019 THEN 0 ELSE is_forced_plan END
+    """SELECT plan_id, query_id, CASE WHEN query_id = 769 AND plan_id = 1 THEN 0 ELSE is_forced_plan END
                 AS is_forced_plan FROM qs_plan""",
     views="qs_plan",
 )
 def _(t):
     plans = t.qs_plan.select("plan_id", "query_id", "is_forced_plan")
     path = _copy(t, "plans", plans)
-    return publish.change_table(t.spark, path, lambda df: history.unforce_plans(df, 19, 1019))
+    return publish.change_table(t.spark, path, lambda df: history.unforce_plans(df, 769, 1))
 
 
 @query(

@@ -117,7 +117,7 @@ def _(t):
         "event_id", "ts AS collection_time", "user_id AS session_id", "event_type AS status"
     )
     snapshots.collect_snapshots(stream, f"{path}/table", f"{path}/checkpoint").awaitTermination()
-    return t.spark.read.parquet(f"{path}/table").drop("batch_id", snapshots.PARTITION)
+    return snapshots.read_snapshots(t.spark, f"{path}/table")
 
 
 @query(

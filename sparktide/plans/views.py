@@ -106,14 +106,14 @@ class Tables:
         )
         return self.part.join(last, "p_partkey").selectExpr(
             "p_partkey AS query_id",
-            "p_partkey % 50 AS query_text_id",
+            "p_partkey - p_partkey % 10 AS query_text_id",
             "p_size AS object_id",
             "last_execution_time",
         )
 
     @cached_property
     def qs_text(self) -> DataFrame:
-        return self.part.where("p_partkey < 50").selectExpr(
+        return self.part.selectExpr(
             "p_partkey AS query_text_id",
             "concat('SELECT * FROM ', replace(p_name, ' ', '_'), ' WHERE size = ', CAST(p_size AS STRING))"
             " AS query_sql_text",
@@ -123,7 +123,7 @@ class Tables:
     def qs_plan(self) -> DataFrame:
         return self.orders.selectExpr(
             "o_orderkey AS plan_id",
-            "o_orderkey % 200 AS query_id",
+            "o_custkey AS query_id",
             "CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS is_forced_plan",
             "CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderkey % 5 AS INT) ELSE 0 END AS force_failure_count",
             "CASE WHEN o_orderstatus = 'F' AND o_orderkey % 5 > 0 THEN 'NO_INDEX' ELSE 'NONE' END"
@@ -336,15 +336,15 @@ FROM (
          count(*) AS open_tran_count
   FROM events GROUP BY date_trunc('hour', ts), user_id) s""",
     "qs_query": """
-SELECT p_partkey AS query_id, p_partkey % 50 AS query_text_id, p_size AS object_id, m.last_execution_time
+SELECT p_partkey AS query_id, p_partkey - p_partkey % 10 AS query_text_id, p_size AS object_id, m.last_execution_time
 FROM part JOIN (SELECT l_partkey, max(l_shipdate) AS last_execution_time FROM lineitem GROUP BY l_partkey) m
   ON m.l_partkey = p_partkey""",
     "qs_text": """
 SELECT p_partkey AS query_text_id,
        concat('SELECT * FROM ', replace(p_name, ' ', '_'), ' WHERE size = ', CAST(p_size AS STRING)) AS query_sql_text
-FROM part WHERE p_partkey < 50""",
+FROM part""",
     "qs_plan": """
-SELECT o_orderkey AS plan_id, o_orderkey % 200 AS query_id,
+SELECT o_orderkey AS plan_id, o_custkey AS query_id,
        CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS is_forced_plan,
        CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderkey % 5 AS INT) ELSE 0 END AS force_failure_count,
        CASE WHEN o_orderstatus = 'F' AND o_orderkey % 5 > 0 THEN 'NO_INDEX' ELSE 'NONE' END

@@ -42,7 +42,9 @@ def _beside(path: str, label: str) -> str:
     return f"{path.rstrip('/')}.{label}"
 
 
-def replace(df: DataFrame, path: str, check: Callable[[DataFrame], bool] | None = None) -> DataFrame:
+def stage_and_publish(
+    df: DataFrame, path: str, check: Callable[[DataFrame], bool] | None = None
+) -> DataFrame:
     """Stage ``df``, check it, exchange it with the table at ``path``; returns a new scan.
 
     When ``check`` says no, the staged files are dropped and the table is
@@ -65,9 +67,6 @@ def replace(df: DataFrame, path: str, check: Callable[[DataFrame], bool] | None
     return spark.read.schema(df.schema).parquet(path)
 
 
-stage_and_publish = replace
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     restore(spark, path)
     return _Files(spark, path).exists(path)
@@ -92,7 +91,7 @@ def change_table(
 ) -> DataFrame:
     """Read the table, apply ``change``, publish the result."""
     restore(spark, path)
-    return replace(change(spark.read.parquet(path)), path, check)
+    return stage_and_publish(change(spark.read.parquet(path)), path, check)
 
 
 def update_partitions(

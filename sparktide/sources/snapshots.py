@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 PARTITION = "collection_date"
+BATCH = "batch_id"
 TABLE_MARK = "<table_name>"
 
 
@@ -26,6 +27,11 @@ def _dated(df: DataFrame) -> DataFrame:
     return df.withColumn(PARTITION, F.to_date("collection_time"))
 
 
+def _by_date(df: DataFrame) -> DataFrame:
+    """Few files per date: small dates share a task, a large one is split over several."""
+    return _dated(df).hint("rebalance", PARTITION)
+
+
 def create_snapshot_table(df: DataFrame, path: str) -> None:
     """An empty snapshot table with the columns of ``df``."""
     _dated(df.limit(0)).write.partitionBy(PARTITION).parquet(path)
@@ -38,8 +44,7 @@ def append_snapshot(df: DataFrame, path: str, collection_time: dt.datetime | Non
     """
     if collection_time is not None:
         df = df.withColumn("collection_time", F.lit(collection_time).cast("timestamp_ntz"))
-    # One file per collection date, however many tasks produced the snapshot.
-    _dated(df).repartition(PARTITION).write.partitionBy(PARTITION).mode("append").parquet(path)
+    _by_date(df).write.partitionBy(PARTITION).mode("append").parquet(path)
 
 
 def read_snapshots(spark: SparkSession, path: str, lo=None, hi=None) -> DataFrame:
@@ -49,7 +54,7 @@ def read_snapshots(spark: SparkSession, path: str, lo=None, hi=None) -> DataFram
         snap = snap.where((F.col(PARTITION) >= F.lit(lo).cast("date")) & (F.col("collection_time") >= F.lit(lo)))
     if hi is not None:
         snap = snap.where((F.col(PARTITION) <= F.lit(hi).cast("date")) & (F.col("collection_time") <= F.lit(hi)))
-    return snap.drop(PARTITION)
+    return snap.drop(PARTITION, BATCH)
 
 
 def collect_snapshots(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -60,11 +65,10 @@ def collect_snapshots(stream: DataFrame, path: str, checkpoint: str) -> Streamin
 
     def write(batch: DataFrame, batch_id: int) -> None:
         (
-            _dated(batch)
-            .repartition(PARTITION)
+            _by_date(batch)
             .write.partitionBy(PARTITION)
             .mode("overwrite")
-            .parquet(f"{path}/batch_id={batch_id}")
+            .parquet(f"{path}/{BATCH}={batch_id}")
         )
 
     return (

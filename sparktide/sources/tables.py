@@ -75,13 +75,11 @@ def with_constant_text(df: DataFrame, text: str, n: int, name: str = "some_text"
 def write_clustered(df: DataFrame, key: str, path: str) -> None:
     """Write files that each hold a range of ``key``, sorted, so scans skip row groups.
 
-    A hash of the row is part of the range key: a key value with very many
-    rows is spread over several files instead of one task.
+    A row number is part of the range key: a key value with very many rows is
+    spread over several files instead of one task.
     """
-    others = [c for c in df.columns if c != key]
-    spread = F.xxhash64(*others) if others else F.lit(0)
     (
-        df.withColumn("_spread", spread)
+        df.withColumn("_spread", F.monotonically_increasing_id())
         .repartitionByRange(key, "_spread")
         .sortWithinPartitions(key)
         .drop("_spread")
@@ -91,4 +89,4 @@ def write_clustered(df: DataFrame, key: str, path: str) -> None:
 
 def drop_and_create(spark: SparkSession, path: str, schema) -> None:
     """An empty table of ``schema`` in place of whatever was there."""
-    publish.replace(spark.createDataFrame([], schema), path)
+    publish.stage_and_publish(spark.createDataFrame([], schema), path)

@@ -83,7 +83,7 @@ def ring_buffer(
         if publish.exists(batch.sparkSession, path):
             held = batch.sparkSession.read.schema(batch.schema).parquet(path)
             latest = recent_events(held.unionByName(latest).distinct(), n, by, key)
-        publish.replace(latest, path)
+        publish.stage_and_publish(latest, path)
 
     return (
         stream.writeStream.foreachBatch(merge)
