@@ -205,14 +205,14 @@ def _(t):
 @query(
     "unforce_plans",
     "M-10",
-    """SELECT plan_id, query_id, CASE WHEN query_id = 769 AND plan_id = 1 THEN 0 ELSE is_forced_plan END
+    """SELECT plan_id, query_id, CASE WHEN query_id = 780 AND plan_id = 3 THEN 0 ELSE is_forced_plan END
                 AS is_forced_plan FROM qs_plan""",
     views="qs_plan",
 )
 def _(t):
     plans = t.qs_plan.select("plan_id", "query_id", "is_forced_plan")
     path = _copy(t, "plans", plans)
-    return publish.change_table(t.spark, path, lambda df: history.unforce_plans(df, 769, 1))
+    return publish.change_table(t.spark, path, lambda df: history.unforce_plans(df, 780, 3))
 
 
 @query(

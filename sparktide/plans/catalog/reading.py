@@ -89,7 +89,7 @@ def _(t):
     snapshots.create_snapshot_table(activity, path)
     snapshots.append_snapshot(activity.where("collection_time < '2024-01-15'"), path)
     snapshots.append_snapshot(activity.where("collection_time >= '2024-01-15'"), path)
-    return snapshots.read_snapshots(t.spark, path)
+    return snapshots.read_snapshots(t.spark, path, schema=activity.schema)
 
 
 @query(
@@ -101,9 +101,10 @@ def _(t):
 )
 def _(t):
     path = new_path(t.spark, "snapshots")
-    snapshots.append_snapshot(t.activity, path)
+    activity = t.activity
+    snapshots.append_snapshot(activity, path)
     lo, hi = dt.datetime(2024, 1, 10, 12), dt.datetime(2024, 1, 12, 12)
-    return snapshots.read_snapshots(t.spark, path, lo, hi)
+    return snapshots.read_snapshots(t.spark, path, lo, hi, activity.schema)
 
 
 @query(
@@ -117,7 +118,7 @@ def _(t):
         "event_id", "ts AS collection_time", "user_id AS session_id", "event_type AS status"
     )
     snapshots.collect_snapshots(stream, f"{path}/table", f"{path}/checkpoint").awaitTermination()
-    return snapshots.read_snapshots(t.spark, f"{path}/table")
+    return snapshots.read_snapshots(t.spark, f"{path}/table", schema=stream.schema)
 
 
 @query(

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 PARTITION = "collection_date"
 BATCH = "batch_id"
+BEFORE_ALL = "1970-01-01"
 TABLE_MARK = "<table_name>"
 
 
@@ -33,8 +34,12 @@ def _by_date(df: DataFrame) -> DataFrame:
 
 
 def create_snapshot_table(df: DataFrame, path: str) -> None:
-    """An empty snapshot table with the columns of ``df``."""
-    _dated(df.limit(0)).write.partitionBy(PARTITION).parquet(path)
+    """An empty snapshot table with the columns of ``df``.
+
+    A partitioned write of no rows leaves no file, so the schema is kept by an
+    empty file under a date before any snapshot.
+    """
+    df.limit(0).write.parquet(f"{path}/{PARTITION}={BEFORE_ALL}")
 
 
 def append_snapshot(df: DataFrame, path: str, collection_time: dt.datetime | None = None) -> None:
@@ -47,9 +52,14 @@ def append_snapshot(df: DataFrame, path: str, collection_time: dt.datetime | Non
     _by_date(df).write.partitionBy(PARTITION).mode("append").parquet(path)
 
 
-def read_snapshots(spark: SparkSession, path: str, lo=None, hi=None) -> DataFrame:
-    """Snapshots of a closed time window; other dates are not opened."""
-    snap = spark.read.option("mergeSchema", "true").parquet(path)
+def read_snapshots(spark: SparkSession, path: str, lo=None, hi=None, schema=None) -> DataFrame:
+    """Snapshots of a closed time window; other dates are not opened.
+
+    Without ``schema`` the columns of all files are merged, which reads every
+    footer; name the schema on a table of many files.
+    """
+    reader = spark.read.option("mergeSchema", "true") if schema is None else spark.read.schema(schema)
+    snap = reader.parquet(path)
     if lo is not None:
         snap = snap.where((F.col(PARTITION) >= F.lit(lo).cast("date")) & (F.col("collection_time") >= F.lit(lo)))
     if hi is not None:
