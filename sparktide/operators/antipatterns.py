@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # From this many IN values or OR terms on a mistyped column a query is flagged.
@@ -23,23 +23,28 @@ def antipattern_scan(
     flagged queries are returned.
     """
     compared = F.nullif(F.regexp_extract("query_sql_text", _NUMBER_COMPARED, 1), F.lit(""))
-    terms = (
-        F.greatest(
-            F.regexp_count("query_sql_text", F.lit(", ")),
-            F.regexp_count("query_sql_text", F.lit(r"(?i)\bOR\b")),
-        )
-        + 1
-    )
     text_columns = column_types.where(F.col("type_name").isin("text", "string", "varchar", "nvarchar"))
-    measured = query_log.withColumns({"compared_column": compared, "n_terms_found": terms})
-    mistyped = measured.join(
+    # Terms are counted only in the texts that pass the type rule.
+    mistyped = query_log.withColumn("compared_column", compared).join(
         text_columns.select(F.col("column_name").alias("compared_column")).distinct(),
         "compared_column",
         "inner",
     )
+    large = F.greatest(_separators(), _ors()) + 1 >= threshold
     return mistyped.select(
         "query_id",
         "compared_column",
         F.lit(1).alias("type_convert"),
-        F.when(F.col("n_terms_found") >= threshold, 1).otherwise(0).alias("large_number_of_or"),
+        F.when(large, 1).otherwise(0).alias("large_number_of_or"),
     )
+
+
+def _separators() -> Column:
+    text = F.col("query_sql_text")
+    return (F.length(text) - F.length(F.replace(text, F.lit(", "), F.lit("")))) / 2
+
+
+def _ors() -> Column:
+    """OR words; the pattern is only run on texts that have the letters at all."""
+    has_or = F.contains(F.lower("query_sql_text"), F.lit("or"))
+    return F.when(has_or, F.regexp_count("query_sql_text", F.lit(r"(?i)\bOR\b"))).otherwise(0)

@@ -1,9 +1,10 @@
-"""Window functions over keys of any size.
+"""Neighbouring rows under keys of any size.
 
 A window puts all rows of a key into one task. Here the order is cut into
-slices (a day, a block of ids), each (key, slice) is its own window, and what
-a slice needs from earlier ones is carried over in one summary row per slice.
-The result is that of the plain window.
+slices (a day, a block of ids) and each (key, slice) is its own window. Only
+the first row of a slice has its neighbour elsewhere: the first and last rows
+of all slices, two per slice, go through a second window over the key. The
+result is that of the plain window.
 """
 
 from __future__ import annotations
@@ -14,16 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-
-
-def _with_carry(rows: DataFrame, carry: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    renamed = carry.select(*[F.col(k).alias(f"{k}_carry") for k in keys], value)
-    condition = F.lit(True)
-    for key in keys:
-        condition &= F.col(key).eqNullSafe(F.col(f"{key}_carry"))
-    return rows.join(renamed, condition, "left").drop(*[f"{k}_carry" for k in keys])
-
-
 def neighbour(
     df: DataFrame,
     keys: Sequence[str],
@@ -35,54 +26,26 @@ def neighbour(
     """``lag`` (or ``lead`` when ``ahead``) of several columns by one row.
 
     ``values`` maps new column to source column. ``slice_by`` must rise with
-    ``order``; the order must be unique within a key.
+    ``order``; the order must be unique within a key. Inner rows and edge rows
+    are read from the same shuffle, so ``df`` is computed once.
     """
-    parts = [*keys, "_slice"]
-    sliced = df.withColumn("_slice", slice_by)
-    payload = F.struct(*[F.col(source).alias(name) for name, source in values.items()])
-    position = F.struct(*order)
-    within = Window.partitionBy(*parts).orderBy(*order)
-    across = Window.partitionBy(*keys).orderBy("_slice")
+    within = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    across = Window.partitionBy(*keys).orderBy("_slice", *order)
     step = F.lead if ahead else F.lag
-    edge = F.min_by if ahead else F.max_by
+    payload = F.struct(*[F.col(source).alias(name) for name, source in values.items()])
 
-    carry = (
-        sliced.groupBy(*parts)
-        .agg(edge(payload, position).alias("_edge"))
-        .withColumn("_carried", step("_edge").over(across))
-        .drop("_edge")
+    rows = df.withColumn("_slice", slice_by).withColumns(
+        {
+            "_near": step(payload).over(within),
+            "_first": F.lag(F.lit(1)).over(within).isNull(),
+            "_last": F.lead(F.lit(1)).over(within).isNull(),
+        }
     )
-    rows = sliced.withColumn("_near", step(payload).over(within))
-    joined = _with_carry(rows, carry, parts, "_carried")
-    found = F.coalesce("_near", "_carried")
-    out = joined.withColumns({name: found[name] for name in values})
-    return out.drop("_slice", "_near", "_carried")
-
-
-def running_sum(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    value: str,
-    slice_by: Column,
-    name: str,
-) -> DataFrame:
-    """Sum of ``value`` up to and including each row of its key."""
-    parts = [*keys, "_slice"]
-    sliced = df.withColumn("_slice", slice_by)
-    within = Window.partitionBy(*parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (
-        sliced.groupBy(*parts)
-        .agg(F.sum(value).alias("_total"))
-        .withColumn("_carried", F.sum("_total").over(before))
-        .drop("_total")
+    is_edge = F.col("_first") | F.col("_last")
+    alone = F.col("_last") if ahead else F.col("_first")
+    edges = rows.where(is_edge).withColumn(
+        "_near", F.when(alone, step(payload).over(across)).otherwise(F.col("_near"))
     )
-    rows = sliced.withColumn(name, F.sum(value).over(within))
-    joined = _with_carry(rows, carry, parts, "_carried")
-    return joined.withColumn(
-        name,
-        F.when(F.col("_carried").isNull(), F.col(name)).otherwise(
-            F.col("_carried") + F.coalesce(F.col(name), F.lit(0))
-        ),
-    ).drop("_slice", "_carried")
+    joined = rows.where(~is_edge).unionByName(edges)
+    found = {name: F.col("_near")[name] for name in values}
+    return joined.withColumns(found).drop("_slice", "_near", "_first", "_last")

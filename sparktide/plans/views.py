@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparktide.operators import slices
@@ -83,9 +83,9 @@ class Tables:
             {"previous_session": "session_id"},
             F.floor(F.col("session_id") / SESSION_BLOCK),
         )
-        counted = slices.running_sum(
-            chained, ["session_id"], ["collection_time"], "cpu", F.to_date("collection_time"), "cpu_total"
-        )
+        # A session has one row per hour, so its window is bounded by the hours covered.
+        so_far = Window.partitionBy("session_id").orderBy("collection_time")
+        counted = chained.withColumn("cpu_total", F.sum("cpu").over(so_far))
         return counted.select(
             "collection_time",
             "session_id",

@@ -39,15 +39,6 @@ def test_sliced_neighbour_equals_window(hot, assert_same, ahead):
     assert_same(plain, sliced)
 
 
-def test_sliced_sum_equals_window(hot, assert_same):
-    order = Window.partitionBy("session_id").orderBy("collection_time", "id")
-    plain = hot.withColumn("total", F.sum("v").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    sliced = slices.running_sum(
-        hot, ["session_id"], ["collection_time", "id"], "v", F.to_date("collection_time"), "total"
-    )
-    assert_same(plain, sliced)
-
-
 def test_delta_of_hot_session(hot, assert_same):
     order = Window.partitionBy("session_id").orderBy("collection_time")
     unique = hot.dropDuplicates(["session_id", "collection_time"]).cache()
