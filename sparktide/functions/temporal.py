@@ -7,7 +7,24 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_TICKS = {"second": F.unix_seconds, "millisecond": F.unix_millis}
+def _seconds(col: Column) -> Column:
+    """Whole seconds since 1970 on the clock the timestamp shows, whatever the session zone."""
+    of_day = F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col)
+    return F.unix_date(F.to_date(col)).cast("bigint") * 86_400 + of_day
+
+
+def _millis(col: Column) -> Column:
+    within = F.floor((F.date_part(F.lit("SECOND"), col) - F.second(col)) * 1000)
+    return _seconds(col) * 1000 + within.cast("bigint")
+
+
+_TICKS = {"second": _seconds, "millisecond": _millis}
+
+
+def micros_between(start: Column, end: Column) -> Column:
+    """Elapsed microseconds."""
+    seconds = (end - start).cast("interval second").cast("decimal(20,6)")
+    return (seconds * 1_000_000).cast("bigint")
 
 
 def year_of(col: Column) -> Column:
@@ -26,7 +43,7 @@ def boundaries_between(unit: str, start: Column, end: Column) -> Column:
     less than a second has passed.
     """
     ticks = _TICKS[unit]
-    return ticks(end.cast("timestamp")) - ticks(start.cast("timestamp"))
+    return ticks(end) - ticks(start)
 
 
 def year_start(year: int) -> dt.datetime:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparktide.functions import conversion
+from sparktide.functions import conversion, temporal
 from sparktide.operators import slices
 
 def _day() -> Column:
@@ -116,20 +116,18 @@ def blocked_sessions(events: DataFrame, is_lock: Column, threshold_s: int = 5) -
         F.to_date("ts"),
         ahead=True,
     )
-    waited = F.unix_micros(F.col("lock_end").cast("timestamp")) - F.unix_micros(
-        F.col("ts").cast("timestamp")
-    )
+    waited = temporal.micros_between(F.col("ts"), F.col("lock_end"))
     return (
         ended.where(F.col("_lock"))
-        .withColumn("duration_us_waited", waited)
-        .where(F.col("duration_us_waited") >= threshold_s * 1_000_000)
+        .withColumn("waited_us", waited)
+        .where(F.col("waited_us") >= threshold_s * 1_000_000)
         .select(
             "event_id",
             "session_id",
             "database_id",
             F.col("ts").alias("lock_start"),
             "lock_end",
-            F.col("duration_us_waited").alias("waited_us"),
+            "waited_us",
         )
     )
 

@@ -23,6 +23,13 @@ def _copy(t, label: str, source=None) -> str:
     return path
 
 
+def _by_year(t):
+    path = new_path(t.spark, "by_year")
+    by_year = t.orders.select(*COLUMNS, F.year("o_orderdate").cast("bigint").alias("order_year"))
+    by_year.hint("rebalance", "order_year").write.partitionBy("order_year").parquet(path)
+    return path, by_year
+
+
 def _stamp():
     return F.lit(STAMP).cast("timestamp_ntz")
 
@@ -56,16 +63,29 @@ def _(t):
                    ELSE o_orderdate END AS o_orderdate FROM orders""",
 )
 def _(t):
-    path = new_path(t.spark, "by_year")
-    by_year = t.orders.select(*COLUMNS, F.year("o_orderdate").cast("bigint").alias("order_year"))
-    by_year.hint("rebalance", "order_year").write.partitionBy("order_year").parquet(path)
+    path, by_year = _by_year(t)
     target = (F.col("order_year") == 1997) & (F.col("o_orderkey") % 2 == 0)
-    publish.update_partitions(
+    publish.change_partitions(
         t.spark, path, "order_year", target, lambda df: M.update_where(df, target, "o_orderdate", _stamp())
     )
     return t.spark.read.schema(by_year.schema).parquet(path)
 
 
+@query(
+    "delete_partitions",
+    "M-03",
+    """SELECT o_orderkey, o_custkey, year(o_orderdate) AS order_year, o_orderdate FROM orders
+       WHERE NOT (year(o_orderdate) = 1998 OR year(o_orderdate) = 1997 AND o_orderkey > 100)""",
+)
+def _(t):
+    """One partition goes altogether, one in part, the others are not opened."""
+    path, by_year = _by_year(t)
+    year = F.col("order_year")
+    doomed = (year == 1998) | ((year == 1997) & (F.col("o_orderkey") > 100))
+    publish.change_partitions(t.spark, path, "order_year", doomed, lambda df: M.delete_where(df, doomed))
+    return t.spark.read.schema(by_year.schema).parquet(path)
+
+
 @query(
     "delete_where",
     "M-03",

@@ -125,10 +125,10 @@ def _(t):
     "append_values",
     "S-14",
     """SELECT * FROM supplier
-       UNION ALL SELECT * FROM (VALUES (CAST(-1 AS BIGINT), 'Deadpool', 0, 0.5), (CAST(-2 AS BIGINT), 'Locke', 1, 1.5))""",
+       UNION ALL SELECT * FROM (VALUES (CAST(-1 AS BIGINT), 'Supplier#A', 0, 0.5), (CAST(-2 AS BIGINT), 'Supplier#B', 1, 1.5))""",
 )
 def _(t):
-    return tables.append_values(t.supplier, [(-1, "Deadpool", 0, 0.5), (-2, "Locke", 1, 1.5)])
+    return tables.append_values(t.supplier, [(-1, "Supplier#A", 0, 0.5), (-2, "Supplier#B", 1, 1.5)])
 
 
 @query(

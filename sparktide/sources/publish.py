@@ -12,32 +12,15 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sparktide.workspace import materialise
+from sparktide.workspace import Files, materialise
 
 
 class PublishAborted(Exception):
     """The staged content failed its check; the table is as it was."""
 
 
-class _Files:
-    """The few file-system calls a publication needs, on any Hadoop file system."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self._path = spark._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def exists(self, path: str) -> bool:
-        return self._fs.exists(self._path(path))
-
-    def rename(self, src: str, dst: str) -> None:
-        if not self._fs.rename(self._path(src), self._path(dst)):
-            raise OSError(f"cannot rename {src} to {dst}")
-
-    def delete(self, path: str) -> None:
-        self._fs.delete(self._path(path), True)
-
-
 def _beside(path: str, label: str) -> str:
     return f"{path.rstrip('/')}.{label}"
 
@@ -51,7 +34,7 @@ def stage_and_publish(
     untouched (the rollback case).
     """
     spark = df.sparkSession
-    files = _Files(spark, path)
+    files = Files(spark, path)
     restore(spark, path)
     staging, previous = _beside(path, f"staging-{uuid.uuid4().hex}"), _beside(path, "previous")
     df.write.parquet(staging)
@@ -69,12 +52,12 @@ def stage_and_publish(
 
 def exists(spark: SparkSession, path: str) -> bool:
     restore(spark, path)
-    return _Files(spark, path).exists(path)
+    return Files(spark, path).exists(path)
 
 
 def restore(spark: SparkSession, path: str) -> None:
     """Finish or undo an exchange that a crash interrupted between its two renames."""
-    files = _Files(spark, path)
+    files = Files(spark, path)
     previous = _beside(path, "previous")
     if files.exists(previous):
         if files.exists(path):
@@ -94,7 +77,7 @@ def change_table(
     return stage_and_publish(change(spark.read.parquet(path)), path, check)
 
 
-def update_partitions(
+def change_partitions(
     spark: SparkSession,
     path: str,
     partition: str,
@@ -103,21 +86,31 @@ def update_partitions(
 ) -> None:
     """Apply ``change`` to the partitions that hold a row of ``predicate``; leave the others.
 
-    For changes that keep every row in its partition, such as an update: a
-    partition is replaced by what ``change`` returns for it. Reads and writes
-    grow with the touched partitions, not with the table. The join with the
-    touched values prunes partitions while the query runs.
+    A touched partition is replaced by what ``change`` keeps of it, which must
+    stay in that partition. Reads and writes grow with the touched partitions,
+    not with the table; the join with the touched values prunes the scan while
+    the query runs. Each partition is exchanged on its own, so after a failure
+    the same call can simply be repeated.
     """
     table = spark.read.parquet(path)
-    touched = materialise(table.where(predicate).select(partition).distinct(), "touched")
-    part = change(table.join(touched, partition, "left_semi")).select(*table.columns)
-    # Partitions are read as a whole before their files are exchanged at commit.
+    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
+    touched = materialise(
+        table.where(predicate).select(partition, folder.alias("_folder")).distinct(), "touched"
+    )
+    part = change(table.join(touched.select(partition), partition, "left_semi")).select(*table.columns)
+    # A partition without remaining rows is not overwritten but removed; at
+    # most one row per partition of the table comes to the driver.
+    kept = part.select(partition).distinct()
+    emptied = [r["_folder"] for r in touched.join(kept, partition, "left_anti").select("_folder").collect()]
     (
         part.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )
+    files = Files(spark, path)
+    for uri in emptied:
+        files.delete_uri(uri)
     spark.catalog.refreshByPath(path)
 
 

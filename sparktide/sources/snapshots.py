@@ -60,10 +60,12 @@ def read_snapshots(spark: SparkSession, path: str, lo=None, hi=None, schema=None
     """
     reader = spark.read.option("mergeSchema", "true") if schema is None else spark.read.schema(schema)
     snap = reader.parquet(path)
+    date, time = F.col(PARTITION), F.col("collection_time")
+    kind = snap.schema["collection_time"].dataType
     if lo is not None:
-        snap = snap.where((F.col(PARTITION) >= F.lit(lo).cast("date")) & (F.col("collection_time") >= F.lit(lo)))
+        snap = snap.where((date >= F.lit(lo).cast("date")) & (time >= F.lit(lo).cast(kind)))
     if hi is not None:
-        snap = snap.where((F.col(PARTITION) <= F.lit(hi).cast("date")) & (F.col("collection_time") <= F.lit(hi)))
+        snap = snap.where((date <= F.lit(hi).cast("date")) & (time <= F.lit(hi).cast(kind)))
     return snap.drop(PARTITION, BATCH)
 
 

@@ -12,9 +12,11 @@ TESTDATA = Path("/root/testdata")
 @pytest.fixture(scope="session")
 def spark():
     from sparktide.session import local_session
+    from sparktide.workspace import release
 
     session = local_session(8, "sparktide-tests", **{"spark.sql.shuffle.partitions": "4"})
     yield session
+    release(session)
     session.stop()
 
 

@@ -162,9 +162,18 @@ def test_partition_update_leaves_other_files(spark, tables, work):
     by_year = tables.orders.select("o_orderkey", F.year("o_orderdate").alias("y"))
     by_year.write.partitionBy("y").parquet(work)
     before = set(spark.read.parquet(work).inputFiles())
-    publish.update_partitions(
+    publish.change_partitions(
         spark, work, "y", F.col("y") == 1997, lambda df: df.withColumn("o_orderkey", F.col("o_orderkey") + 0)
     )
     after = set(spark.read.parquet(work).inputFiles())
     changed = {f for f in before ^ after}
     assert changed and all("y=1997" in f for f in changed)
+
+
+def test_partition_delete_removes_emptied_folders(spark, work):
+    """Also with a partition value that is encoded in its folder name."""
+    rows = spark.createDataFrame([(1, "a b"), (2, "a b"), (3, "c/d"), (4, "e")], "k int, p string")
+    rows.write.partitionBy("p").parquet(work)
+    doomed = (F.col("p") == "a b") | (F.col("k") == 3)
+    publish.change_partitions(spark, work, "p", doomed, lambda df: df.where(~doomed))
+    assert [tuple(r) for r in spark.read.parquet(work).collect()] == [(4, "e")]

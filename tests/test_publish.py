@@ -33,7 +33,7 @@ def test_truncate_keeps_the_schema(spark, table):
 
 
 def test_crash_between_the_renames(spark, table):
-    files = publish._Files(spark, table)
+    files = publish.Files(spark, table)
     files.rename(table, publish._beside(table, "previous"))
     assert publish.exists(spark, table)
     assert spark.read.parquet(table).count() == 10
@@ -43,7 +43,7 @@ def test_crash_before_the_cleanup(spark, table):
     spark.range(99).write.parquet(publish._beside(table, "previous"))
     publish.restore(spark, table)
     assert spark.read.parquet(table).count() == 10
-    assert not publish._Files(spark, table).exists(publish._beside(table, "previous"))
+    assert not publish.Files(spark, table).exists(publish._beside(table, "previous"))
 
 
 def test_catalog_table_moves_its_pointer(spark, work):
