@@ -57,9 +57,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 def staged_join(
     facts: DataFrame, dimensions: Sequence[tuple[DataFrame, str, str]], cols: Sequence[str]
 ) -> DataFrame:
-    """Facts against sub-results that were filtered and staged before.
+    """Facts against sub-results that were filtered before.
 
-    ``dimensions`` holds (staged frame, fact column, staged column).
+    ``dimensions`` holds (sub-result, fact column, its column).
     """
     for frame, left, right in dimensions:
         facts = facts.join(frame, F.col(left) == frame[right], "inner")
