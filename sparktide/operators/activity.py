@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparktide.functions import conversion, temporal
-from sparktide.operators import slices
+from sparktide.operators import skew, slices
 
 def _day() -> Column:
     return F.to_date("collection_time")
@@ -69,15 +69,15 @@ def wait_profile(snap: DataFrame) -> DataFrame:
 def average_time_baseline(history: DataFrame, current: DataFrame, key: str, time: str) -> DataFrame:
     """Current runs beside the average of earlier ones; ``is_slower`` is 1 above it.
 
-    The average is one row per key, so a key with very many runs is split
-    over tasks on the probing side only.
+    The average is one row per key; keys with very many current runs look it
+    up by broadcast.
     """
     usual = history.groupBy(key).agg(
         F.count(time).alias("usual_runs"),
         conversion.rounded_mean(F.sum(time), F.count(time)).alias("usual_time"),
     )
     slower = F.when(F.col(time) > F.col("usual_time"), 1).when(F.col("usual_time").isNotNull(), 0)
-    return current.join(usual, key, "left").withColumn("is_slower", slower)
+    return skew.lookup_join(current, usual, [key], "left").withColumn("is_slower", slower)
 
 
 def parameter_sensitivity(stats: DataFrame, key: str, time: str, percent: int) -> DataFrame:

@@ -132,6 +132,7 @@ def deadlock_cycles(edges: DataFrame) -> DataFrame:
         if not state.where("changed").limit(1).count():
             break
         state = state.drop("changed")
-    sizes = state.groupBy("least").agg(F.count("*").alias("participants"))
+    # Written, so that AQE can split the participants of a very large deadlock.
+    sizes = materialise(state.groupBy("least").agg(F.count("*").alias("participants")), "sizes")
     named = state.select(F.col("least").alias("deadlock_id"), "waiter", "holder")
     return named.join(sizes, named["deadlock_id"] == sizes["least"], "inner").drop("least")

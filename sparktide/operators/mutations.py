@@ -8,14 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparktide.operators import ordering
-from sparktide.workspace import materialise
-
-_POSITION_BITS = 33
-
 
 def update_all(df: DataFrame, col: str, value: Column) -> DataFrame:
     return df.withColumn(col, value.cast(df.schema[col].dataType))
@@ -37,42 +33,6 @@ def keep_where(df: DataFrame, predicate: Column) -> DataFrame:
     return df.where(predicate)
 
 
-def number_rows(
-    df: DataFrame, order_by: Sequence[str], name: str = "id", start: int = 1, step: int = 1
-) -> DataFrame:
-    """Consecutive numbers over the whole table in the given order.
-
-    Range partitions are sorted and written, each row knowing its place in its
-    own partition; a partition then needs only the number of rows before it.
-    No task sees more than one partition, and rows with equal order keys are
-    still split over several. Runs two jobs.
-    """
-    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    keys = [*order_by, "_tie"]
-    ranged = (
-        df.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .drop("_tie")
-        .withColumns({"_part": F.spark_partition_id(), "_place": place})
-    )
-    written = materialise(ranged, "ranged")
-    # One row per partition, so a single task for the offsets is enough and
-    # the table is small enough to send everywhere.
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        written.groupBy("_part")
-        .agg(F.count("*").alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    )
-    number = F.lit(start) + F.lit(step) * (F.col("_offset") + F.col("_place"))
-    return (
-        written.join(F.broadcast(offsets), "_part", "inner")
-        .withColumn(name, number.cast("bigint"))
-        .drop("_part", "_place", "_offset")
-    )
-
-
 def assign_identity(
     df: DataFrame,
     order_by: Sequence[str],
@@ -86,11 +46,11 @@ def assign_identity(
     Assigned numbers continue after the largest retained one.
     """
     if keep is None:
-        return number_rows(df, order_by, name, start, step)
+        return ordering.number_rows(df, order_by, name, start, step)
     given = df.where(F.col(keep).isNotNull()).withColumn(name, F.col(keep).cast("bigint"))
     top = given.agg(F.max(name)).head()[0]
     first = start if top is None else max(start, top + step)
-    fresh = number_rows(df.where(F.col(keep).isNull()), order_by, name, first, step)
+    fresh = ordering.number_rows(df.where(F.col(keep).isNull()), order_by, name, first, step)
     return given.unionByName(fresh)
 
 
@@ -105,7 +65,7 @@ def batch_log(df: DataFrame, key: str, after, n: int) -> DataFrame:
     repeated = doomed.groupBy(key).count().where("count > 1").limit(1).count()
     if repeated:
         return _walk_batches(df, key, after, n)
-    ranked = number_rows(doomed, [key], "_rank")
+    ranked = ordering.number_rows(doomed, [key], "_rank")
     batch = F.floor((F.col("_rank") - 1) / n).cast("bigint") + 1
     return ranked.groupBy(batch.alias("batch_no")).agg(
         F.min(key).alias("min_key"), F.max(key).alias("max_key"), F.count("*").alias("n_rows")

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparktide.workspace import materialise
+
 # Up to this many rows Spark's own top-k keeps the rows of every task in one
 # final task; beyond it the rows are cut at a key found by counting.
 SMALL_TOP = 10_000
@@ -17,6 +20,9 @@ SMALL_TOP = 10_000
 BRACKET = 0.001
 QUANTILE_ACCURACY = 10_000
 
+# monotonically_increasing_id holds the place within a partition in these low bits.
+_POSITION_BITS = 33
+
 
 def sort_columns(spec: str) -> list[Column]:
     """Columns of a ``[name] DESC, [other]`` specification."""
@@ -38,8 +44,47 @@ def order_desc(df: DataFrame, *cols: str) -> DataFrame:
     return df.orderBy(*[F.col(c).desc() for c in cols])
 
 
+def number_rows(
+    df: DataFrame, order_by: Sequence[Column | str], name: str = "id", start: int = 1, step: int = 1
+) -> DataFrame:
+    """Consecutive numbers over the whole table in the given order.
+
+    Range partitions are sorted and written, each row knowing its place in its
+    own partition; a partition then needs only the number of rows before it.
+    No task sees more than one partition, and rows with equal order keys are
+    still split over several. Runs two jobs.
+    """
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
+    keys = [*order_by, "_tie"]
+    ranged = (
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
+        .drop("_tie")
+        .withColumns({"_part": F.spark_partition_id(), "_place": place})
+    )
+    written = materialise(ranged, "ranged")
+    # One row per partition, so a single task for the offsets is enough and
+    # the table is small enough to send everywhere.
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        written.groupBy("_part")
+        .agg(F.count("*").alias("_rows"))
+        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    )
+    number = F.lit(start) + F.lit(step) * (F.col("_offset") + F.col("_place"))
+    return (
+        written.join(F.broadcast(offsets), "_part", "inner")
+        .withColumn(name, number.cast("bigint"))
+        .drop("_part", "_place", "_offset")
+    )
+
+
 def top_n(df: DataFrame, n: int, *by: Column | str) -> DataFrame:
-    return df.orderBy(*by).limit(n)
+    """The first ``n`` rows; beyond a small ``n`` by place, so that no task holds them all."""
+    if n <= SMALL_TOP:
+        return df.orderBy(*by).limit(n)
+    return number_rows(df, by, "_row").where(F.col("_row") <= n).drop("_row")
 
 
 def limit_any(df: DataFrame, n: int) -> DataFrame:
@@ -98,7 +143,7 @@ def nth_key(df: DataFrame, key: str, after, n: int) -> DataFrame:
             return rows.agg(F.max(key).alias("nth_key"))
         last = _key_at(rows, key, n, size)
         return rows.where(F.col(key) == F.lit(last)).agg(F.max(key).alias("nth_key"))
-    return rows.orderBy(key).limit(n).agg(F.max(key).alias("nth_key"))
+    return top_n(rows, n, key).agg(F.max(key).alias("nth_key"))
 
 
 def first_rows(df: DataFrame, key: str, n: int) -> DataFrame:
@@ -109,7 +154,7 @@ def first_rows(df: DataFrame, key: str, n: int) -> DataFrame:
     """
     keyed = df.where(F.col(key).isNotNull())
     if n <= SMALL_TOP or not _countable(df, key):
-        return keyed.orderBy(key).limit(n)
+        return top_n(keyed, n, key)
     size = keyed.count()
     if n >= size:
         return keyed

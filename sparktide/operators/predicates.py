@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparktide.functions import temporal, text
+from sparktide.operators import skew
 
 # An IN list longer than this is sent as a table and joined, so that the plan
 # does not carry the literals to every task.
@@ -207,10 +208,9 @@ def filter_optional(df: DataFrame, col: str, value) -> DataFrame:
 
 
 def filter_in_table(df: DataFrame, col: str, values: DataFrame) -> DataFrame:
-    """Semi join with a one-column table; its size decides the join strategy."""
-    key = values.columns[0]
-    wanted = values.select(key).distinct()
-    return df.join(wanted, df[col] == wanted[key], "left_semi")
+    """Rows whose ``col`` is in a one-column table; a value of very many rows is no burden."""
+    wanted = values.select(F.col(values.columns[0]).alias(col)).distinct()
+    return skew.lookup_join(df, wanted, [col], "left_semi")
 
 
 def _in_list(df: DataFrame, col: str, values: list) -> DataFrame:

@@ -1,0 +1,58 @@
+"""Lookups whose probing side may repeat one key very often.
+
+AQE splits a hot partition only where both join inputs come straight from a
+shuffle. Where the looked-up side is an aggregate, its rows stay as the
+aggregate left them and a hot key of the other side lands in one task. Here
+the hot keys are found first and looked up by broadcast, the others by shuffle.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from sparktide.workspace import materialise
+
+# A key is hot from one in this many of the sampled rows, so there are never
+# more hot keys than this: the bound of everything broadcast below.
+HOT_ONE_IN = 1_000
+
+# Rows looked at to find hot keys, and the least number of hits that counts.
+# The sample only decides which way a key goes; every row is joined.
+SAMPLE = 0.001
+LEAST_HITS = 20
+
+
+def _same(keys: Sequence[str], prefix: str) -> Column:
+    return reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(prefix + k)) for k in keys])
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], sample: float = SAMPLE) -> DataFrame:
+    """At most ``HOT_ONE_IN`` keys that hold a large share of the rows (runs jobs)."""
+    counts = df.select(*keys).sample(sample, seed=1).groupBy(*keys).agg(F.count("*").alias("hits"))
+    seen = materialise(counts.where(F.col("hits") >= LEAST_HITS), "key_counts")
+    total = seen.agg(F.coalesce(F.sum("hits"), F.lit(0))).head()[0]
+    hot = seen.where(F.col("hits") * HOT_ONE_IN >= total)
+    return materialise(hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys]), "hot_keys")
+
+
+def lookup_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, sample: float = SAMPLE
+) -> DataFrame:
+    """Join with a side that has one row per key; ``how`` is inner, left, left_semi or left_anti.
+
+    Without hot keys this is the plain join. Null keys never match, and many
+    of them count as a hot key too.
+    """
+    hot = hot_keys(left, keys, sample)
+    if hot.isEmpty():
+        return left.join(right, list(keys), how)
+    hot = F.broadcast(hot)
+    is_hot = _same(keys, "_hot_")
+    few = F.broadcast(right.join(hot, is_hot, "left_semi"))
+    crowd = left.join(hot, is_hot, "left_semi").join(few, list(keys), how)
+    others = left.join(hot, is_hot, "left_anti").join(right, list(keys), how)
+    return crowd.unionByName(others)

@@ -40,9 +40,9 @@ def _(t):
 def _(t):
     path = new_path(t.spark, "appended")
     cols = ["o_orderkey", "o_orderdate"]
-    older, newer = t.orders.where("o_orderkey % 3 = 0"), t.orders.where("o_orderkey % 3 != 0")
-    tables.append_select(older, path, cols)
-    tables.append_select(newer, path, cols)
+    finished = F.col("o_orderstatus") == "F"
+    tables.append_select(t.orders.where(finished), path, cols)
+    tables.append_select(t.orders.where(~finished), path, cols)
     return _read(t, path, t.orders.select(*cols))
 
 

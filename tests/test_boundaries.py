@@ -125,6 +125,35 @@ def test_boundaries_are_counted(spark):
     assert rows.select(temporal.boundaries_between("millisecond", F.col("t"), end)).head()[0] == 200
 
 
+def test_differences_ignore_the_session_zone(spark):
+    """A clock change inside the span does not shorten a difference of wall-clock times."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rows = _stamps(spark, "2024-03-10 01:30:00")
+        end = F.lit("2024-03-10 03:30:00").cast("timestamp_ntz")
+        row = rows.select(
+            temporal.boundaries_between("second", F.col("t"), end), temporal.micros_between(F.col("t"), end)
+        ).head()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert tuple(row) == (7200, 7_200_000_000)
+
+
+@pytest.mark.parametrize("kind", ["number", "text"])
+def test_large_top_equals_small_top(spark, assert_same, monkeypatch, kind):
+    rows = spark.range(500).select(((F.col("id") * 37) % 91).alias("k"), "id")
+    if kind == "text":
+        rows = rows.withColumn("k", F.col("k").cast("string"))
+    small = ordering.top_n(rows, 200, F.desc("k"), "id")
+    first = ordering.first_rows(rows.select("k"), "k", 200)
+    key = ordering.nth_key(rows, "k", rows.selectExpr("min(k)").head()[0], 200).head()
+    monkeypatch.setattr(ordering, "SMALL_TOP", 10)
+    assert_same(small, ordering.top_n(rows, 200, F.desc("k"), "id"))
+    assert_same(first, ordering.first_rows(rows.select("k"), "k", 200))
+    assert key == ordering.nth_key(rows, "k", rows.selectExpr("min(k)").head()[0], 200).head()
+
+
 def test_narrow_text(spark):
     row = spark.range(1).select(
         conversion.text_of_width(F.lit(9999), 4), conversion.text_of_width(F.lit(10000), 4)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from sparktide.operators import activity, blocking, joins, mutations, slices
+from sparktide.operators import activity, blocking, joins, mutations, ordering, skew, slices
 from sparktide.streaming import sinks
 
 START = dt.datetime(2024, 1, 1)
@@ -63,7 +63,7 @@ def test_numbers_over_equal_rows_are_spread(spark):
     same = spark.range(0, 40_000, 1, 8).select(F.lit(1).alias("k"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        numbered = mutations.number_rows(same, ["k"])
+        numbered = ordering.number_rows(same, ["k"])
         ids = numbered.agg(F.min("id"), F.max("id"), F.countDistinct("id")).head()
         files = len(set(numbered.inputFiles()))
     finally:
@@ -86,6 +86,57 @@ def test_semi_join_reduces_hot_child_first(spark, assert_same):
     assert semi.count() == 50
 
 
+@pytest.fixture()
+def no_broadcast(spark):
+    """Joins by shuffle, with limits at which a few kilobytes are a hot partition."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+
+
+def test_hot_waiters_are_split_by_aqe(spark, no_broadcast, work):
+    """The lookup of the chain rounds: both sides come from written tables."""
+    spark.range(0, 200_000, 1, 16).select(
+        F.col("id").alias("node"), F.when(F.col("id") % 3 < 2, 1).otherwise(F.shiftright("id", 1)).alias("at")
+    ).write.parquet(work)
+    state = spark.read.parquet(work)
+    above = state.select(F.col("node").alias("_node"), F.col("at").alias("_at"))
+    joined = state.join(above, F.col("at") == F.col("_node"), "left")
+    assert len(joined.collect()) == 200_000
+    assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_lookup_of_hot_and_null_keys(spark, assert_same, no_broadcast, how):
+    left = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 3 == 1, None).otherwise(F.col("id") % 50).alias("k"),
+        F.col("id").alias("v"),
+    )
+    right = spark.range(0, 40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    hot = skew.hot_keys(left, ["k"], sample=1.0)
+    assert {r[0] for r in hot.collect()} >= {1, None}
+    assert_same(left.join(right, "k", how), skew.lookup_join(left, right, ["k"], how, sample=1.0))
+
+
+def test_without_hot_keys_the_join_is_plain(spark, tables):
+    users = tables.users_antipattern
+    df = skew.lookup_join(users, users.select("id"), ["id"], "left_semi")
+    assert "Union" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_keys_are_bounded(spark):
+    df = spark.range(60_000).select((F.col("id") % 2500).alias("k"))
+    assert skew.hot_keys(df, ["k"], sample=1.0).count() <= skew.HOT_ONE_IN
+
+
 # --- chains and cycles --------------------------------------------------------------
 
 
