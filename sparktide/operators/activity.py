@@ -43,13 +43,12 @@ def activity_delta(snap: DataFrame, measures: Sequence[str]) -> DataFrame:
     return rows.withColumns(deltas).drop(*before)
 
 
-def tempdb_delta_top(snap: DataFrame, n: int) -> DataFrame:
-    """Collections in which a session's scratch space grew most."""
+def tempdb_delta_top(snap: DataFrame) -> DataFrame:
+    """Change of each session's scratch space between collections, largest first."""
     grown = activity_delta(snap, ["tempdb_current"]).where(F.col("tempdb_current_delta").isNotNull())
     return (
         grown.select("collection_time", "session_id", "tempdb_current", "tempdb_current_delta")
         .orderBy(F.desc("tempdb_current_delta"), "collection_time", "session_id")
-        .limit(n)
     )
 
 
@@ -106,7 +105,8 @@ def blocked_sessions(events: DataFrame, is_lock: Column, threshold_s: int = 5) -
     """Lock waits of at least ``threshold_s`` seconds.
 
     A wait starts at an event matched by ``is_lock`` and ends at the session's
-    next event; a wait still open at the end of the log is not reported.
+    next event; a wait still open at the end of the log is not reported. All
+    columns of the starting event are kept.
     """
     ended = slices.neighbour(
         events.withColumn("_lock", is_lock),
@@ -121,14 +121,8 @@ def blocked_sessions(events: DataFrame, is_lock: Column, threshold_s: int = 5) -
         ended.where(F.col("_lock"))
         .withColumn("waited_us", waited)
         .where(F.col("waited_us") >= threshold_s * 1_000_000)
-        .select(
-            "event_id",
-            "session_id",
-            "database_id",
-            F.col("ts").alias("lock_start"),
-            "lock_end",
-            "waited_us",
-        )
+        .withColumnRenamed("ts", "lock_start")
+        .drop("_lock")
     )
 
 

@@ -74,15 +74,22 @@ def backup_history(
     return (
         backup_media(sets.where(F.col("type") == kind), families)
         .select(
+            "server_name",
             "database_name",
+            "recovery_model",
+            "is_copy_only",
+            "is_snapshot",
+            "has_backup_checksums",
             "backup_start_date",
             "backup_finish_date",
             F.concat(shown, F.lit(" Seconds")).alias("duration"),
             F.concat(megabytes.cast("string"), F.lit(" MB")).alias("size_in_mb"),
             "physical_device_name",
+            "logical_device_name",
             conversion.first_match(F.col("device_type"), DEVICE_TYPES, UNKNOWN_DEVICE).alias(
                 "device_type"
             ),
+            "user_name",
         )
         .orderBy(F.desc("backup_start_date"), "physical_device_name")
     )

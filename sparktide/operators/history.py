@@ -40,6 +40,7 @@ def failed_forced_plans(plans: DataFrame, queries: DataFrame) -> DataFrame:
         "plan_id",
         "containing_object_id",
         "force_failure_count",
+        "last_force_failure_reason",
         "last_force_failure_reason_desc",
         "last_execution_time",
     )

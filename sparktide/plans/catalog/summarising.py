@@ -201,11 +201,11 @@ def _(t):
          SELECT *, tempdb_current - lag(tempdb_current) OVER (PARTITION BY session_id ORDER BY collection_time)
                      AS tempdb_current_delta FROM activity) d
        WHERE tempdb_current_delta IS NOT NULL
-       ORDER BY tempdb_current_delta DESC, collection_time, session_id LIMIT 100""",
+       ORDER BY tempdb_current_delta DESC, collection_time, session_id""",
     views="activity",
 )
 def _(t):
-    return activity.tempdb_delta_top(t.activity, 100)
+    return activity.tempdb_delta_top(t.activity)
 
 
 @query(
@@ -226,8 +226,8 @@ def _(t):
 @query(
     "blocked_sessions",
     "W-04",
-    """SELECT event_id, session_id, database_id, ts AS lock_start, lock_end,
-              epoch_us(lock_end) - epoch_us(ts) AS waited_us
+    """SELECT event_id, ts AS lock_start, session_id, database_id, event_name, duration_us, severity, result, spills,
+              client_app_name, lock_end, epoch_us(lock_end) - epoch_us(ts) AS waited_us
        FROM (SELECT *, lead(ts) OVER (PARTITION BY session_id ORDER BY ts, event_id) AS lock_end FROM xe_events) w
        WHERE event_name = 'error' AND epoch_us(lock_end) - epoch_us(ts) >= 5000000""",
     views="xe_events",

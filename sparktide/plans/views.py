@@ -126,6 +126,7 @@ class Tables:
             "o_custkey AS query_id",
             "CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS is_forced_plan",
             "CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderkey % 5 AS INT) ELSE 0 END AS force_failure_count",
+            "CASE WHEN o_orderstatus = 'F' AND o_orderkey % 5 > 0 THEN 8712 ELSE 0 END AS last_force_failure_reason",
             "CASE WHEN o_orderstatus = 'F' AND o_orderkey % 5 > 0 THEN 'NO_INDEX' ELSE 'NONE' END"
             " AS last_force_failure_reason_desc",
             "o_orderdate AS last_execution_time",
@@ -146,7 +147,11 @@ class Tables:
 
     @cached_property
     def plan_cache(self) -> DataFrame:
-        return self.qs_stats.groupBy("plan_id").agg(F.sum("count_executions").alias("usecounts"))
+        return self.qs_stats.groupBy("plan_id").agg(
+            F.lit("Compiled Plan").alias("cacheobjtype"),
+            F.when(F.col("plan_id") % 2 == 0, "Proc").otherwise("Adhoc").alias("objtype"),
+            F.sum("count_executions").alias("usecounts"),
+        )
 
     @cached_property
     def history_options(self) -> DataFrame:
@@ -209,7 +214,13 @@ class Tables:
         )
         return started.selectExpr(
             "event_id AS media_set_id",
+            "concat('server_', CAST(user_id % 10 AS STRING)) AS server_name",
             "concat('db_', CAST(user_id AS STRING)) AS database_name",
+            "CASE WHEN user_id % 3 = 0 THEN 'SIMPLE' ELSE 'FULL' END AS recovery_model",
+            "CASE WHEN event_id % 9 = 0 THEN 1 ELSE 0 END AS is_copy_only",
+            "CASE WHEN event_id % 11 = 0 THEN 1 ELSE 0 END AS is_snapshot",
+            "CASE WHEN event_id % 2 = 0 THEN 1 ELSE 0 END AS has_backup_checksums",
+            "concat('login_', CAST(user_id % 7 AS STRING)) AS user_name",
             "CASE event_type WHEN 'click' THEN 'D' WHEN 'view' THEN 'D' WHEN 'error' THEN 'L' ELSE 'I' END AS type",
             "backup_start_date",
             "ts AS backup_finish_date",
@@ -221,6 +232,7 @@ class Tables:
         return self.events.selectExpr(
             "event_id AS media_set_id",
             "concat('/backup/', CAST(event_id AS STRING)) AS physical_device_name",
+            "CASE WHEN event_id % 4 = 0 THEN concat('device_', CAST(user_id AS STRING)) END AS logical_device_name",
             "CASE event_id % 5 WHEN 0 THEN 2 WHEN 1 THEN 5 WHEN 2 THEN 7 WHEN 3 THEN 9 ELSE 99 END AS device_type",
         )
 
@@ -347,6 +359,7 @@ FROM part""",
 SELECT o_orderkey AS plan_id, o_custkey AS query_id,
        CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS is_forced_plan,
        CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderkey % 5 AS INT) ELSE 0 END AS force_failure_count,
+       CASE WHEN o_orderstatus = 'F' AND o_orderkey % 5 > 0 THEN 8712 ELSE 0 END AS last_force_failure_reason,
        CASE WHEN o_orderstatus = 'F' AND o_orderkey % 5 > 0 THEN 'NO_INDEX' ELSE 'NONE' END
          AS last_force_failure_reason_desc,
        o_orderdate AS last_execution_time,
@@ -361,7 +374,9 @@ SELECT l_orderkey AS plan_id,
        CAST(l_quantity AS BIGINT) AS count_executions, l_shipdate AS last_execution_time
 FROM lineitem""",
     "plan_cache": """
-SELECT l_orderkey AS plan_id, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS usecounts
+SELECT l_orderkey AS plan_id, 'Compiled Plan' AS cacheobjtype,
+       CASE WHEN l_orderkey % 2 = 0 THEN 'Proc' ELSE 'Adhoc' END AS objtype,
+       CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS usecounts
 FROM lineitem GROUP BY l_orderkey""",
     "history_options": """
 SELECT s_name AS database_name,
@@ -394,13 +409,20 @@ SELECT c_name AS name, sha256(CASE c_custkey % 10 WHEN 0 THEN '' WHEN 1 THEN c_n
                                    ELSE concat(c_name, '!') END) AS password_digest
 FROM customer""",
     "backupset": """
-SELECT event_id AS media_set_id, concat('db_', CAST(user_id AS STRING)) AS database_name,
+SELECT event_id AS media_set_id, concat('server_', CAST(user_id % 10 AS STRING)) AS server_name,
+       concat('db_', CAST(user_id AS STRING)) AS database_name,
+       CASE WHEN user_id % 3 = 0 THEN 'SIMPLE' ELSE 'FULL' END AS recovery_model,
+       CASE WHEN event_id % 9 = 0 THEN 1 ELSE 0 END AS is_copy_only,
+       CASE WHEN event_id % 11 = 0 THEN 1 ELSE 0 END AS is_snapshot,
+       CASE WHEN event_id % 2 = 0 THEN 1 ELSE 0 END AS has_backup_checksums,
+       concat('login_', CAST(user_id % 7 AS STRING)) AS user_name,
        CASE event_type WHEN 'click' THEN 'D' WHEN 'view' THEN 'D' WHEN 'error' THEN 'L' ELSE 'I' END AS type,
        lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS backup_start_date,
        ts AS backup_finish_date, CAST(round(value * 1000000) AS BIGINT) AS backup_size
 FROM events""",
     "backupmediafamily": """
 SELECT event_id AS media_set_id, concat('/backup/', CAST(event_id AS STRING)) AS physical_device_name,
+       CASE WHEN event_id % 4 = 0 THEN concat('device_', CAST(user_id AS STRING)) END AS logical_device_name,
        CASE event_id % 5 WHEN 0 THEN 2 WHEN 1 THEN 5 WHEN 2 THEN 7 WHEN 3 THEN 9 ELSE 99 END AS device_type
 FROM events""",
     "xe_events": """

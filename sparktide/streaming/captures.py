@@ -17,7 +17,12 @@ REPORTED_SEVERITY = 10
 TEMPDB_ID = 2
 LAST_SYSTEM_SESSION = 50
 
+# Columns a capture keeps besides its own, as far as the source has them; fixed names.
 BASE = ("event_id", "ts", "session_id", "event_name")
+CLIENT = ("client_app_name", "client_hostname", "username")
+DATABASE = ("database_id", "database_name")
+PLAN = ("client_app_name", "plan_handle", "query_hash", "query_plan_hash")
+LOCK = ("blocked_process", "index_id", "lock_mode", "object_id", "resource_owner_type", "transaction_id")
 
 
 def _kept(events: DataFrame, extra: Sequence[str]) -> DataFrame:
@@ -32,13 +37,13 @@ def _of_kind(names: Sequence[str] | None) -> Column:
 def long_running(events: DataFrame, min_us: int = LONG_RUNNING_US, names=None) -> DataFrame:
     """Completed statements that took at least ``min_us`` microseconds."""
     hit = events.where(_of_kind(names) & (F.col("duration_us") >= min_us))
-    return _kept(hit, ["duration_us", "client_app_name", "database_id"])
+    return _kept(hit, ["duration_us", *PLAN, *DATABASE, "sql_text"])
 
 
 def failed_queries(events: DataFrame, min_severity: int = REPORTED_SEVERITY, names=None) -> DataFrame:
     """Errors above a severity."""
     hit = events.where(_of_kind(names) & (F.col("severity") > min_severity))
-    return _kept(hit, ["severity", "client_app_name", "database_id"])
+    return _kept(hit, ["severity", *CLIENT, *DATABASE, "sql_text"])
 
 
 def aborted_queries(events: DataFrame, abort_events: Sequence[str] = ()) -> DataFrame:
@@ -46,7 +51,7 @@ def aborted_queries(events: DataFrame, abort_events: Sequence[str] = ()) -> Data
     aborted = F.col("result") == "Abort"
     if abort_events:
         aborted = aborted | F.col("event_name").isin(list(abort_events))
-    return _kept(events.where(aborted), ["result", "database_id"])
+    return _kept(events.where(aborted), ["result", *DATABASE, "sql_text"])
 
 
 def antipattern_events(events: DataFrame, exclude_apps: Sequence[str], names=None) -> DataFrame:
@@ -54,7 +59,7 @@ def antipattern_events(events: DataFrame, exclude_apps: Sequence[str], names=Non
     hit = _of_kind(names)
     for app in exclude_apps:
         hit = hit & (F.col("client_app_name") != app)
-    return _kept(events.where(hit), ["client_app_name"])
+    return _kept(events.where(hit), [*PLAN, "sql_text"])
 
 
 def spills(events: DataFrame, spill_events: Sequence[str] = ()) -> DataFrame:
@@ -62,7 +67,7 @@ def spills(events: DataFrame, spill_events: Sequence[str] = ()) -> DataFrame:
     spilled = F.col("spills") > 0
     if spill_events:
         spilled = spilled | F.col("event_name").isin(list(spill_events))
-    return _kept(events.where(spilled), ["spills", "database_id", "client_app_name"])
+    return _kept(events.where(spilled), ["spills", *DATABASE, *CLIENT, "tsql_stack", "sql_text"])
 
 
 def tempdb_growth(
@@ -77,17 +82,17 @@ def tempdb_growth(
         & (F.col("database_id") == database_id)
         & (F.col("session_id") > above_session)
     )
-    return _kept(events.where(hit), ["database_id"])
+    return _kept(events.where(hit), [*DATABASE, "client_hostname", "sql_text"])
 
 
 def blocked_process(events: DataFrame, report_events: Sequence[str]) -> DataFrame:
     """Blocked-process reports with their duration."""
-    return _kept(events.where(_of_kind(report_events)), ["duration_us", "database_id"])
+    return _kept(events.where(_of_kind(report_events)), ["duration_us", *DATABASE, *LOCK])
 
 
 def deadlocks(events: DataFrame, deadlock_events: Sequence[str]) -> DataFrame:
     """Deadlock and deadlock-chain events."""
-    return _kept(events.where(_of_kind(deadlock_events)), ["client_app_name"])
+    return _kept(events.where(_of_kind(deadlock_events)), ["client_app_name", "sql_text"])
 
 
 def event_rate(
