@@ -101,19 +101,22 @@ def parameter_sensitivity(stats: DataFrame, key: str, time: str, percent: int) -
     )
 
 
-def blocked_sessions(events: DataFrame, is_lock: Column, threshold_s: int = 5) -> DataFrame:
+def blocked_sessions(
+    events: DataFrame, is_lock: Column, threshold_s: int = 5, slice_by: Column | None = None
+) -> DataFrame:
     """Lock waits of at least ``threshold_s`` seconds.
 
     A wait starts at an event matched by ``is_lock`` and ends at the session's
     next event; a wait still open at the end of the log is not reported. All
-    columns of the starting event are kept.
+    columns of the starting event are kept. ``slice_by`` is the time slice in
+    which a session is sorted by one task, an hour by default.
     """
     ended = slices.neighbour(
         events.withColumn("_lock", is_lock),
         ["session_id"],
         ["ts", "event_id"],
         {"lock_end": "ts"},
-        F.to_date("ts"),
+        F.date_trunc("hour", "ts") if slice_by is None else slice_by,
         ahead=True,
     )
     waited = temporal.micros_between(F.col("ts"), F.col("lock_end"))

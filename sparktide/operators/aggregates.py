@@ -32,8 +32,13 @@ def log_summary(log: DataFrame) -> DataFrame:
 
 
 def transaction_log_usage(log: DataFrame) -> DataFrame:
-    """Change records, modifying records and locks of each transaction, largest first."""
+    """Change records, modifying records and locks of each transaction, largest first.
+
+    ``is_open`` is 1 where the last begin has no commit after it.
+    """
     changed = F.col("operation") == "LOP_MODIFY_ROW"
+    begun = F.max(F.when(F.col("operation") == "LOP_BEGIN_XACT", F.col("lsn")))
+    committed = F.max(F.when(F.col("operation") == "LOP_COMMIT_XACT", F.col("lsn")))
     return (
         log.groupBy("transaction_id")
         .agg(
@@ -42,6 +47,7 @@ def transaction_log_usage(log: DataFrame) -> DataFrame:
             F.sum(F.coalesce("n_locks", F.lit(0))).alias("locks"),
             F.min("lsn").alias("first_lsn"),
             F.max("lsn").alias("last_lsn"),
+            F.when((begun > committed) | (begun.isNotNull() & committed.isNull()), 1).otherwise(0).alias("is_open"),
         )
         .orderBy(F.desc("log_records"), "transaction_id")
     )

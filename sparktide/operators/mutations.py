@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparktide.operators import ordering
+from sparktide.workspace import materialise
 
 def update_all(df: DataFrame, col: str, value: Column) -> DataFrame:
     return df.withColumn(col, value.cast(df.schema[col].dataType))
@@ -59,17 +60,21 @@ def batch_log(df: DataFrame, key: str, after, n: int) -> DataFrame:
 
     One row per batch: number, first and last key, rows. A batch takes every
     row up to the key of its n-th row, so equal keys are never split; where
-    keys repeat, batches are walked one after the other.
+    they would be, batches are walked one after the other. Runs jobs.
     """
     doomed = df.where(F.col(key) > F.lit(after)).select(key)
-    repeated = doomed.groupBy(key).count().where("count > 1").limit(1).count()
-    if repeated:
-        return _walk_batches(df, key, after, n)
     ranked = ordering.number_rows(doomed, [key], "_rank")
     batch = F.floor((F.col("_rank") - 1) / n).cast("bigint") + 1
-    return ranked.groupBy(batch.alias("batch_no")).agg(
-        F.min(key).alias("min_key"), F.max(key).alias("max_key"), F.count("*").alias("n_rows")
+    log = materialise(
+        ranked.groupBy(batch.alias("batch_no")).agg(
+            F.min(key).alias("min_key"), F.max(key).alias("max_key"), F.count("*").alias("n_rows")
+        ),
+        "batch_log",
     )
+    # Cutting by rank is right unless equal keys lie on both sides of a cut.
+    following = log.select((F.col("batch_no") - 1).alias("batch_no"), F.col("min_key").alias("next_key"))
+    torn = log.join(following, "batch_no").where(F.col("max_key") == F.col("next_key"))
+    return log if torn.isEmpty() else _walk_batches(df, key, after, n)
 
 
 def _walk_batches(df: DataFrame, key: str, after, n: int) -> DataFrame:

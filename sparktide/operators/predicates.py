@@ -278,10 +278,10 @@ def filter_case_equals(
     df: DataFrame, col: str, cases: Sequence[tuple[Column, object]], default=None
 ) -> DataFrame:
     """``col = CASE WHEN … THEN … END``; without a match nothing is equal."""
-    wanted = F
-    for condition, value in cases:
-        wanted = wanted.when(condition, F.lit(value))
-    return df.where(F.col(col) == wanted.otherwise(F.lit(default)))
+    wanted = F.lit(default)
+    for condition, value in reversed(cases):
+        wanted = F.when(condition, F.lit(value)).otherwise(wanted)
+    return df.where(F.col(col) == wanted)
 
 
 def filter_modulo(df: DataFrame, col: str, modulus: int, remainder: int = 0) -> DataFrame:

@@ -93,7 +93,9 @@ def _(t):
 )
 def _(t):
     path = _copy(t, "delete_where")
-    return publish.change_table(t.spark, path, lambda df: M.delete_where(df, F.col("o_orderkey") > 3000))
+    return publish.change_table(
+        t.spark, path, lambda df: M.delete_where(df, F.col("o_orderkey") > 3000), compact=True
+    )
 
 
 @query(
@@ -186,7 +188,9 @@ def _(t):
 )
 def _(t):
     path = _copy(t, "keep")
-    return publish.change_table(t.spark, path, lambda df: M.keep_where(df, F.col("o_orderkey") <= 1000))
+    return publish.change_table(
+        t.spark, path, lambda df: M.keep_where(df, F.col("o_orderkey") <= 1000), compact=True
+    )
 
 
 @query(

@@ -101,7 +101,9 @@ def _(t):
     "A-08",
     """SELECT transaction_id, count(*) AS log_records,
               count(*) FILTER (WHERE operation = 'LOP_MODIFY_ROW') AS row_changes,
-              CAST(sum(coalesce(n_locks, 0)) AS BIGINT) AS locks, min(lsn) AS first_lsn, max(lsn) AS last_lsn
+              CAST(sum(coalesce(n_locks, 0)) AS BIGINT) AS locks, min(lsn) AS first_lsn, max(lsn) AS last_lsn,
+              CASE WHEN max(lsn) FILTER (WHERE operation = 'LOP_BEGIN_XACT')
+                        > coalesce(max(lsn) FILTER (WHERE operation = 'LOP_COMMIT_XACT'), -1) THEN 1 ELSE 0 END AS is_open
        FROM change_log GROUP BY transaction_id""",
     views="change_log",
 )

@@ -9,7 +9,7 @@ a catalog and use ``publish_location``, which moves one metastore pointer.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,22 +26,32 @@ def _beside(path: str, label: str) -> str:
 
 
 def stage_and_publish(
-    df: DataFrame, path: str, check: Callable[[DataFrame], bool] | None = None
+    df: DataFrame,
+    path: str,
+    check: Callable[[DataFrame], bool] | None = None,
+    partition_by: Sequence[str] = (),
+    compact: bool = False,
 ) -> DataFrame:
     """Stage ``df``, check it, exchange it with the table at ``path``; returns a new scan.
 
-    When ``check`` says no, the staged files are dropped and the table is
-    untouched (the rollback case).
+    When ``check`` says no, or the write fails, the staged files are dropped
+    and the table is untouched (the rollback case). ``compact`` shuffles few
+    remaining rows into files of normal size, for a change that drops most of
+    the table.
     """
     spark = df.sparkSession
     files = Files(spark, path)
     restore(spark, path)
     staging, previous = _beside(path, f"staging-{uuid.uuid4().hex}"), _beside(path, "previous")
-    df.write.parquet(staging)
-    staged = spark.read.schema(df.schema).parquet(staging)
-    if check is not None and not check(staged):
+    if compact:
+        df = df.hint("rebalance", *partition_by)
+    try:
+        df.write.partitionBy(*partition_by).parquet(staging)
+        if check is not None and not check(spark.read.schema(df.schema).parquet(staging)):
+            raise PublishAborted(path)
+    except Exception:
         files.delete(staging)
-        raise PublishAborted(path)
+        raise
     if files.exists(path):
         files.rename(path, previous)
     files.rename(staging, path)
@@ -71,10 +81,12 @@ def change_table(
     path: str,
     change: Callable[[DataFrame], DataFrame],
     check: Callable[[DataFrame], bool] | None = None,
+    partition_by: Sequence[str] = (),
+    compact: bool = False,
 ) -> DataFrame:
     """Read the table, apply ``change``, publish the result."""
     restore(spark, path)
-    return stage_and_publish(change(spark.read.parquet(path)), path, check)
+    return stage_and_publish(change(spark.read.parquet(path)), path, check, partition_by, compact)
 
 
 def change_partitions(

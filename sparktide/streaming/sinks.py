@@ -51,7 +51,7 @@ def restart_capture(
 
 
 def recent_events(
-    df: DataFrame, n: int, by: Sequence[Column], key: str, spread: int = 64
+    df: DataFrame, n: int, by: Sequence[Column], key: str, spread: int = 1024
 ) -> DataFrame:
     """The ``n`` latest events of each key.
 

@@ -1,5 +1,7 @@
 """Publication is all or nothing, and a crash in between is repaired."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -25,6 +27,18 @@ def test_failed_write_leaves_the_table(spark, table):
     with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
         publish.change_table(spark, table, broken)
     assert spark.read.parquet(table).count() == 10
+    folder = Path(table.removeprefix("file:"))
+    assert [p.name for p in folder.parent.iterdir()] == [folder.name]
+
+
+def test_layout_is_kept_and_files_are_few(spark, work):
+    rows = spark.range(0, 1000, 1, 8).withColumn("p", F.col("id") % 2)
+    publish.stage_and_publish(rows, work, partition_by=["p"])
+    kept = publish.change_table(
+        spark, work, lambda df: df.where("id < 20"), partition_by=["p"], compact=True
+    )
+    assert kept.count() == 20
+    assert sorted(f.split("/")[-2] for f in kept.inputFiles()) == ["p=0", "p=1"]
 
 
 def test_truncate_keeps_the_schema(spark, table):
