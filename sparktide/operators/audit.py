@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,8 +14,8 @@ from sparktide.operators import joins, predicates
 DEVICE_TYPES = {2: "Disk", 5: "Tape", 7: "Virtual Device", 9: "Azure Storage"}
 UNKNOWN_DEVICE = "UNKNOWN"
 
-# The password everybody tries first.
-COMMON_PASSWORD = "password"
+# Passwords everybody tries first.
+WEAK_PASSWORDS = {"blank": "", "common password": "password"}
 
 
 def built_in_admin(principals: DataFrame, sid: bytes = b"\x01") -> DataFrame:
@@ -37,21 +39,20 @@ def privileged_principals(principals: DataFrame, permissions: DataFrame) -> Data
     return privileged.select("name", "type_desc", "is_disabled")
 
 
-def weak_passwords(credentials: DataFrame) -> DataFrame:
-    """Logins whose password is blank, their own name or the common one.
+def weak_passwords(
+    credentials: DataFrame, candidates: Mapping[str, str] = WEAK_PASSWORDS
+) -> DataFrame:
+    """Logins whose password is one of the candidates or their own name.
 
-    One row per login and rule that hit. The candidates are digested and
-    compared row by row; nothing is joined.
+    ``candidates`` maps the reported weakness to the password. One row per
+    login and rule that hit. The candidates are digested and compared row by
+    row; nothing is joined.
     """
     digest = F.col("password_digest")
-    rules = F.array_compact(
-        F.array(
-            F.when(digest == F.sha2(F.lit(""), 256), "blank"),
-            F.when(digest == F.sha2(F.col("name"), 256), "same as login"),
-            F.when(digest == F.sha2(F.lit(COMMON_PASSWORD), 256), "common password"),
-        )
-    )
-    return credentials.select("name", F.explode(rules).alias("weakness"))
+    rules = [F.when(digest == F.sha2(F.col("name"), 256), "same as login")]
+    rules += [F.when(digest == F.sha2(F.lit(text), 256), label) for label, text in candidates.items()]
+    hits = F.array_compact(F.array(*rules))
+    return credentials.select("name", F.explode(hits).alias("weakness"))
 
 
 def backup_media(sets: DataFrame, families: DataFrame) -> DataFrame:

@@ -30,7 +30,8 @@ def delete_where(df: DataFrame, predicate: Column) -> DataFrame:
     return df.where(~F.coalesce(predicate, F.lit(False)))
 
 
-def keep_where(df: DataFrame, predicate: Column) -> DataFrame:
+def keep_by_rewrite(df: DataFrame, predicate: Column) -> DataFrame:
+    """The rows to keep, stated as such: the cheap way to delete most of a table."""
     return df.where(predicate)
 
 

@@ -116,22 +116,23 @@ def filter_suffixed_equals(df: DataFrame, col: str, suffix: str, value: str) ->
 # --- dates ------------------------------------------------------------------
 
 
-def _count(df: DataFrame, key: str) -> DataFrame:
-    return df.agg(F.count(key).alias("n"))
+def _count(df: DataFrame, key: str | None) -> DataFrame:
+    """Rows with a non-null ``key``, or all rows."""
+    return df.agg(F.count(key or "*").alias("n"))
 
 
-def count_year_function(df: DataFrame, col: str, year: int, key: str) -> DataFrame:
+def count_year_function(df: DataFrame, col: str, year: int, key: str | None = None) -> DataFrame:
     """Right answer, but the function hides the column from the scan."""
     return _count(df.where(F.year(col) == year), key)
 
 
-def count_year_between(df: DataFrame, col: str, year: int, key: str) -> DataFrame:
+def count_year_between(df: DataFrame, col: str, year: int, key: str | None = None) -> DataFrame:
     """Closed range up to midnight of 31 December: later rows of that day are lost."""
     lo, hi = dt.datetime(year, 1, 1), dt.datetime(year, 12, 31)
     return _count(filter_time_between(df, col, lo, hi), key)
 
 
-def count_year_half_open(df: DataFrame, col: str, year: int, key: str) -> DataFrame:
+def count_year_half_open(df: DataFrame, col: str, year: int, key: str | None = None) -> DataFrame:
     return _count(filter_year(df, col, year), key)
 
 
@@ -141,13 +142,13 @@ def filter_year(df: DataFrame, col: str, year: int) -> DataFrame:
     return df.where((F.col(col) >= _time(df, col, lo)) & (F.col(col) < _time(df, col, hi)))
 
 
-def count_day_as_text(df: DataFrame, col: str, day: dt.date, key: str) -> DataFrame:
+def count_day_as_text(df: DataFrame, col: str, day: dt.date, key: str | None = None) -> DataFrame:
     """Rows of one day, whatever their time; the optimizer turns it into a range."""
     return _count(df.where(F.to_date(col) == F.lit(day)), key)
 
 
 def count_shifted_date_equals(
-    df: DataFrame, col: str, as_of: dt.datetime, key: str, years: int = 1
+    df: DataFrame, col: str, as_of: dt.datetime, key: str | None = None, years: int = 1
 ) -> DataFrame:
     """Rows whose time, moved back by ``years``, is ``as_of``.
 
@@ -165,7 +166,7 @@ def count_shifted_date_equals(
     return _count(df.where(same), key)
 
 
-def count_arith_predicate(df: DataFrame, col: str, amount: float, key: str) -> DataFrame:
+def count_arith_predicate(df: DataFrame, col: str, amount: float, key: str | None = None) -> DataFrame:
     """``col - amount > 0`` with the arithmetic moved to the constant."""
     return _count(df.where(F.col(col) > amount), key)
 

@@ -189,7 +189,7 @@ def _(t):
 def _(t):
     path = _copy(t, "keep")
     return publish.change_table(
-        t.spark, path, lambda df: M.keep_where(df, F.col("o_orderkey") <= 1000), compact=True
+        t.spark, path, lambda df: M.keep_by_rewrite(df, F.col("o_orderkey") <= 1000), compact=True
     )
 
 

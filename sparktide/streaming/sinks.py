@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sparktide.operators import ordering
 from sparktide.sources import publish
 from sparktide.workspace import new_path
 
@@ -51,14 +52,16 @@ def restart_capture(
 
 
 def recent_events(
-    df: DataFrame, n: int, by: Sequence[Column], key: str, spread: int = 1024
+    df: DataFrame, n: int, by: Sequence[Column], key: str | None = None, spread: int = 1024
 ) -> DataFrame:
-    """The ``n`` latest events of each key.
+    """The ``n`` latest events of each key, or of all without a key.
 
     ``by`` is the order, latest first, and must be unique. For small ``n`` the
     groups are cut before the shuffle; for a large one each key is first cut
     in ``spread`` parts, so no task sorts a whole hot key.
     """
+    if key is None:
+        return ordering.top_n(df, n, *by)
     if n > GROUP_LIMIT:
         part = F.pmod(F.xxhash64(*df.columns), F.lit(spread))
         salted = df.withColumn("_part", part)
@@ -69,7 +72,7 @@ def recent_events(
 
 
 def ring_buffer(
-    stream: DataFrame, n: int, by: Sequence[Column], key: str, path: str, checkpoint: str
+    stream: DataFrame, n: int, by: Sequence[Column], key: str | None, path: str, checkpoint: str
 ) -> StreamingQuery:
     """Keep the ``n`` latest events of each key in the table at ``path``.
 

@@ -169,6 +169,13 @@ def test_weak_password_rules_overlap(spark):
     ]
 
 
+def test_further_password_candidates(spark):
+    rows = spark.createDataFrame([("bob", "hunter2")], "name string, p string")
+    digests = rows.select("name", F.sha2("p", 256).alias("password_digest"))
+    assert audit.weak_passwords(digests).count() == 0
+    assert audit.weak_passwords(digests, {"leaked": "hunter2"}).head()["weakness"] == "leaked"
+
+
 # --- antipattern thresholds ---------------------------------------------------
 
 

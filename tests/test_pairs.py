@@ -33,7 +33,7 @@ def test_pair(spark, folder, assert_same, first, second):
 def test_delete_equals_keep(tables, assert_same):
     orders = tables.orders
     deleted = mutations.delete_where(orders, F.col("o_orderkey") > 300)
-    assert_same(deleted, mutations.keep_where(orders, F.col("o_orderkey") <= 300))
+    assert_same(deleted, mutations.keep_by_rewrite(orders, F.col("o_orderkey") <= 300))
 
 
 def test_year_forms_agree_on_midnights(tables):

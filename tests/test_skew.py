@@ -53,6 +53,12 @@ def test_latest_of_hot_key(hot, assert_same, n):
     assert_same(ranked.where(F.col("r") <= n).drop("r"), sinks.recent_events(hot, n, order, "session_id"))
 
 
+def test_latest_without_a_key(hot):
+    order = [F.desc("collection_time"), F.desc("id")]
+    rows = [r.id for r in sinks.recent_events(hot, 5, order).collect()]
+    assert rows == [r.id for r in hot.orderBy(*order).take(5)]
+
+
 def test_latest_is_cut_before_the_shuffle(hot):
     df = sinks.recent_events(hot, 3, [F.desc("collection_time"), F.desc("id")], "session_id")
     plan = df._jdf.queryExecution().executedPlan().toString()
