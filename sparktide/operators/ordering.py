@@ -11,9 +11,9 @@ from pyspark.sql import types as T
 
 from sparktide.workspace import materialise
 
-# Up to this many rows Spark's own top-k keeps the rows of every task in one
-# final task; beyond it the rows are cut at a key found by counting.
-SMALL_TOP = 10_000
+# Spark's own top-k sends this many rows of every task to one final task, which
+# is fine up to here; beyond it the rows are cut at a key found by counting.
+SMALL_TOP = 1_000
 
 # Half width of the bracket around a wanted key, as a share of the rows, and
 # the accuracy of the quantiles it is taken from.
@@ -160,8 +160,10 @@ def first_rows(df: DataFrame, key: str, n: int) -> DataFrame:
         return keyed
     last = F.lit(_key_at(keyed.select(key), key, n, size))
     below, ties = df.where(F.col(key) < last), df.where(F.col(key) == last)
-    missing, tied = n - below.count(), ties.count()
-    return below.unionByName(ties if missing == tied else ties.limit(missing))
+    missing = n - below.count()
+    if missing < ties.count():
+        ties = ties.limit(missing) if missing <= SMALL_TOP else top_n(ties, missing, key)
+    return below.unionByName(ties)
 
 
 def intersect_rows(left: DataFrame, right: DataFrame) -> DataFrame:
