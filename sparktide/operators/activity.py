@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparktide.functions import conversion, temporal
-from sparktide.operators import skew, slices
+from sparktide.operators import slices
+from sparktide.workspace import materialise
 
 def _day() -> Column:
     return F.to_date("collection_time")
@@ -68,15 +69,19 @@ def wait_profile(snap: DataFrame) -> DataFrame:
 def average_time_baseline(history: DataFrame, current: DataFrame, key: str, time: str) -> DataFrame:
     """Current runs beside the average of earlier ones; ``is_slower`` is 1 above it.
 
-    The average is one row per key; keys with very many current runs look it
-    up by broadcast.
+    The averages, one row per key, are written first (a job): their exact size
+    decides whether they are broadcast, and otherwise AQE can split a key of
+    very many current runs, which it cannot against an unwritten aggregate.
     """
-    usual = history.groupBy(key).agg(
-        F.count(time).alias("usual_runs"),
-        conversion.rounded_mean(F.sum(time), F.count(time)).alias("usual_time"),
+    usual = materialise(
+        history.groupBy(key).agg(
+            F.count(time).alias("usual_runs"),
+            conversion.rounded_mean(F.sum(time), F.count(time)).alias("usual_time"),
+        ),
+        "usual",
     )
     slower = F.when(F.col(time) > F.col("usual_time"), 1).when(F.col("usual_time").isNotNull(), 0)
-    return skew.lookup_join(current, usual, [key], "left").withColumn("is_slower", slower)
+    return current.join(usual, key, "left").withColumn("is_slower", slower)
 
 
 def parameter_sensitivity(stats: DataFrame, key: str, time: str, percent: int) -> DataFrame:

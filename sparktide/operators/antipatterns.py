@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparktide.workspace import materialise
+
 # From this many IN values or OR terms on a mistyped column a query is flagged.
 TERM_THRESHOLD = 65
 
@@ -20,16 +22,16 @@ def antipattern_scan(
 
     ``column_types`` has (column_name, type_name). Both flags can be set on
     one query; integer columns and quoted values are never flagged. Only
-    flagged queries are returned.
+    flagged queries are returned. Runs a job over ``column_types``.
     """
     compared = F.nullif(F.regexp_extract("query_sql_text", _NUMBER_COMPARED, 1), F.lit(""))
     text_columns = column_types.where(F.col("type_name").isin("text", "string", "varchar", "nvarchar"))
-    # Terms are counted only in the texts that pass the type rule.
-    mistyped = query_log.withColumn("compared_column", compared).join(
-        text_columns.select(F.col("column_name").alias("compared_column")).distinct(),
-        "compared_column",
-        "inner",
+    # Written, so that Spark knows how small the list is; most texts may name one column.
+    names = materialise(
+        text_columns.select(F.col("column_name").alias("compared_column")).distinct(), "text_columns"
     )
+    # Terms are counted only in the texts that pass the type rule.
+    mistyped = query_log.withColumn("compared_column", compared).join(names, "compared_column", "inner")
     large = F.greatest(_separators(), _ors()) + 1 >= threshold
     return mistyped.select(
         "query_id",

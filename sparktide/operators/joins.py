@@ -35,7 +35,7 @@ def semi_join_in(parent: DataFrame, child: DataFrame, parent_key: str, child_key
     The child keys are reduced to distinct ones before they are shuffled, so
     neither many children per parent nor one parent with very many cost more.
     ``parent_key`` is the parent's own key; for a column in which one value
-    may fill much of the table use ``skew.lookup_join``.
+    may fill much of the table use ``predicates.filter_in_table``.
     """
     keys = child.select(child_key).distinct()
     return parent.join(keys, parent[parent_key] == keys[child_key], "left_semi")
@@ -78,7 +78,8 @@ def anti_join_left_null(left: DataFrame, right: DataFrame, left_key: str, right_
 def anti_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Rows of ``left`` without a partner; the partner keys are reduced first.
 
-    ``left_key`` is the key of ``left``; see ``semi_join_in`` for other columns.
+    ``left_key`` is the key of ``left``; where its values repeat very often,
+    ``stage`` the distinct partner keys first so that AQE can split them.
     """
     keys = right.select(right_key).distinct()
     return left.join(keys, left[left_key] == keys[right_key], "left_anti")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparktide.functions import temporal, text
-from sparktide.operators import skew
+from sparktide.workspace import materialise
 
 # An IN list longer than this is sent as a table and joined, so that the plan
 # does not carry the literals to every task.
@@ -209,9 +209,13 @@ def filter_optional(df: DataFrame, col: str, value) -> DataFrame:
 
 
 def filter_in_table(df: DataFrame, col: str, values: DataFrame) -> DataFrame:
-    """Rows whose ``col`` is in a one-column table; a value of very many rows is no burden."""
-    wanted = values.select(F.col(values.columns[0]).alias(col)).distinct()
-    return skew.lookup_join(df, wanted, [col], "left_semi")
+    """Rows whose ``col`` is in a one-column table (runs a job).
+
+    The distinct values are written first: their exact size decides whether
+    they are broadcast, and otherwise AQE can split a value of very many rows.
+    """
+    wanted = materialise(values.select(F.col(values.columns[0]).alias(col)).distinct(), "wanted")
+    return df.join(wanted, col, "left_semi")
 
 
 def _in_list(df: DataFrame, col: str, values: list) -> DataFrame:

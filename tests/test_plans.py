@@ -50,6 +50,12 @@ def test_no_pair_products(spark, folder):
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
 
 
+def test_the_small_side_is_broadcast(spark, folder):
+    """Neither the query texts nor the runs are sent around, but what they are looked up in."""
+    for name in ("antipattern_scan", "average_time_baseline", "filter_in_table"):
+        assert "BuildLeft" not in plan_of(QUERIES[name](spark, folder)), name
+
+
 def test_no_python_in_plans(spark, folder):
     for name in ("activity_delta", "antipattern_scan", "aborted_executions", "deadlock_reports_from_xml"):
         plan = plan_of(QUERIES[name](spark, folder))

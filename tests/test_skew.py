@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from sparktide.operators import activity, blocking, joins, mutations, ordering, skew, slices
+from sparktide.operators import activity, blocking, joins, mutations, ordering, predicates, slices
 from sparktide.streaming import sinks
 
 START = dt.datetime(2024, 1, 1)
@@ -120,27 +120,21 @@ def test_hot_waiters_are_split_by_aqe(spark, no_broadcast, work):
     assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_lookup_of_hot_and_null_keys(spark, assert_same, no_broadcast, how):
-    left = spark.range(9000).select(
-        F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 3 == 1, None).otherwise(F.col("id") % 50).alias("k"),
-        F.col("id").alias("v"),
+@pytest.mark.parametrize("operator", ["baseline", "in table"])
+def test_hot_key_against_an_aggregate_is_split(spark, no_broadcast, operator):
+    """Two thirds of the rows under one key and many nulls: the aggregate is written, AQE splits the rest."""
+    runs = spark.range(0, 200_000, 1, 16).select(
+        F.when(F.col("id") % 3 < 2, 1).when(F.col("id") % 7 > 0, F.col("id") % 1000).alias("q"),
+        F.xxhash64("id").alias("t"),
     )
-    right = spark.range(0, 40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
-    hot = skew.hot_keys(left, ["k"], sample=1.0)
-    assert {r[0] for r in hot.collect()} >= {1, None}
-    assert_same(left.join(right, "k", how), skew.lookup_join(left, right, ["k"], how, sample=1.0))
-
-
-def test_without_hot_keys_the_join_is_plain(spark, tables):
-    users = tables.users_antipattern
-    df = skew.lookup_join(users, users.select("id"), ["id"], "left_semi")
-    assert "Union" not in df._jdf.queryExecution().executedPlan().toString()
-
-
-def test_hot_keys_are_bounded(spark):
-    df = spark.range(60_000).select((F.col("id") % 2500).alias("k"))
-    assert skew.hot_keys(df, ["k"], sample=1.0).count() <= skew.HOT_ONE_IN
+    if operator == "baseline":
+        small = runs.select("q", (F.col("t") % 97).alias("t"))
+        df, rows = activity.average_time_baseline(small, runs, "q", "t"), 200_000
+    else:
+        df = predicates.filter_in_table(runs, "q", runs.select("q"))
+        rows = runs.where("q IS NOT NULL").count()
+    assert len(df.collect()) == rows
+    assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
 
 
 # --- chains and cycles --------------------------------------------------------------
