@@ -4,9 +4,10 @@ import pytest
 from compare import differences, duck
 
 import __spark_entry__ as entry_points
+from sparktide.plans.registry import REGISTRY
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES = {name: run for name, run in entry_points.queries().items() if name in REGISTRY}
+ORACLES = {name: sql for name, sql in entry_points.oracle_sql().items() if name in REGISTRY}
 
 
 @pytest.fixture(scope="module")
