@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparktide.llm import exact_dedup
+from sparktide.llm import exact_dedup, simhash
 from sparktide.llm.common import documents
 
 
@@ -36,3 +36,8 @@ def query(name: str, sql: str | None = None):
 )
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, folder))
+
+
+@query("op10_simhash_near_dedup")
+def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, folder))
