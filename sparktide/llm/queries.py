@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparktide.llm import exact_dedup, simhash
+from sparktide.llm import exact_dedup, mixing, simhash
 from sparktide.llm.common import documents
 
 
@@ -41,3 +41,58 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_simhash_near_dedup")
 def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, folder))
+
+
+_MIX_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, count(*) AS n,
+         row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM d GROUP BY source
+), w AS (
+  SELECT *, CAST([3, 1, 2][place % 3 + 1] AS INTEGER) AS weight, CAST(2 * source_size AS DOUBLE) AS cap FROM s
+), total AS (
+  SELECT CAST(sum(source_size) AS DOUBLE) * 1.5 AS wanted, sum(weight) AS weights,
+         greatest(1, least(1024, min(CASE WHEN source_size > 0 THEN source_size END) // 64)) AS block FROM w
+), levels AS (
+  SELECT coalesce(sum(cap) OVER f, 0.0) AS full_, CAST(weights - coalesce(sum(weight) OVER f, 0) AS INTEGER) AS left_, wanted, cap, weight
+  FROM w, total WINDOW f AS (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), level AS (
+  SELECT wanted - full_ AS rest, left_ FROM levels WHERE cap >= (wanted - full_) * weight / left_
+  ORDER BY full_, left_ DESC LIMIT 1
+), t AS (
+  SELECT w.*, CASE WHEN rest * weight / left_ > cap THEN cap ELSE rest * weight / left_ END AS target,
+         greatest(1, ceil(source_size / 262144), ceil(n / 65536)) AS shards FROM w, level
+), dealt AS (
+  SELECT doc_id, size, source_size, target, place,
+         CAST(CAST('0x' || substr(md5('42:' || doc_id), 1, 8) AS BIGINT) % shards AS BIGINT) AS shard
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), cells AS (
+  SELECT place, shard, CAST(sum(size) AS BIGINT) AS words, CAST(ceil(sum(size) / any_value(block)) AS BIGINT) AS blocks,
+         CASE WHEN any_value(source_size) > 0 THEN any_value(target) * CAST(sum(size) AS DOUBLE) / any_value(source_size) ELSE 0 END AS votes,
+         any_value(block) AS block
+  FROM dealt, total GROUP BY place, shard
+), ranked AS (
+  SELECT place, shard, row_number() OVER (ORDER BY votes / (2 * seat - 1) DESC, place, shard) AS rank
+  FROM (SELECT *, unnest(range(1, 2 * blocks + 1)) AS seat FROM cells) AS q
+), quota AS (
+  SELECT place, shard, count(*) AS quota FROM ranked, total WHERE rank <= CAST(floor(wanted / block + 0.5) AS BIGINT) GROUP BY ALL
+), runs AS (
+  SELECT c.*, coalesce(quota, 0) // greatest(blocks, 1) AS whole, coalesce(quota, 0) % greatest(blocks, 1) AS more,
+         CAST('0x' || substr(md5('42:' || place || ':' || shard), 1, 8) AS BIGINT) % greatest(blocks, 1) AS first_
+  FROM cells c LEFT JOIN quota USING (place, shard)
+), stream AS (
+  SELECT *, CAST(sum(size) OVER (PARTITION BY place, shard ORDER BY md5('42:' || doc_id), doc_id, size) AS BIGINT) AS stop FROM dealt
+), extra AS (
+  SELECT doc_id, size, source_size, target, whole,
+         CASE WHEN more > 0 THEN greatest(0, least(stop, (first_ + more) * block, words) - greatest(stop - size, first_ * block)) ELSE 0 END AS a,
+         CASE WHEN first_ + more > blocks THEN greatest(0, least(stop, (first_ + more - blocks) * block) - (stop - size)) ELSE 0 END AS z
+  FROM stream JOIN runs USING (place, shard)
+)
+SELECT doc_id, size, source_size, target, CAST(whole * size + a + z AS BIGINT) AS taken FROM extra
+"""
+
+
+@query("op3_source_mixing", _MIX_SQL)
+def op3_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.shares(documents(spark, folder))
