@@ -39,7 +39,7 @@ class Mix:
     weights: tuple[int, ...] = (3, 1, 2)
     most: int = 2
     block: int = 1_024
-    least_blocks: int = 64
+    least_blocks: int = 256
     shard_words: int = 262_144
     shard_rows: int = 65_536
     seed: int = 42

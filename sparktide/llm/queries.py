@@ -53,7 +53,7 @@ WITH d AS (
   SELECT *, CAST([3, 1, 2][place % 3 + 1] AS INTEGER) AS weight, CAST(2 * source_size AS DOUBLE) AS cap FROM s
 ), total AS (
   SELECT CAST(sum(source_size) AS DOUBLE) * 1.5 AS wanted, sum(weight) AS weights,
-         greatest(1, least(1024, min(CASE WHEN source_size > 0 THEN source_size END) // 64)) AS block FROM w
+         greatest(1, least(1024, min(CASE WHEN source_size > 0 THEN source_size END) // 256)) AS block FROM w
 ), levels AS (
   SELECT coalesce(sum(cap) OVER f, 0.0) AS full_, CAST(weights - coalesce(sum(weight) OVER f, 0) AS INTEGER) AS left_, wanted, cap, weight
   FROM w, total WINDOW f AS (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
