@@ -6,8 +6,9 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sparktide.llm import exact_dedup, mixing, simhash
+from sparktide.llm import bpe, exact_dedup, mixing, simhash
 from sparktide.llm.common import documents
 
 
@@ -96,3 +97,22 @@ SELECT doc_id, size, source_size, target, CAST(whole * size + a + z AS BIGINT) A
 @query("op3_source_mixing", _MIX_SQL)
 def op3_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.shares(documents(spark, folder))
+
+
+def _byte_bpe() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op8_bpe_round_trip")
+def op8_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    texts = documents(spark, folder).select("doc_id", "text")
+    encoded = bpe.encode(texts, _byte_bpe()).select("doc_id", "ids")
+    both = bpe.decode(encoded, _byte_bpe(), text_col="decoded")
+    return both.select(
+        "doc_id",
+        bpe.count_ids().alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
