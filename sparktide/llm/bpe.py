@@ -34,6 +34,7 @@ import struct
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -50,8 +51,17 @@ BLOCK = 4_096
 REMEMBERED = 300_000
 
 _NEVER = 1 << 60
-# A boundary in any context: between two other characters, in front of a single blank.
+# Token boundaries in any context: between two other characters, in front of a single blank ...
 CUT = re.compile(r"(?<=\S)(?= \S)")
+# ... from a letter to a mark or a newline, from a mark to a newline, behind a single newline.
+FINE_CUT = re.compile(
+    r"(?<=\S)(?= \S)|(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?=[.,;:!?)\n])|(?<=[.,;:!?)])(?=\n)|(?<=\S\n)(?=\S)"
+)
+# A blank next to any other white space, as far as either library may call it that.
+_SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
+    map(chr, range(0x2000, 0x200B))
+)
+_BESIDE = [p for c in _SPACES for p in {f" {c}", f"{c} "}]
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -61,7 +71,63 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
-class Vocabulary:
+class Piecewise:
+    """Encodes texts piece by piece and remembers the ids of recent pieces.
+
+    A text is split at single blanks, a piece that isn't known into finer ones,
+    and only those that aren't known either are encoded, by ``_encode_words``.
+    """
+
+    def __init__(self):
+        self._pieces: dict[str, bytes] = {}  # keyed without the blank in front
+        self._words: dict[str, bytes] = {}
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        raise NotImplementedError
+
+    def _long_piece(self, piece: str) -> bytes:
+        """A piece longer than a window."""
+        raise NotImplementedError
+
+    def _join_words(self, found: list[str]) -> list[bytes]:
+        """The ids of pieces, through their words."""
+        split = [FINE_CUT.split(p) for p in found]
+        words = self._words
+        new = list({w for ws in split for w in ws if w not in words})
+        if len(words) + len(new) > REMEMBERED:
+            words.clear()
+            new = list({w for ws in split for w in ws})
+        words.update(zip(new, self._encode_words(new), strict=True))
+        return [words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws]) for ws in split]
+
+    def plain(self, text: str) -> bytes:
+        """The packed ids of a text without added tokens."""
+        if len(text) > WINDOW or text[:1] == " " or text[-1:] == " " or any(b in text for b in _BESIDE):
+            return b"".join(self._group(g) for g in _groups(pieces(text)))
+        first, *rest = text.split(" ")
+        known = self._pieces
+        made = list(map(known.get, rest))
+        if None in made:
+            new = list({p for p, ids in zip(rest, made, strict=True) if ids is None})
+            if len(known) + len(new) > REMEMBERED:
+                known.clear()
+                new = list(set(rest))
+            known.update(zip(new, self._join_words([" " + p for p in new]), strict=True))
+            made = [known[p] for p in rest]
+        return b"".join([*self._join_words([first]), *made])
+
+    def _group(self, group: list[str]) -> bytes:
+        short = [p for p in group if len(p) <= WINDOW]
+        made = dict(zip(short, self._join_words(short), strict=True))
+        return b"".join([made[p] if p in made else self._long_piece(p) for p in group])
+
+
+def _groups(stream: Iterator[str]) -> Iterator[list[str]]:
+    while group := list(islice(stream, 4_096)):
+        yield group
+
+
+class Vocabulary(Piecewise):
     """A byte-level BPE vocabulary from the JSON text of a tokenizer file."""
 
     def __init__(self, text: str):
@@ -91,8 +157,7 @@ class Vocabulary:
         self.merged = [self.id_of[self.bytes_of[a] + self.bytes_of[b]] for a, b in self.merges]
         self.rank = {(a << 32) | b: r for r, (a, b) in reversed(list(enumerate(self.merges)))}
         self.lookahead = self._lookahead()
-        self._words: dict[str, tuple[int, ...]] = {}
-        self._pieces: dict[str, bytes] = {}
+        super().__init__()
 
     def _lookahead(self) -> int:
         """The farthest, in bytes, that what follows can reach back."""
@@ -153,22 +218,22 @@ class Vocabulary:
                 heapq.heappush(heap, (s, h))
         return [t for t in ids if t >= 0]
 
-    def _word(self, word: str) -> tuple[int, ...]:
-        ids = self._words.get(word)
-        if ids is None:
-            raw = word.encode()
-            whole = self.id_of.get(raw)
-            ids = tuple(self.stream([raw]) if len(raw) > BLOCK else (whole,) if whole is not None and self._proper(whole) else self.merge(raw))
-            if len(word) <= 64:
-                if len(self._words) >= REMEMBERED:
-                    self._words.clear()
-                self._words[word] = ids
-        return ids
+    def _word(self, word: str) -> list[int]:
+        """The tokens of one pre-token."""
+        raw = word.encode()
+        return self.merge(raw) if len(raw) <= BLOCK else list(self.stream([raw]))
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        made = []
+        for word in words:
+            ids: list[int] = []
+            for pre_token in self.pattern.findall(word):
+                ids += self._word(pre_token)
+            made.append(_packed(ids))
+        return made
 
-    @lru_cache(maxsize=200_000)  # noqa: B019
-    def _proper(self, token: int) -> bool:
-        """Whether the token's own bytes merge to it."""
-        return self.merge(self.bytes_of[token]) == [token]
+    def _long_piece(self, piece: str) -> bytes:
+        return _packed(self._long(piece))
 
     def stream(self, parts) -> Iterator[int]:
         """Tokens of one pre-token that arrives in parts, each as soon as it is stable."""
@@ -235,35 +300,15 @@ class Vocabulary:
             start = stop
         ends.append(start)
 
-    def _piece(self, piece: str) -> bytes:
-        if len(piece) > WINDOW:
-            return _packed(self._long(piece))
-        ids: list[int] = []
-        for word in self.pattern.findall(piece):
-            ids += self._word(word)
-        made = _packed(ids)
-        if len(piece) <= 64:
-            if len(self._pieces) >= REMEMBERED:
-                self._pieces.clear()
-            self._pieces[piece] = made
-        return made
-
-    def _plain(self, text: str) -> bytes:
-        known, parts = self._pieces, []
-        for piece in pieces(text):
-            made = known.get(piece)
-            parts.append(self._piece(piece) if made is None else made)
-        return b"".join(parts)
-
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
         if not self.added_at or not (found := list(self.added_at.finditer(text))):
-            return self._plain(text)
+            return self.plain(text)
         parts, at = [], 0
         for m in found:
-            parts += [self._plain(text[at : m.start()]), struct.pack("<I", self.added[m.group()])]
+            parts += [self.plain(text[at : m.start()]), struct.pack("<I", self.added[m.group()])]
             at = m.end()
-        return b"".join([*parts, self._plain(text[at:])])
+        return b"".join([*parts, self.plain(text[at:])])
 
     def decode(self, ids: bytes) -> str:
         """The text of packed ids."""

@@ -8,8 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparktide.llm import bpe, exact_dedup, mixing, simhash
-from sparktide.llm.common import documents
+from sparktide.llm import bpe, exact_dedup, mixing, records, simhash
+from sparktide.llm.common import documents, unordered
+from sparktide.workspace import materialise
 
 
 @dataclass(frozen=True)
@@ -116,3 +117,14 @@ def op8_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op1_token_records")
+def op1_token_records(spark: SparkSession, folder: str) -> DataFrame:
+    index, path = records.write_documents(documents(spark, folder), _byte_bpe(), end_id=0)
+    read = records.read_records(records.by_shard(index), path)
+    narrow = read.select(
+        "shard", "ordinal", "key", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+    placed = records.starts(materialise(narrow, "records_read"))
+    return placed.select(unordered("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
