@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparktide.llm import bpe, exact_dedup, mixing, records, simhash
+from sparktide.llm import bpe, exact_dedup, mixing, pii, records, simhash
 from sparktide.llm.common import documents, unordered
 from sparktide.workspace import materialise
 
@@ -128,3 +128,64 @@ def op1_token_records(spark: SparkSession, folder: str) -> DataFrame:
     )
     placed = records.starts(materialise(narrow, "records_read"))
     return placed.select(unordered("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
+def _spans_sql() -> str:
+    """Positions as running sums over the pieces between matches, with the plain patterns."""
+    patterns = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+        "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+        "card": r"[0-9](?:[\x20-]?[0-9])+",
+        "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+        "iban": r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b",
+    }
+    proposed = " UNION ALL ".join(
+        f"""SELECT doc_id, '{kind}' AS kind, {n} AS nth, unnest(hits) AS hit,
+                   unnest([list_sum([length(g) for g in gaps[:i]]) + coalesce(list_sum([length(h) for h in hits[:i - 1]]), 0)
+                           for i in range(1, len(hits) + 1)]) AS start
+            FROM (SELECT doc_id, regexp_extract_all(text, '{p}') AS hits, string_split_regex(text, '{p}') AS gaps FROM d) AS q"""
+        for n, (kind, p) in enumerate(patterns.items())
+    )
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents
+), proposed AS ({proposed}
+), numbers AS (
+  SELECT *, regexp_replace(hit, '[^0-9]', '', 'g') AS digits, replace(hit, ' ', '') AS plain FROM proposed
+), checked AS (
+  SELECT *, list_reduce([0] || [CASE WHEN c >= 'A' THEN 100 + ascii(c) - 55 ELSE ascii(c) - 48 END
+                  for c in string_split(substr(plain, 5) || substr(plain, 1, 4), '')],
+                 lambda r, c: CASE WHEN c >= 100 THEN (r * 100 + c - 100) % 97 ELSE (r * 10 + c) % 97 END) AS rest,
+         list_sum([CASE WHEN (length(digits) - i) % 2 = 0 THEN CAST(digits[i] AS INT)
+                        WHEN CAST(digits[i] AS INT) > 4 THEN 2 * CAST(digits[i] AS INT) - 9
+                        ELSE 2 * CAST(digits[i] AS INT) END for i in range(1, length(digits) + 1)]) AS luhn
+  FROM numbers
+), good AS (
+  SELECT doc_id, kind, nth, start, kind || ':' || start || ':' || (start + length(hit)) AS span FROM checked
+  WHERE CASE kind
+    WHEN 'email' THEN true
+    WHEN 'ip' THEN list_max([TRY_CAST(coalesce(nullif(ltrim(p, '0'), ''), '0') AS HUGEINT) for p in string_split(hit, '.')]) <= 255
+    WHEN 'card' THEN length(digits) BETWEEN 16 AND 19 AND luhn % 10 = 0
+    WHEN 'phone' THEN length(digits) BETWEEN 8 AND 15
+    ELSE length(plain) BETWEEN 15 AND 34 AND rest = 1 END
+), sums AS (
+  SELECT doc_id, count_if(kind = 'email') AS n_email, count_if(kind = 'ip') AS n_ip, count_if(kind = 'card') AS n_card,
+         count_if(kind = 'phone') AS n_phone,
+         string_agg(span, ',' ORDER BY nth, start) FILTER (kind <> 'iban') AS base, string_agg(span, ',' ORDER BY nth, start) AS spans
+  FROM good GROUP BY doc_id
+)
+SELECT doc_id, CAST(coalesce(n_email, 0) AS BIGINT) AS n_email, CAST(coalesce(n_ip, 0) AS BIGINT) AS n_ip,
+       CAST(coalesce(n_card, 0) AS BIGINT) AS n_card, CAST(coalesce(n_phone, 0) AS BIGINT) AS n_phone,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN sums USING (doc_id)"""
+
+
+@query("op9_pii_spans", _spans_sql())
+def op9_pii_spans(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(documents(spark, folder).select("doc_id", "text"))
+    base = ("email", "ip", "card", "phone")
+    return found.select(
+        "doc_id",
+        *[pii.count_of(F.col("spans"), k).alias(f"n_{k}") for k in base],
+        F.sha2(pii.joined(F.col("spans"), base), 256).alias("base_sha256"),
+        pii.joined(F.col("spans")).alias("spans"),
+    )
