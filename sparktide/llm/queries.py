@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparktide.llm import bpe, exact_dedup, mixing, pii, records, simhash
+from sparktide.llm import balltree, bpe, exact_dedup, mixing, pii, records, simhash
 from sparktide.llm.common import documents, unordered
 from sparktide.workspace import materialise
 
@@ -189,3 +189,23 @@ def op9_pii_spans(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(pii.joined(F.col("spans"), base), 256).alias("base_sha256"),
         pii.joined(F.col("spans")).alias("spans"),
     )
+
+
+@query(
+    "op7_ball_tree_top_k",
+    """WITH v AS (
+         SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v FROM embeddings
+         WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+       ), scored AS (
+         SELECT q.vec_id AS query_id, c.vec_id,
+                CAST(coalesce(list_sum([q.v[i] * c.v[i] for i in range(1, len(q.v) + 1)]), 0) AS BIGINT) AS score
+         FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+       ), ranked AS (
+         SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+       )
+       SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10""",
+)
+def op7_ball_tree_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    rows = materialise(balltree.vectors(documents(spark, folder, "embeddings"), "vec_id", "embedding", 1024), "vectors")
+    return balltree.top_k(rows, rows.where(F.col("id") % 100 == 0), 10)
