@@ -62,6 +62,19 @@ _SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f
     map(chr, range(0x2000, 0x200B))
 )
 _BESIDE = [p for c in _SPACES for p in {f" {c}", f"{c} "}]
+_BESIDE_ASCII = [p for p in _BESIDE if p.isascii()]
+_MARKS = ".,;:!?)\n"
+_LETTERS = frozenset(c for c in map(chr, range(0x41, 0x100)) if c.isalpha() and c not in "\xaa\xb5\xba")
+
+
+def _fine(piece: str):
+    """The words of a piece, cut like ``FINE_CUT``; marks at the end stay together."""
+    word = piece.rstrip(_MARKS)
+    if "\n" in word:
+        return FINE_CUT.split(piece)
+    if len(word) == len(piece) or word[-1:] not in _LETTERS:
+        return (piece,)
+    return word, piece[len(word) :]
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -74,8 +87,8 @@ def byte_alphabet() -> dict[str, int]:
 class Piecewise:
     """Encodes texts piece by piece and remembers the ids of recent pieces.
 
-    A text is split at single blanks, a piece that isn't known into finer ones,
-    and only those that aren't known either are encoded, by ``_encode_words``.
+    A text is split at single blanks, a piece that isn't known into words, and only
+    words that aren't known either are encoded, by ``_encode_words``.
     """
 
     def __init__(self):
@@ -91,7 +104,7 @@ class Piecewise:
 
     def _join_words(self, found: list[str]) -> list[bytes]:
         """The ids of pieces, through their words."""
-        split = [FINE_CUT.split(p) for p in found]
+        split = [_fine(p) for p in found]
         words = self._words
         new = list({w for ws in split for w in ws if w not in words})
         if len(words) + len(new) > REMEMBERED:
@@ -102,18 +115,21 @@ class Piecewise:
 
     def plain(self, text: str) -> bytes:
         """The packed ids of a text without added tokens."""
-        if len(text) > WINDOW or text[:1] == " " or text[-1:] == " " or any(b in text for b in _BESIDE):
+        beside = _BESIDE_ASCII if text.isascii() else _BESIDE
+        if len(text) > WINDOW or text[:1] == " " or text[-1:] == " " or any([b in text for b in beside]):
             return b"".join(self._group(g) for g in _groups(pieces(text)))
         first, *rest = text.split(" ")
         known = self._pieces
         made = list(map(known.get, rest))
         if None in made:
-            new = list({p for p, ids in zip(rest, made, strict=True) if ids is None})
+            missing = [i for i, ids in enumerate(made) if ids is None]
+            new = list({rest[i] for i in missing})
+            fresh = dict(zip(new, self._join_words([" " + p for p in new]), strict=True))
+            for i in missing:
+                made[i] = fresh[rest[i]]
             if len(known) + len(new) > REMEMBERED:
                 known.clear()
-                new = list(set(rest))
-            known.update(zip(new, self._join_words([" " + p for p in new]), strict=True))
-            made = [known[p] for p in rest]
+            known.update(fresh)
         return b"".join([*self._join_words([first]), *made])
 
     def _group(self, group: list[str]) -> bytes:

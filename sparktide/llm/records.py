@@ -93,9 +93,32 @@ class LibraryEncoder(Piecewise):
         self._library = Tokenizer.from_str(text)
         self._library.no_truncation()
         self._library.no_padding()
+        # A byte-level token has a character per byte, an added one its own text.
+        self._bytes_in = np.zeros(1 + max(self._library.get_vocab().values()), np.int64)
+        for token, i in self._library.get_vocab().items():
+            self._bytes_in[i] = len(token)
+        for i, token in self._library.get_added_tokens_decoder().items():
+            self._bytes_in[i] = len(token.content.encode())
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self._library.encode_batch_fast(words, add_special_tokens=False)]
+        """The ids of words; those whose ends are boundaries next to each other go as one text."""
+        made: dict[str, bytes] = {}
+        joined = [w for w in words if w[0:1] == " " and not w[1:2].isspace() and w[1:] and not w[-1].isspace()]
+        if joined:
+            (encoded,) = self._library.encode_batch_fast(["".join(joined)], add_special_tokens=False)
+            ids = np.array(encoded.ids, "<u4")
+            ends = np.cumsum(self._bytes_in[ids])
+            wanted = np.cumsum([len(w.encode()) for w in joined])
+            at = np.searchsorted(ends, wanted)
+            if (ends[np.minimum(at, len(ends) - 1)] != wanted).any():
+                raise ValueError("a token reaches over the end of a word")
+            raw, cuts = ids.tobytes(), [0, *(4 * (at + 1)).tolist()]
+            made = {w: raw[a:b] for w, a, b in zip(joined, cuts, cuts[1:], strict=False)}
+        apart = [w for w in words if w not in made]
+        if apart:
+            encoded = self._library.encode_batch_fast(apart, add_special_tokens=False)
+            made.update((w, array("I", e.ids).tobytes()) for w, e in zip(apart, encoded, strict=True))
+        return [made[w] for w in words]
 
     def _long_piece(self, piece: str) -> bytes:
         return vocabulary(self._text).encode(piece)
