@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparktide.llm import balltree, bpe, chat, exact_dedup, mixing, pii, records, simhash
+from sparktide.llm import balltree, bpe, chat, exact_dedup, mixing, pii, records, simhash, toxicity
 from sparktide.llm.common import documents, unordered
 from sparktide.workspace import materialise
 
@@ -238,3 +238,8 @@ def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     output = chat.write_conversations(given.unionByName(forged), _byte_bpe())
     read = chat.digests(chat.read_turns(output, _byte_bpe()))
     return read.select(unordered("conv").alias("conv_id"), *[c for c in read.columns if c != "conv"])
+
+
+@query("op2_toxic_passages")
+def op2_toxic_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_documents(documents(spark, folder), documents(spark, folder, "labels"))
