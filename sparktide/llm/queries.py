@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparktide.llm import balltree, bpe, chat, exact_dedup, mixing, pii, records, simhash, toxicity
+from sparktide.llm import balltree, bpe, chat, exact_dedup, language, mixing, pii, records, simhash, toxicity
 from sparktide.llm.common import documents, unordered
 from sparktide.workspace import materialise
 
@@ -243,3 +243,19 @@ def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_toxic_passages")
 def op2_toxic_passages(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_documents(documents(spark, folder), documents(spark, folder, "labels"))
+
+
+@query("op5_language_id")
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents and all pages; a row has a ``doc_id`` or a ``page_id``."""
+    docs, pages = documents(spark, folder), documents(spark, folder, "pages")
+    both = language.document_rows(docs).withColumn("kind", F.lit("document")).unionByName(
+        language.page_rows(pages).withColumn("kind", F.lit("page"))
+    )
+    judged = language.fuse(both, language.train(docs))
+    key = unordered("key")
+    return judged.select(
+        F.when(F.col("kind") == "document", key).alias("doc_id"),
+        F.when(F.col("kind") == "page", key).alias("page_id"),
+        "declared", "text_language", "language", F.round("confidence", 6).alias("confidence"), "accepted",
+    )
