@@ -16,6 +16,11 @@ place links each of its fingerprints to the smallest one it is connected with
 there and no pair is listed twice. Every emitted link lies inside one component;
 nothing that grows with the square of a group is made.
 
+``drop_near_duplicates`` asks for a similarity of shingle sets instead of a number of
+bits. It takes several independent short sketches of each document, so that pairs
+above the similarity meet in one of them, lets every place keep the closest links
+that connect what met there, and verifies each link on the whole shingle sets.
+
 Words are runs of anything but blank, tab, newline, vertical tab, form feed and
 return, after A-Z became a-z. Fewer words than a shingle has make one shingle; no
 words make fingerprint zero, which is linked like any other. A null text is empty.
@@ -31,7 +36,7 @@ from math import comb, log2
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,33 +70,59 @@ def _word_runs(raw: bytes, keep: int):
         at = end
 
 
-def fingerprint(raw: bytes, width: int) -> int:
-    """The SimHash of a text in UTF-8 over its shingles of ``width`` words, as a signed long."""
+def shingle_hashes(raw: bytes, width: int):
+    """Arrays of the XXH64 of all shingles of a text in UTF-8, in order; none for no words."""
     from xxhash import xxh64_intdigest
 
-    counts, total, head = np.zeros(BITS, np.int64), 0, None
+    some, head = False, []
     for words in _word_runs(raw.lower(), width - 1):
         if len(words) < width:
-            head = words
+            head = head if some else words
             continue
+        some = True
         joined = b" ".join(words)
         ends = np.cumsum([len(w) + 1 for w in words])
         starts = np.concatenate(([0], ends[:-1]))
-        hashes = [
-            xxh64_intdigest(joined[a:b], SEED)
-            for a, b in zip(starts[: len(words) - width + 1].tolist(), (ends[width - 1 :] - 1).tolist(), strict=True)
-        ]
-        for k in range(0, len(hashes), 65_536):
-            part = np.array(hashes[k : k + 65_536], "<u8")
-            counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, np.int64)
-        total += len(hashes)
-    if not total:
-        if not head:
-            return 0
-        value = xxh64_intdigest(b" ".join(head), SEED)
-    else:
-        value = int.from_bytes(np.packbits(counts * 2 > total, bitorder="little").tobytes(), "little")
-    return value - 2**64 if value >= 2**63 else value
+        starts, ends = starts[: len(words) - width + 1].tolist(), (ends[width - 1 :] - 1).tolist()
+        yield np.array([xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts, ends, strict=True)], "<u8")
+    if not some and head:
+        yield np.array([xxh64_intdigest(b" ".join(head), SEED)], "<u8")
+
+
+def _majority(hashes, bits: int) -> int:
+    """The bits that are set in over half of all hashes, as a signed long."""
+    counts, total = np.zeros(BITS, np.int64), 0
+    for part in hashes:
+        for k in range(0, len(part), 65_536):
+            some = part[k : k + 65_536]
+            counts += np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, np.int64)
+        total += len(part)
+    value = int.from_bytes(np.packbits(counts * 2 > total, bitorder="little").tobytes(), "little") if total else 0
+    return _signed(value & ((1 << bits) - 1))
+
+
+def fingerprint(raw: bytes, width: int) -> int:
+    """The SimHash of a text in UTF-8 over its shingles of ``width`` words, as a signed long."""
+    return _majority(shingle_hashes(raw, width), BITS)
+
+
+def sketches(raw: bytes, width: int, n: int, bits: int) -> list[int]:
+    """SimHashes of ``bits`` bits under ``n`` independent hashes of the shingles."""
+    parts = list(shingle_hashes(raw, width))
+    made = []
+    for k in range(n):
+        salt = np.uint64((0x9E3779B97F4A7C15 * (k + 1)) % 2**64)
+        mixed = []
+        for x in parts:
+            x = (x ^ salt) * np.uint64(0xBF58476D1CE4E5B9)
+            x = (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+            mixed.append(x ^ (x >> np.uint64(29)))
+        made.append(_majority(mixed, bits))
+    return made
+
+
+def _signed(mask: int) -> int:
+    return mask - 2**64 if mask >= 2**63 else mask
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
@@ -109,10 +140,6 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return materialise(map_batches(rows, make, schema), "fingerprints")
 
 
-def _signed(mask: int) -> int:
-    return mask - 2**64 if mask >= 2**63 else mask
-
-
 def _masks(low: int, high: int, flips: int) -> list[tuple[int, int]]:
     """All (mask, flips) over the bits from ``low`` up to ``high``."""
     return [(sum(1 << b for b in c), k) for k in range(flips + 1) for c in combinations(range(low, high), k)]
@@ -128,15 +155,15 @@ def _spread(rows: DataFrame, low: int, high: int, flips: int) -> DataFrame:
     ``place`` is the leading part down to bit ``low``, ``used`` the flips so far.
     """
     masks = [F.struct(F.lit(_signed(m)).alias("mask"), F.lit(k).alias("cost")) for m, k in _masks(low, high, flips)]
-    kept = F.lit(_signed((1 << BITS) - (1 << low) if low else (1 << BITS) - 1))
-    moved = rows.withColumn("flip", F.explode(F.array(*masks))).where(F.col("used") + F.col("flip.cost") <= flips)
-    return moved.select(
-        "fp",
-        "rest",
-        (F.col("rest").bitwiseXOR(F.col("flip.mask"))).bitwiseAND(kept).alias("place"),
-        F.col("rest").bitwiseXOR(F.col("flip.mask")).alias("moved"),
-        (F.col("used") + F.col("flip.cost")).alias("used"),
-    ).select("fp", F.col("moved").alias("rest"), "place", "used")
+    flipped = rows.withColumn("flip", F.explode(F.array(*masks))).where(F.col("used") + F.col("flip.cost") <= flips)
+    moved = flipped.withColumns(
+        {"rest": F.col("rest").bitwiseXOR(F.col("flip.mask")), "used": F.col("used") + F.col("flip.cost")}
+    ).drop("flip")
+    return moved.withColumn("place", _leading(low))
+
+
+def _leading(low: int) -> F.Column:
+    return F.col("rest").bitwiseAND(F.lit(_signed(((1 << BITS) - 1) ^ ((1 << low) - 1))))
 
 
 def _variants(rest: np.ndarray, used: np.ndarray, low: int, flips: int) -> tuple[np.ndarray, np.ndarray]:
@@ -150,90 +177,129 @@ def _variants(rest: np.ndarray, used: np.ndarray, low: int, flips: int) -> tuple
     return np.concatenate(values), np.concatenate(owners)
 
 
-def _roots(values: np.ndarray, owners: np.ndarray, n: int) -> np.ndarray:
-    """For n owners: the smallest owner each is connected with through equal values."""
+def _met(values: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Owners of the values that occur twice, value by value, and where each value's run starts."""
     ordered_values = np.sort(values)
     twice = np.unique(ordered_values[1:][ordered_values[1:] == ordered_values[:-1]])
-    roots = np.arange(n, dtype=np.int64)
     if not len(twice):
-        return roots
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     seen = np.zeros(1 << 20, bool)
     seen[(twice & np.uint64(0xFFFFF)).astype(np.int64)] = True
     maybe = seen[(values & np.uint64(0xFFFFF)).astype(np.int64)]
     values, owners = values[maybe], owners[maybe]
     run = np.searchsorted(twice, values)
     run[run == len(twice)] = 0
-    met = twice[run] == values
-    run, owners = run[met], owners[met]
-    order = np.argsort(run, kind="stable")
+    hit = twice[run] == values
+    run, owners = run[hit], owners[hit].astype(np.int64)
+    order = np.lexsort((owners, run))
     run, owners = run[order], owners[order]
-    starts = np.flatnonzero(np.concatenate(([True], run[1:] != run[:-1])))
-    lengths = np.diff(np.append(starts, len(run)))
-    while True:
+    return owners, np.flatnonzero(np.concatenate(([True], run[1:] != run[:-1])))
+
+
+def _roots(owners: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
+    """For n owners: the smallest owner each is connected with through runs of ``_met``."""
+    roots = np.arange(n, dtype=np.int64)
+    lengths = np.diff(np.append(starts, len(owners)))
+    while len(owners):
         least = np.repeat(np.minimum.reduceat(roots[owners], starts), lengths)
         new = roots.copy()
         np.minimum.at(new, roots[owners], least)
         np.minimum.at(new, owners, least)
         new = new[new]
         if (new == roots).all():
-            return roots
+            break
         roots = new
-
-
-def _links_of(low: int, flips: int):
+    return roots
+
+
+def _closest(owners: np.ndarray, starts: np.ndarray, prints: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect what met, the closest first: a forest of smallest distances."""
+    lengths = np.diff(np.append(starts, len(owners)))
+    first = np.repeat(owners[starts], lengths)
+    before = np.concatenate((owners[:1], owners[:-1]))
+    before[starts] = first[starts]
+    pairs = np.unique(np.stack([np.concatenate((first, before)), np.concatenate((owners, owners))], axis=1), axis=0)
+    pairs = pairs[pairs[:, 0] != pairs[:, 1]]
+    apart = np.bitwise_count(prints[pairs[:, 0]] ^ prints[pairs[:, 1]])
+    up = list(range(len(prints)))
+
+    def top(x: int) -> int:
+        while up[x] != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    kept = []
+    for a, b in pairs[np.argsort(apart, kind="stable")].tolist():
+        x, y = top(a), top(b)
+        if x != y:
+            up[max(x, y)] = min(x, y)
+            kept.append((a, b))
+    return kept
+
+
+def _links_of(low: int, flips: int, closest: bool):
     def links(table: pa.Table) -> pa.Table:
-        fp = table["fp"].to_numpy()
-        order = np.argsort(fp, kind="stable")
-        fp = fp[order]
+        ids = table["id"].to_numpy()
+        order = np.argsort(ids, kind="stable")
+        ids = ids[order]
         rest = table["rest"].to_numpy()[order].view(np.uint64)
         used = table["used"].to_numpy()[order]
-        values, owners = _variants(rest, used, low, flips)
-        roots = _roots(values, owners, len(fp))
-        linked = roots != np.arange(len(fp))
-        return pa.table({"a": pa.array(fp[roots[linked]], pa.int64()), "b": pa.array(fp[linked], pa.int64())})
+        owners, starts = _met(*_variants(rest, used, low, flips))
+        if not len(owners):
+            a = b = ids[:0]
+        elif closest:
+            kept = np.array(_closest(owners, starts, table["fp"].to_numpy()[order].view(np.uint64)), np.int64).reshape(-1, 2)
+            a, b = ids[kept[:, 0]], ids[kept[:, 1]]
+        else:
+            roots = _roots(owners, starts, len(ids))
+            linked = roots != np.arange(len(ids))
+            a, b = ids[roots[linked]], ids[linked]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return links
 
 
-def near_links(prints: DataFrame, radius: int = 4) -> DataFrame:
-    """Links (a, b) that connect all distinct fingerprints ``fp`` within ``radius`` bits.
+def near_links(prints: DataFrame, radius: int = 4, bits: int = BITS, closest: bool = False) -> DataFrame:
+    """Links (a, b) of ids that connect all distinct fingerprints within ``radius`` bits.
 
-    Every link joins members of one component; fingerprints within the radius
-    are connected, if not always by a link of their own.
+    ``prints`` has id, sketch and fp; only fingerprints of one sketch meet. Every
+    link joins members of one component; fingerprints within the radius are
+    connected, if not always by a link of their own. With ``closest`` the links of a
+    place are those of the smallest distances that connect it.
     """
     if radius < 0 or radius % 2:
         raise ValueError("the radius must be even, so that its half is whole")
-    flips = radius // 2
-    n = prints.count()
-    bits = max(0, min(BITS, int(log2(max(1, n * _ball(BITS, flips) / PLACE_VARIANTS)) + 1)))
-    rows, high = prints.select("fp", F.col("fp").alias("rest"), F.lit(0).alias("used")), BITS
+    flips, keys = radius // 2, ["sketch", "place"]
+    n = prints.groupBy("sketch").count().agg(F.max("count")).first()[0] or 0
+    first = max(0, min(bits, int(log2(max(1, n * _ball(bits, flips) / PLACE_VARIANTS)) + 1)))
+    carried = ["id", "sketch", *(["fp"] if closest else [])]
+    rows, high = prints.select(*carried, F.col("fp").alias("rest"), F.lit(0).alias("used")), bits
     found = None
     while True:
-        low = high - bits if high == BITS else max(0, high - MORE_BITS)
+        low = high - first if high == bits else max(0, high - MORE_BITS)
         placed = _spread(rows, low, high, flips)
         # What a place holds is dominated by the fingerprints that came there unflipped.
-        own = rows.where("used = 0").groupBy(F.col("rest").bitwiseAND(F.lit(_signed((1 << BITS) - (1 << low)))).alias("place"))
-        heavy = own.agg(F.count("*").alias("n")).where(F.col("n") * _ball(low, flips) > 4 * PLACE_VARIANTS)
-        heavy = materialise(heavy.select("place"), "heavy_places")
+        own = rows.where("used = 0").groupBy("sketch", _leading(low).alias("place")).agg(F.count("*").alias("n"))
+        heavy = own.where(F.col("n") * _ball(low, flips) > 4 * PLACE_VARIANTS)
+        heavy = materialise(heavy.select(*keys), "heavy_places")
         last = low == 0 or heavy.isEmpty()
-        fitting = placed if last else placed.join(heavy, "place", "left_anti")
-        links = fitting.groupBy("place").applyInArrow(_links_of(low, flips), "a long, b long")
+        fitting = placed if last else placed.join(heavy, keys, "left_anti")
+        links = fitting.groupBy(*keys).applyInArrow(_links_of(low, flips, closest), "a long, b long")
         found = links if found is None else found.union(links)
         if last:
             return found
-        rows = materialise(placed.join(heavy, "place", "left_semi").select("fp", "rest", "used"), "heavy_rows")
+        rows = materialise(placed.join(heavy, keys, "left_semi").drop("place"), "heavy_rows")
         high = low
 
 
 def near_groups(rows: DataFrame, radius: int = 4) -> DataFrame:
     """(fp, component) of every distinct fingerprint: the smallest key that can be reached."""
-    prints = materialise(rows.groupBy("fp").agg(F.min("key").alias("least")), "prints")
-    roots = components(near_links(prints, radius)).select(F.col("node").alias("fp"), "root")
-    rooted = materialise(
-        prints.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "rooted"
+    prints = materialise(rows.groupBy("fp").agg(F.min("key").alias("id")), "prints")
+    roots = components(near_links(prints.withColumn("sketch", F.lit(0)), radius))
+    roots = roots.select(F.col("node").alias("id"), "root")
+    return materialise(
+        prints.join(roots, "id", "left").select("fp", F.coalesce("root", "id").alias("component")), "near_groups"
     )
-    least = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    return materialise(rooted.join(materialise(least, "least"), "root").select("fp", "component"), "near_groups")
 
 
 def near_duplicates(
@@ -247,3 +313,83 @@ def near_duplicates(
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         unordered("component").alias("component_id"),
     )
+
+
+# --- similarity of shingle sets ---------------------------------------------------
+
+
+def sketch_bits(n: int, radius: int, chance: float) -> int:
+    """The least bits at which a sketch has at most ``chance`` strangers within the radius among ``n`` documents."""
+    bits = 24
+    while bits < BITS - 1 and n * _ball(bits, radius) / 2.0**bits > chance:
+        bits += 1
+    return bits
+
+
+def _keyed_texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return df.select(ordered(F.col(id_col).cast("long")).alias("key"), text_of(text_col).cast("binary").alias("raw"))
+
+
+def _sketched(df: DataFrame, width: int, n: int, bits: int) -> DataFrame:
+    """(id, sketch, fp) of every (key, raw), written."""
+
+    def make():
+        def step(batch: pa.RecordBatch) -> dict:
+            return {"id": batch.column("key"), "fps": [sketches(x.as_py(), width, n, bits) for x in batch.column("raw")]}
+
+        return step
+
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("fps", T.ArrayType(T.LongType()))])
+    made = materialise(map_batches(df, make, schema), "sketches")
+    return made.select("id", F.posexplode("fps").alias("sketch", "fp"))
+
+
+def _shingle_sets(df: DataFrame, width: int) -> DataFrame:
+    """(key, shingles): the distinct shingle hashes of every (key, raw)."""
+
+    def make():
+        def step(batch: pa.RecordBatch) -> dict:
+            sets = [list(shingle_hashes(x.as_py(), width)) for x in batch.column("raw")]
+            return {
+                "key": batch.column("key"),
+                "shingles": [np.unique(np.concatenate(x)).view(np.int64) if x else [] for x in sets],
+            }
+
+        return step
+
+    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType()))])
+    return map_batches(df, make, schema)
+
+
+def similar_links(
+    df: DataFrame, width: int = 5, similarity: float = 0.8, n_sketches: int = 4, radius: int = 4, chance: float = 0.05,
+    id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """Verified links (a, b) of documents whose shingle sets are at least so similar."""
+    texts = _keyed_texts(df, id_col, text_col)
+    bits = sketch_bits(texts.count(), radius, chance)
+    rows = _sketched(texts, width, n_sketches, bits)
+    prints = materialise(rows.groupBy("sketch", "fp").agg(F.min("id").alias("id")), "sketch_prints")
+    first = prints.select("sketch", "fp", F.col("id").alias("a"))
+    equal = rows.join(first, ["sketch", "fp"]).where("id <> a").select("a", F.col("id").alias("b"))
+    links = near_links(prints, radius, bits, closest=True).union(equal)
+    ends = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    links = materialise(links.select(*ends).distinct(), "candidate_links")
+    asked = links.select(F.col("a").alias("key")).union(links.select(F.col("b").alias("key"))).distinct()
+    sets = materialise(_shingle_sets(texts.join(materialise(asked, "asked"), "key", "left_semi"), width), "shingle_sets")
+    left = sets.select(F.col("key").alias("a"), F.col("shingles").alias("one"))
+    right = sets.select(F.col("key").alias("b"), F.col("shingles").alias("other"))
+    common = F.size(F.array_intersect("one", "other"))
+    either = F.size("one") + F.size("other") - common
+    return links.join(left, "a").join(right, "b").where((either == 0) | (common >= similarity * either)).select("a", "b")
+
+
+def drop_near_duplicates(df: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` without near duplicates; the document with the smallest id of each group stays.
+
+    Rows with equal ids are one document: they stay or go together.
+    """
+    groups = components(similar_links(df, width, similarity, id_col=id_col, text_col=text_col))
+    dropped = materialise(groups.where("node <> root").select(F.col("node").alias("_key")), "near_dropped")
+    marked = df.withColumn("_key", ordered(F.col(id_col).cast("long")))
+    return marked.join(dropped, "_key", "left_anti").select(*df.columns)
