@@ -14,9 +14,10 @@ labelled documents of that class: P(S >= x) = 1 - exp(-K n exp(-lambda x)). A
 document's significant segments add up, and a logistic curve, fitted on the labelled
 documents, turns the sum into a probability.
 
-Fitting reads labelled rows only. The model holds at most ``max_terms`` terms, the most
-certain ones, so its size doesn't depend on the data; all counts are grouped
-aggregates over all labelled documents.
+The model is fitted on at most ``max_rows`` labelled rows, those with the smallest hash of
+their id, and holds at most ``max_terms`` terms, the most certain ones. Neither bound
+depends on the data, so the sample's ids and the model may go to every task, and the
+documents are not shuffled to find their labels. Every text is scored whole.
 
 Defined results: null texts are empty, texts without words have no passages and get
 the score of a document in which nothing was found. Documents with two labels count
@@ -51,6 +52,7 @@ class Settings:
     prior: float = 50.0
     least_certain: float = 4.5
     max_terms: int = 65_536
+    max_rows: int = 20_000
     drift: float = 0.03
     significant: float = 0.05
 
@@ -289,10 +291,11 @@ def find(df: DataFrame, model: Model, text_col: str = "text", kept: list[str] |
     return map_batches(df.select(*kept, text_of(text_col).alias("_text")), make, schema)
 
 
-def learnable(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, toxic) of the labelled rows a model may learn from."""
-    teach = labels.where(~held_out("doc_id") & F.col("toxic").isNotNull()).select("doc_id", "toxic")
-    return docs.select("doc_id", "text").join(teach, "doc_id").select("text", "toxic")
+def learnable(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """(text, toxic) of the bounded sample of labelled rows that a model learns from."""
+    teach = labels.where(~held_out("doc_id") & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
+    sample = teach.select("doc_id", "toxic").orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(settings.max_rows)
+    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "toxic")
 
 
 def held_out(id_col: str) -> F.Column:
