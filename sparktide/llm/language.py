@@ -39,6 +39,8 @@ from sparktide.workspace import materialise
 
 BUCKETS = 16_384
 CHUNK = 262_144
+#: What a trigram that a language was never seen with counts.
+UNSEEN = 0.1
 _OTHER = re.compile(r"[\W\d_]+")
 
 
@@ -84,7 +86,7 @@ def train(df: DataFrame, settings: Settings = Settings(), text_col: str = "text"
         yield pa.RecordBatch.from_arrays(made, names=["lang", "bucket", "n"])
 
     sums = rows.mapInArrow(run, schema).groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    counts = np.full((len(known) + 1, BUCKETS), 0.5)
+    counts = np.full((len(known) + 1, BUCKETS), UNSEEN)
     for r in sums.collect():  # languages times buckets at most
         counts[r.lang, r.bucket] += r.n
     counts[-1] = 1

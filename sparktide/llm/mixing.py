@@ -244,7 +244,7 @@ def take(df: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str
         ),
         lambda p: p["z"] > p["a"],
     )
-    copies = marked.join(taken, [*same, "_nth"]).withColumn("_part", F.explode(F.concat(whole, parts)))
+    copies = marked.where("_size > 0").join(taken, [*same, "_nth"]).withColumn("_part", F.explode(F.concat(whole, parts)))
     pieces = F.regexp_extract_all(text_of(text_col), F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
     length = (F.col("_part.z") - F.col("_part.a")).cast("int")
     cut = F.array_join(F.slice(pieces, (F.col("_part.a") + 1).cast("int"), length), "")
