@@ -386,7 +386,7 @@ def _with(df: DataFrame, source: F.Column, name: str, kind: T.DataType, make) ->
         one = make()
 
         def step(batch: pa.RecordBatch) -> dict:
-            made = [one(x.as_py()) for x in batch.column("_read")]
+            made = [one(x) for x in batch.column("_read").to_pylist()]
             return {c: batch.column(c) for c in kept} | {name: made}
 
         return step
@@ -407,5 +407,28 @@ def decode(df: DataFrame, vocabulary_path: str, ids_col: str = "ids", text_col:
     return _with(df, ids, text_col, T.StringType(), lambda: vocabulary(shared.value).decode)
 
 
+def encode_checked(df: DataFrame, vocabulary_path: str, text_col: str = "text", ids_col: str = "ids", same_col: str = "round_trip") -> DataFrame:
+    """``encode``, and in ``same_col`` whether decoding the ids gives the text back; one pass over the texts."""
+    shared = df.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path))
+    kept = [c for c in df.columns if c not in (ids_col, same_col)]
+    schema = T.StructType(
+        [*(df.schema[c] for c in kept), T.StructField(ids_col, T.BinaryType()), T.StructField(same_col, T.BooleanType())]
+    )
+    given = F.col(text_col)
+
+    def make():
+        v = vocabulary(shared.value)
+
+        def step(batch: pa.RecordBatch) -> dict:
+            texts = [x or "" for x in batch.column("_read").to_pylist()]
+            ids = [v.encode(t) for t in texts]
+            same = [v.decode(i) == t for i, t in zip(ids, texts, strict=True)]
+            return {c: batch.column(c) for c in kept} | {ids_col: ids, same_col: same}
+
+        return step
+
+    return map_batches(df.select(*kept, given.alias("_read")), make, schema)
+
+
 def count_ids(ids_col: str = "ids") -> F.Column:
     return (F.octet_length(ids_col) / 4).cast("long")

@@ -14,6 +14,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 LEAST = -(2**63)
 
+#: Rows of an Arrow batch that a Python function sees at once, so that what it makes of them stays small.
+SLICE_ROWS = 512
+
 
 def text_of(column: str | Column) -> Column:
     """The text, a null one as empty."""
@@ -53,12 +56,13 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dic
         arrow = to_arrow_schema(schema)
         step = make()
         for batch in batches:
-            made = step(batch)
-            arrays = [
-                made[n] if isinstance(made[n], pa.Array) else pa.array(made[n], f.type)
-                for n, f in zip(names, arrow, strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                made = step(batch.slice(at, SLICE_ROWS))
+                arrays = [
+                    made[n] if isinstance(made[n], pa.Array) else pa.array(made[n], f.type)
+                    for n, f in zip(names, arrow, strict=True)
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
     return df.mapInArrow(run, schema)
 
