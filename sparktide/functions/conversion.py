@@ -22,10 +22,16 @@ def whole_division(a: Column, b: Column) -> Column:
 
 
 def rounded_mean(total: Column, n: Column) -> Column:
-    """Mean of a non-negative integer sum, rounded half up to an integer; exact."""
+    """Mean of a non-negative integer sum, rounded half up to an integer; exact beyond the range of bigint."""
+    total, n = total.cast("decimal(36,0)"), n.cast("decimal(19,0)")
     return whole_division(total * 2 + n, n * 2)
 
 
+def wide_sum(column: str) -> Column:
+    """The sum of integers, as a decimal that doesn't overflow."""
+    return F.sum(F.col(column).cast("decimal(20,0)"))
+
+
 def divide_or_null(a: Column, b: Column) -> Column:
     return F.try_divide(a, b)
 

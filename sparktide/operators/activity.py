@@ -76,7 +76,7 @@ def average_time_baseline(history: DataFrame, current: DataFrame, key: str, time
     usual = materialise(
         history.groupBy(key).agg(
             F.count(time).alias("usual_runs"),
-            conversion.rounded_mean(F.sum(time), F.count(time)).alias("usual_time"),
+            conversion.rounded_mean(conversion.wide_sum(time), F.count(time)).alias("usual_time"),
         ),
         "usual",
     )
@@ -90,7 +90,8 @@ def parameter_sensitivity(stats: DataFrame, key: str, time: str, percent: int) -
     A wide spread of one query's times points at a plan built for other
     parameter values.
     """
-    total, runs = F.sum(time), F.count(time)
+    total, runs = conversion.wide_sum(time), F.count(time)
+    slowest = F.max(time).cast("decimal(19,0)") * 100
     return (
         stats.groupBy(key)
         .agg(
@@ -98,7 +99,7 @@ def parameter_sensitivity(stats: DataFrame, key: str, time: str, percent: int) -
             F.min(time).alias("min_time"),
             F.max(time).alias("max_time"),
             conversion.rounded_mean(total, runs).alias("avg_time"),
-            conversion.whole_division(F.max(time) * 100 * runs, F.nullif(total, F.lit(0))).alias(
+            conversion.whole_division(slowest * runs.cast("decimal(15,0)"), F.nullif(total, F.lit(0))).alias(
                 "slowest_percent"
             ),
         )

@@ -83,7 +83,7 @@ def event_fire_stats(events: DataFrame, keys: Sequence[str] = ("session_id", "ev
     """
     return events.groupBy(*keys).agg(
         F.count("*").alias("event_fire_count"),
-        conversion.rounded_mean(F.sum("duration_us"), F.count("duration_us")).alias(
+        conversion.rounded_mean(conversion.wide_sum("duration_us"), F.count("duration_us")).alias(
             "event_fire_average_time"
         ),
         F.min("duration_us").alias("event_fire_min_time"),

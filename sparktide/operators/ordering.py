@@ -81,10 +81,10 @@ def number_rows(
 
 
 def top_n(df: DataFrame, n: int, *by: Column | str) -> DataFrame:
-    """The first ``n`` rows; beyond a small ``n`` by place, so that no task holds them all."""
+    """The first ``n`` rows in order; beyond a small ``n`` by place, so that no task holds them all."""
     if n <= SMALL_TOP:
         return df.orderBy(*by).limit(n)
-    return number_rows(df, by, "_row").where(F.col("_row") <= n).drop("_row")
+    return number_rows(df, by, "_row").where(F.col("_row") <= n).orderBy("_row").drop("_row")
 
 
 def limit_any(df: DataFrame, n: int) -> DataFrame:

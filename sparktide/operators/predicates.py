@@ -6,17 +6,15 @@ import calendar
 import datetime as dt
 import re
 from collections.abc import Iterable, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparktide.functions import temporal, text
 from sparktide.workspace import materialise
 
-# An IN list longer than this is sent as a table and joined, so that the plan
-# does not carry the literals to every task.
-LONG_LIST = 10_000
-
 
 def _type_of(df: DataFrame, col: str):
     return df.schema[col].dataType
@@ -96,9 +94,23 @@ def include_states(df: DataFrame, sleeping: int = 0, system: bool = False) -> Da
 # --- typed equality ---------------------------------------------------------
 
 
+def _as_column(df: DataFrame, col: str, value) -> tuple[Column, bool]:
+    """The value in the column's type, and whether it keeps its meaning there.
+
+    A fraction is no integer and a time of day no date: such a value equals no
+    value of the column.
+    """
+    kind = _type_of(df, col)
+    if isinstance(kind, T.IntegralType) and isinstance(value, (float, Decimal)) and value != int(value):
+        return F.lit(None).cast(kind), False
+    if isinstance(kind, T.DateType) and isinstance(value, dt.datetime) and value.time() != dt.time():
+        return F.lit(None).cast(kind), False
+    return F.lit(value).cast(kind), True
+
+
 def filter_equal_typed(df: DataFrame, col: str, value) -> DataFrame:
     """Equality with the value converted to the column's type, never the reverse."""
-    return df.where(F.col(col) == F.lit(value).cast(_type_of(df, col)))
+    return df.where(F.col(col) == _as_column(df, col, value)[0])
 
 
 def filter_joined_literal(df: DataFrame, col: str, *parts: str) -> DataFrame:
@@ -176,7 +188,12 @@ def _time(df: DataFrame, col: str, value) -> Column:
 
 
 def filter_time_between(df: DataFrame, col: str, lo, hi) -> DataFrame:
-    """Closed window; prunes partitions when ``col`` is one."""
+    """Closed window; prunes partitions when ``col`` is one.
+
+    On a date column the first date is the first that isn't before ``lo``.
+    """
+    if isinstance(_type_of(df, col), T.DateType) and isinstance(lo, dt.datetime) and lo.time() != dt.time():
+        lo = lo.date() + dt.timedelta(days=1)
     return df.where(F.col(col).between(_time(df, col, lo), _time(df, col, hi)))
 
 
@@ -187,17 +204,23 @@ def filter_null_sentinel(df: DataFrame, col: str, value, sentinel) -> DataFrame:
     """Null stands for ``sentinel`` on both sides, so a real sentinel matches too."""
     kind = _type_of(df, col)
     stand_in = F.lit(sentinel).cast(kind)
-    return df.where(F.coalesce(F.col(col), stand_in) == F.coalesce(F.lit(value).cast(kind), stand_in))
+    wanted, exact = _as_column(df, col, value)
+    if not exact:
+        return df.where(F.lit(False))
+    return df.where(F.coalesce(F.col(col), stand_in) == F.coalesce(wanted, stand_in))
 
 
 def filter_null_or(df: DataFrame, col: str, value) -> DataFrame:
-    wanted = F.lit(value).cast(_type_of(df, col))
+    wanted, exact = _as_column(df, col, value)
+    if not exact:
+        return df.where(F.lit(False))
     return df.where((F.col(col) == wanted) | (F.col(col).isNull() & wanted.isNull()))
 
 
 def filter_null_safe(df: DataFrame, col: str, value) -> DataFrame:
     """Equality in which null equals null; pushed to the scan as such."""
-    return df.where(F.col(col).eqNullSafe(F.lit(value).cast(_type_of(df, col))))
+    wanted, exact = _as_column(df, col, value)
+    return df.where(F.col(col).eqNullSafe(wanted) if exact else F.lit(False))
 
 
 def filter_optional(df: DataFrame, col: str, value) -> DataFrame:
@@ -219,11 +242,8 @@ def filter_in_table(df: DataFrame, col: str, values: DataFrame) -> DataFrame:
 
 
 def _in_list(df: DataFrame, col: str, values: list) -> DataFrame:
-    if len(values) <= LONG_LIST:
-        return df.where(F.col(col).isin(values))
-    kind = _type_of(df, col).simpleString()
-    table = df.sparkSession.createDataFrame([(v,) for v in values], f"wanted {kind}")
-    return filter_in_table(df, col, table)
+    """A list of any length is a set in the plan; values in a table go to ``filter_in_table``."""
+    return df.where(F.col(col).isin(values))
 
 
 def filter_in_numbers(df: DataFrame, col: str, values: Iterable[int]) -> DataFrame:

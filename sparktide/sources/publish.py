@@ -101,21 +101,29 @@ def change_partitions(
     A touched partition is replaced by what ``change`` keeps of it, which must
     stay in that partition. Reads and writes grow with the touched partitions,
     not with the table; the join with the touched values prunes the scan while
-    the query runs. Each partition is exchanged on its own, so after a failure
-    the same call can simply be repeated.
+    the query runs. A null partition value is a partition like any other. The
+    changed rows are written aside before anything is exchanged; each partition
+    is then exchanged on its own, so a call that failed may be repeated if the
+    change gives the same rows when applied twice.
     """
     table = spark.read.parquet(path)
     folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
     touched = materialise(
         table.where(predicate).select(partition, folder.alias("_folder")).distinct(), "touched"
     )
-    part = change(table.join(touched.select(partition), partition, "left_semi")).select(*table.columns)
+    named = touched.where(F.col(partition).isNotNull()).select(partition)
+    given = table.join(named, partition, "left_semi")
+    if not touched.where(F.col(partition).isNull()).isEmpty():
+        given = given.unionByName(table.where(F.col(partition).isNull()))
+    part = materialise(change(given).select(*table.columns), "changed")
     # A partition without remaining rows is not overwritten but removed; at
     # most one row per partition of the table comes to the driver.
-    kept = part.select(partition).distinct()
-    emptied = [r["_folder"] for r in touched.join(kept, partition, "left_anti").select("_folder").collect()]
+    kept = part.select(F.col(partition).alias("_kept")).distinct()
+    gone = touched.join(kept, F.col(partition).eqNullSafe(F.col("_kept")), "left_anti")
+    emptied = [r["_folder"] for r in gone.select("_folder").collect()]
     (
-        part.write.mode("overwrite")
+        part.hint("rebalance", partition)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)

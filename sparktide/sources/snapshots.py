@@ -14,6 +14,10 @@ BEFORE_ALL = "1970-01-01"
 TABLE_MARK = "<table_name>"
 
 
+# Dates that the time zones of a writer and a reader can put between them.
+ZONE_DAYS = 2
+
+
 def schema_template(df: DataFrame) -> str:
     """DDL of the snapshot with a mark where the table name goes."""
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
@@ -53,7 +57,10 @@ def append_snapshot(df: DataFrame, path: str, collection_time: dt.datetime | Non
 
 
 def read_snapshots(spark: SparkSession, path: str, lo=None, hi=None, schema=None) -> DataFrame:
-    """Snapshots of a closed time window; other dates are not opened.
+    """Snapshots of a closed time window; dates far from it are not opened.
+
+    A date was cut in the writer's time zone and zones are up to 26 hours apart,
+    so two more dates on each side are read and the time decides.
 
     Without ``schema`` the columns of all files are merged, which reads every
     footer; name the schema on a table of many files.
@@ -63,9 +70,9 @@ def read_snapshots(spark: SparkSession, path: str, lo=None, hi=None, schema=None
     date, time = F.col(PARTITION), F.col("collection_time")
     kind = snap.schema["collection_time"].dataType
     if lo is not None:
-        snap = snap.where((date >= F.lit(lo).cast("date")) & (time >= F.lit(lo).cast(kind)))
+        snap = snap.where((date >= F.date_sub(F.lit(lo).cast("date"), ZONE_DAYS)) & (time >= F.lit(lo).cast(kind)))
     if hi is not None:
-        snap = snap.where((date <= F.lit(hi).cast("date")) & (time <= F.lit(hi).cast(kind)))
+        snap = snap.where((date <= F.date_add(F.lit(hi).cast("date"), ZONE_DAYS)) & (time <= F.lit(hi).cast(kind)))
     return snap.drop(PARTITION, BATCH)
 
 

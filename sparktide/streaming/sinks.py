@@ -63,7 +63,9 @@ def recent_events(
     if key is None:
         return ordering.top_n(df, n, *by)
     if n > GROUP_LIMIT:
-        part = F.pmod(F.xxhash64(*df.columns), F.lit(spread))
+        # Any columns will do for the parts; maps can't be hashed.
+        hashed = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
+        part = F.pmod(F.xxhash64(*hashed), F.lit(spread))
         salted = df.withColumn("_part", part)
         within = Window.partitionBy(key, "_part").orderBy(*by)
         df = salted.withColumn("_rank", F.row_number().over(within)).where(F.col("_rank") <= n).drop("_part", "_rank")

@@ -52,12 +52,14 @@ def test_exists_intersect_equals_null_safe(spark, tables, assert_same):
         assert_same(literal, predicates.filter_null_safe(shipped, "ship_date", day))
 
 
-def test_long_list_is_joined(tables, assert_same, monkeypatch):
-    users = tables.users_antipattern
-    listed = predicates.filter_in_numbers(users, "up_votes", range(50))
-    monkeypatch.setattr(predicates, "LONG_LIST", 10)
-    joined = predicates.filter_in_numbers(users, "up_votes", list(range(50)) * 2)
-    assert_same(listed, joined)
+def test_lists_of_any_length_mean_the_same(spark):
+    rows = spark.createDataFrame([(1, 1.0, 1, "1"), (7, 7.5, 7, "7"), (None, None, None, None)], "a int, b double, c smallint, d string")
+    for n in (10, 10_001, 20_000):
+        values = list(range(2, n)) + [40_000]
+        assert predicates.filter_in_numbers(rows, "a", values).count() == 1
+        assert predicates.filter_in_numbers(rows, "b", values).count() == 0
+        assert predicates.filter_in_numbers(rows, "c", values).count() == 1
+        assert predicates.filter_in_text(rows, "d", [str(v) for v in values]).count() == 1
 
 
 def test_or_across_keeps_rows_with_null_predicate(spark, assert_same):
