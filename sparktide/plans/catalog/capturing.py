@@ -11,6 +11,12 @@ from sparktide.streaming import captures, sinks
 from sparktide.workspace import new_path
 
 
+# Columns that the events derived from the tables don't have.
+ABSENT = (
+    *captures.CLIENT, *captures.PLAN, *captures.DATABASE, *captures.LOCK, "tsql_stack", "sql_text",
+)
+
+
 def _stream(t):
     return Tables.as_xe_events(sinks.event_stream(t.spark, t.folder, "events", t.events.schema))
 
@@ -23,7 +29,7 @@ def _stream(t):
     views="xe_events",
 )
 def _(t):
-    return sinks.captured(captures.long_running(_stream(t)), "long_running")
+    return sinks.captured(captures.long_running(_stream(t), absent=ABSENT), "long_running")
 
 
 @query(
@@ -34,7 +40,7 @@ def _(t):
     views="xe_events",
 )
 def _(t):
-    return sinks.captured(captures.failed_queries(_stream(t), names=["error"]), "failed_queries")
+    return sinks.captured(captures.failed_queries(_stream(t), names=["error"], absent=ABSENT), "failed_queries")
 
 
 @query(
@@ -44,7 +50,7 @@ def _(t):
     views="xe_events",
 )
 def _(t):
-    return sinks.captured(captures.aborted_queries(_stream(t)), "aborted_queries")
+    return sinks.captured(captures.aborted_queries(_stream(t), absent=ABSENT), "aborted_queries")
 
 
 @query(
@@ -55,7 +61,7 @@ def _(t):
     views="xe_events",
 )
 def _(t):
-    return sinks.captured(captures.aborted_queries(_stream(t), ["error"]), "abort_events")
+    return sinks.captured(captures.aborted_queries(_stream(t), ["error"], absent=ABSENT), "abort_events")
 
 
 @query(
@@ -66,7 +72,7 @@ def _(t):
     views="xe_events",
 )
 def _(t):
-    hits = captures.antipattern_events(_stream(t), ["app_1", "app_2"], names=["click"])
+    hits = captures.antipattern_events(_stream(t), ["app_1", "app_2"], names=["click"], absent=ABSENT)
     return sinks.captured(hits, "antipattern_events")
 
 
@@ -78,7 +84,7 @@ def _(t):
     views="xe_events",
 )
 def _(t):
-    return sinks.captured(captures.spills(_stream(t)), "spills")
+    return sinks.captured(captures.spills(_stream(t), absent=ABSENT), "spills")
 
 
 @query(
@@ -89,7 +95,7 @@ def _(t):
     views="xe_events",
 )
 def _(t):
-    return sinks.captured(captures.spills(_stream(t), ["view"]), "spill_events")
+    return sinks.captured(captures.spills(_stream(t), ["view"], absent=ABSENT), "spill_events")
 
 
 @query(
@@ -100,7 +106,7 @@ def _(t):
     views="xe_events",
 )
 def _(t):
-    return sinks.captured(captures.tempdb_growth(_stream(t), ["click", "purchase"]), "tempdb_growth")
+    return sinks.captured(captures.tempdb_growth(_stream(t), ["click", "purchase"], absent=ABSENT), "tempdb_growth")
 
 
 @query(
@@ -111,7 +117,7 @@ def _(t):
     views="xe_events",
 )
 def _(t):
-    return sinks.captured(captures.blocked_process(_stream(t), ["purchase"]), "blocked_process")
+    return sinks.captured(captures.blocked_process(_stream(t), ["purchase"], absent=ABSENT), "blocked_process")
 
 
 @query(
@@ -122,7 +128,7 @@ def _(t):
     views="xe_events",
 )
 def _(t):
-    return sinks.captured(captures.deadlocks(_stream(t), ["error", "signup"]), "deadlocks")
+    return sinks.captured(captures.deadlocks(_stream(t), ["error", "signup"], absent=ABSENT), "deadlocks")
 
 
 @query(

@@ -17,7 +17,7 @@ REPORTED_SEVERITY = 10
 TEMPDB_ID = 2
 LAST_SYSTEM_SESSION = 50
 
-# Columns a capture keeps besides its own, as far as the source has them; fixed names.
+# Columns a capture keeps besides its own; fixed names.
 BASE = ("event_id", "ts", "session_id", "event_name")
 CLIENT = ("client_app_name", "client_hostname", "username")
 DATABASE = ("database_id", "database_name")
@@ -25,8 +25,12 @@ PLAN = ("client_app_name", "plan_handle", "query_hash", "query_plan_hash")
 LOCK = ("blocked_process", "index_id", "lock_mode", "object_id", "resource_owner_type", "transaction_id")
 
 
-def _kept(events: DataFrame, extra: Sequence[str]) -> DataFrame:
+def _kept(events: DataFrame, extra: Sequence[str], absent: Sequence[str]) -> DataFrame:
+    """The columns of a capture; only those named as ``absent`` may be missing."""
     wanted = [*BASE, *extra]
+    missing = [c for c in wanted if c not in events.columns and c not in absent]
+    if missing:
+        raise ValueError(f"the events lack {', '.join(missing)}; name them as absent to do without")
     return events.select(*[c for c in wanted if c in events.columns])
 
 
@@ -34,40 +38,50 @@ def _of_kind(names: Sequence[str] | None) -> Column:
     return F.lit(True) if names is None else F.col("event_name").isin(list(names))
 
 
-def long_running(events: DataFrame, min_us: int = LONG_RUNNING_US, names=None) -> DataFrame:
+def long_running(
+    events: DataFrame, min_us: int = LONG_RUNNING_US, names=None, absent: Sequence[str] = ()
+) -> DataFrame:
     """Completed statements that took at least ``min_us`` microseconds."""
     hit = events.where(_of_kind(names) & (F.col("duration_us") >= min_us))
-    return _kept(hit, ["duration_us", *PLAN, *DATABASE, "sql_text"])
+    return _kept(hit, ["duration_us", *PLAN, *DATABASE, "sql_text"], absent)
 
 
-def failed_queries(events: DataFrame, min_severity: int = REPORTED_SEVERITY, names=None) -> DataFrame:
+def failed_queries(
+    events: DataFrame, min_severity: int = REPORTED_SEVERITY, names=None, absent: Sequence[str] = ()
+) -> DataFrame:
     """Errors above a severity."""
     hit = events.where(_of_kind(names) & (F.col("severity") > min_severity))
-    return _kept(hit, ["severity", *CLIENT, *DATABASE, "sql_text"])
+    return _kept(hit, ["severity", *CLIENT, *DATABASE, "sql_text"], absent)
 
 
-def aborted_queries(events: DataFrame, abort_events: Sequence[str] = ()) -> DataFrame:
+def aborted_queries(
+    events: DataFrame, abort_events: Sequence[str] = (), absent: Sequence[str] = ()
+) -> DataFrame:
     """Events that are aborts by kind, or batches that ended in one."""
     aborted = F.col("result") == "Abort"
     if abort_events:
         aborted = aborted | F.col("event_name").isin(list(abort_events))
-    return _kept(events.where(aborted), ["result", *DATABASE, "sql_text"])
+    return _kept(events.where(aborted), ["result", *DATABASE, "sql_text"], absent)
 
 
-def antipattern_events(events: DataFrame, exclude_apps: Sequence[str], names=None) -> DataFrame:
+def antipattern_events(
+    events: DataFrame, exclude_apps: Sequence[str], names=None, absent: Sequence[str] = ()
+) -> DataFrame:
     """Antipattern events, except those of the named client programs."""
     hit = _of_kind(names)
     for app in exclude_apps:
         hit = hit & (F.col("client_app_name") != app)
-    return _kept(events.where(hit), [*PLAN, "sql_text"])
+    return _kept(events.where(hit), [*PLAN, "sql_text"], absent)
 
 
-def spills(events: DataFrame, spill_events: Sequence[str] = ()) -> DataFrame:
+def spills(
+    events: DataFrame, spill_events: Sequence[str] = (), absent: Sequence[str] = ()
+) -> DataFrame:
     """Spill events by kind, or statements that spilled at least once."""
     spilled = F.col("spills") > 0
     if spill_events:
         spilled = spilled | F.col("event_name").isin(list(spill_events))
-    return _kept(events.where(spilled), ["spills", *DATABASE, *CLIENT, "tsql_stack", "sql_text"])
+    return _kept(events.where(spilled), ["spills", *DATABASE, *CLIENT, "tsql_stack", "sql_text"], absent)
 
 
 def tempdb_growth(
@@ -75,6 +89,7 @@ def tempdb_growth(
     growth_events: Sequence[str] | None,
     database_id: int = TEMPDB_ID,
     above_session: int = LAST_SYSTEM_SESSION,
+    absent: Sequence[str] = (),
 ) -> DataFrame:
     """Size changes of the scratch database caused by user sessions."""
     hit = (
@@ -82,17 +97,21 @@ def tempdb_growth(
         & (F.col("database_id") == database_id)
         & (F.col("session_id") > above_session)
     )
-    return _kept(events.where(hit), [*DATABASE, "client_hostname", "sql_text"])
+    return _kept(events.where(hit), [*DATABASE, "client_hostname", "sql_text"], absent)
 
 
-def blocked_process(events: DataFrame, report_events: Sequence[str]) -> DataFrame:
+def blocked_process(
+    events: DataFrame, report_events: Sequence[str], absent: Sequence[str] = ()
+) -> DataFrame:
     """Blocked-process reports with their duration."""
-    return _kept(events.where(_of_kind(report_events)), ["duration_us", *DATABASE, *LOCK])
+    return _kept(events.where(_of_kind(report_events)), ["duration_us", *DATABASE, *LOCK], absent)
 
 
-def deadlocks(events: DataFrame, deadlock_events: Sequence[str]) -> DataFrame:
+def deadlocks(
+    events: DataFrame, deadlock_events: Sequence[str], absent: Sequence[str] = ()
+) -> DataFrame:
     """Deadlock and deadlock-chain events."""
-    return _kept(events.where(_of_kind(deadlock_events)), ["client_app_name", "sql_text"])
+    return _kept(events.where(_of_kind(deadlock_events)), ["client_app_name", "sql_text"], absent)
 
 
 def event_rate(

@@ -5,21 +5,27 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from sparktide.plans.catalog.capturing import ABSENT
 from sparktide.plans.views import Tables
 from sparktide.sources import event_xml
 from sparktide.streaming import captures, sinks
 
 CAPTURES = [
-    lambda e: captures.long_running(e),
-    lambda e: captures.failed_queries(e),
-    lambda e: captures.aborted_queries(e, ["error"]),
-    lambda e: captures.antipattern_events(e, ["app_1"]),
-    lambda e: captures.spills(e),
-    lambda e: captures.tempdb_growth(e, None),
-    lambda e: captures.deadlocks(e, ["error"]),
+    lambda e: captures.long_running(e, absent=ABSENT),
+    lambda e: captures.failed_queries(e, absent=ABSENT),
+    lambda e: captures.aborted_queries(e, ["error"], absent=ABSENT),
+    lambda e: captures.antipattern_events(e, ["app_1"], absent=ABSENT),
+    lambda e: captures.spills(e, absent=ABSENT),
+    lambda e: captures.tempdb_growth(e, None, absent=ABSENT),
+    lambda e: captures.deadlocks(e, ["error"], absent=ABSENT),
 ]
 
 
+def test_missing_columns_are_an_error(tables):
+    with pytest.raises(ValueError, match="sql_text"):
+        captures.long_running(tables.xe_events)
+
+
 @pytest.fixture(scope="module")
 def parts(spark, tables):
     """The events in several files, to be read in several micro-batches."""
