@@ -52,6 +52,8 @@ PLACE_VARIANTS = 2_097_152
 MORE_BITS = 6
 #: Bytes of a text that are cut into words at once.
 CHUNK = 1_048_576
+#: Keys (8 bytes each) that may go to every task; beyond that texts are shuffled to meet theirs.
+BROADCAST_KEYS = 2_000_000
 
 _BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
@@ -218,9 +220,13 @@ def _closest(owners: np.ndarray, starts: np.ndarray, prints: np.ndarray) -> list
     first = np.repeat(owners[starts], lengths)
     before = np.concatenate((owners[:1], owners[:-1]))
     before[starts] = first[starts]
-    pairs = np.unique(np.stack([np.concatenate((first, before)), np.concatenate((owners, owners))], axis=1), axis=0)
-    pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-    apart = np.bitwise_count(prints[pairs[:, 0]] ^ prints[pairs[:, 1]])
+    # A pair is one number, which takes less memory to sort than two columns.
+    n = len(prints)
+    pairs = np.unique(np.concatenate((first * n + owners, before * n + owners)))
+    one, other = pairs // n, pairs % n
+    apart = np.bitwise_count(prints[one] ^ prints[other])
+    order = np.argsort(apart, kind="stable")
+    one, other = one[order], other[order]
     up = list(range(len(prints)))
 
     def top(x: int) -> int:
@@ -229,11 +235,12 @@ def _closest(owners: np.ndarray, starts: np.ndarray, prints: np.ndarray) -> list
         return x
 
     kept = []
-    for a, b in pairs[np.argsort(apart, kind="stable")].tolist():
-        x, y = top(a), top(b)
-        if x != y:
-            up[max(x, y)] = min(x, y)
-            kept.append((a, b))
+    for k in range(0, len(one), 65_536):
+        for a, b in zip(one[k : k + 65_536].tolist(), other[k : k + 65_536].tolist(), strict=True):
+            x, y = top(a), top(b)
+            if x != y:
+                up[max(x, y)] = min(x, y)
+                kept.append((a, b))
     return kept
 
 
@@ -326,6 +333,12 @@ def sketch_bits(n: int, radius: int, chance: float) -> int:
     return bits
 
 
+def _by_keys(texts: DataFrame, keys: DataFrame, column: str, how: str) -> DataFrame:
+    """Semi or anti join of texts with written keys; few enough keys go to every task, so that no text moves."""
+    few = keys.count() <= BROADCAST_KEYS
+    return texts.join(F.broadcast(keys) if few else keys, column, how)
+
+
 def _keyed_texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(ordered(F.col(id_col).cast("long")).alias("key"), text_of(text_col).cast("binary").alias("raw"))
 
@@ -376,7 +389,8 @@ def similar_links(
     ends = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
     links = materialise(links.select(*ends).distinct(), "candidate_links")
     asked = links.select(F.col("a").alias("key")).union(links.select(F.col("b").alias("key"))).distinct()
-    sets = materialise(_shingle_sets(texts.join(materialise(asked, "asked"), "key", "left_semi"), width), "shingle_sets")
+    chosen = _by_keys(texts, materialise(asked, "asked"), "key", "left_semi")
+    sets = materialise(_shingle_sets(chosen, width), "shingle_sets")
     left = sets.select(F.col("key").alias("a"), F.col("shingles").alias("one"))
     right = sets.select(F.col("key").alias("b"), F.col("shingles").alias("other"))
     common = F.size(F.array_intersect("one", "other"))
@@ -392,4 +406,4 @@ def drop_near_duplicates(df: DataFrame, width: int = 5, similarity: float = 0.8,
     groups = components(similar_links(df, width, similarity, id_col=id_col, text_col=text_col))
     dropped = materialise(groups.where("node <> root").select(F.col("node").alias("_key")), "near_dropped")
     marked = df.withColumn("_key", ordered(F.col(id_col).cast("long")))
-    return marked.join(dropped, "_key", "left_anti").select(*df.columns)
+    return _by_keys(marked, dropped, "_key", "left_anti").select(*df.columns)
