@@ -168,6 +168,16 @@ def _leading(low: int) -> F.Column:
     return F.col("rest").bitwiseAND(F.lit(_signed(((1 << BITS) - 1) ^ ((1 << low) - 1))))
 
 
+def _arriving(rows: DataFrame, low: int, high: int, flips: int) -> DataFrame:
+    """(sketch, place, n): the variants that a place is going to hold, visitors from other leading parts with theirs.
+
+    Counts are spread in place of rows: those of one leading part go to the same places.
+    """
+    own = rows.groupBy("sketch", _leading(low).alias("rest"), "used").agg(F.count("*").alias("n"))
+    each = F.element_at(F.array(*[F.lit(_ball(low, flips - used)) for used in range(flips + 1)]), F.col("used") + 1)
+    return _spread(own, low, high, flips).groupBy("sketch", "place").agg(F.sum(F.col("n") * each).alias("n"))
+
+
 def _variants(rest: np.ndarray, used: np.ndarray, low: int, flips: int) -> tuple[np.ndarray, np.ndarray]:
     """All variants that reach a place, and whose they are."""
     values, owners = [], []
@@ -278,17 +288,15 @@ def near_links(prints: DataFrame, radius: int = 4, bits: int = BITS, closest: bo
         raise ValueError("the radius must be even, so that its half is whole")
     flips, keys = radius // 2, ["sketch", "place"]
     n = prints.groupBy("sketch").count().agg(F.max("count")).first()[0] or 0
-    first = max(0, min(bits, int(log2(max(1, n * _ball(bits, flips) / PLACE_VARIANTS)) + 1)))
+    # Evenly spread variants fill a place by half at most.
+    first = max(0, min(bits, int(log2(max(1, n * _ball(bits, flips) / PLACE_VARIANTS)) + 2)))
     carried = ["id", "sketch", *(["fp"] if closest else [])]
     rows, high = prints.select(*carried, F.col("fp").alias("rest"), F.lit(0).alias("used")), bits
     found = None
     while True:
         low = high - first if high == bits else max(0, high - MORE_BITS)
         placed = _spread(rows, low, high, flips)
-        # What a place holds is dominated by the fingerprints that came there unflipped.
-        own = rows.where("used = 0").groupBy("sketch", _leading(low).alias("place")).agg(F.count("*").alias("n"))
-        heavy = own.where(F.col("n") * _ball(low, flips) > 4 * PLACE_VARIANTS)
-        heavy = materialise(heavy.select(*keys), "heavy_places")
+        heavy = materialise(_arriving(rows, low, high, flips).where(F.col("n") > PLACE_VARIANTS).select(*keys), "heavy_places")
         last = low == 0 or heavy.isEmpty()
         fitting = placed if last else placed.join(heavy, keys, "left_anti")
         links = fitting.groupBy(*keys).applyInArrow(_links_of(low, flips, closest), "a long, b long")

@@ -124,6 +124,29 @@ def test_near_duplicates_are_those_of_all_pairs(docs_of, monkeypatch):
     assert simhash.near_duplicates(docs_of([])).count() == 0
 
 
+def test_places_hold_no_more_than_their_bound(spark, monkeypatch):
+    """Varied copies of one template: those that visit a place one leading bit away count there."""
+    monkeypatch.setattr(simhash, "PLACE_VARIANTS", 20_000)
+    rng, template = random.Random(3), 0x0123456789ABCDEF
+    prints = {template ^ sum(1 << b for b in rng.sample(range(40), 6)) for _ in range(3_000)}
+    prints |= {rng.getrandbits(63) for _ in range(1_000)}
+    frame = spark.createDataFrame([(i, 0, p) for i, p in enumerate(sorted(prints))], "id long, sketch int, fp long")
+    plain = simhash._links_of
+
+    def bounded(low, flips, *more):
+        links = plain(low, flips, *more)
+        held = [sum(math.comb(low, k) for k in range(flips - used + 1)) for used in range(flips + 1)]
+
+        def check(table):
+            assert sum(held[used] for used in table["used"].to_pylist()) <= 20_000
+            return links(table)
+
+        return check
+
+    monkeypatch.setattr(simhash, "_links_of", bounded)
+    assert simhash.near_links(materialise(frame)).count() > 0
+
+
 def test_chunks_of_a_long_text_change_nothing(monkeypatch):
     text = " ".join(f"word{i % 977}" for i in range(5_000)) + "\n\tend"
     whole = simhash.fingerprint(text.encode(), 4)
