@@ -17,9 +17,10 @@ there and no pair is listed twice. Every emitted link lies inside one component;
 nothing that grows with the square of a group is made.
 
 ``drop_near_duplicates`` asks for a similarity of shingle sets instead of a number of
-bits. It takes several independent short sketches of each document, so that pairs
-above the similarity meet in one of them, lets every place keep the closest links
-that connect what met there, and verifies each link on the whole shingle sets.
+bits. Documents meet in band keys, each of the least values of ``BAND_ROWS`` hashes of
+the set: a pair shares one with chance similarity ** ``BAND_ROWS``, whatever the number
+of documents, and as many bands are taken as give a pair at the similarity the chance
+``RECALL`` to meet. Each link is verified on the whole shingle sets.
 
 Words are runs of anything but blank, tab, newline, vertical tab, form feed and
 return, after A-Z became a-z. Fewer words than a shingle has make one shingle; no
@@ -32,7 +33,7 @@ from __future__ import annotations
 
 import re
 from itertools import combinations
-from math import comb, log2
+from math import ceil, comb, log, log1p, log2
 
 import numpy as np
 import pyarrow as pa
@@ -91,7 +92,7 @@ def shingle_hashes(raw: bytes, width: int):
         yield np.array([xxh64_intdigest(b" ".join(head), SEED)], "<u8")
 
 
-def _majority(hashes, bits: int) -> int:
+def _majority(hashes) -> int:
     """The bits that are set in over half of all hashes, as a signed long."""
     counts, total = np.zeros(BITS, np.int64), 0
     for part in hashes:
@@ -100,27 +101,12 @@ def _majority(hashes, bits: int) -> int:
             counts += np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, np.int64)
         total += len(part)
     value = int.from_bytes(np.packbits(counts * 2 > total, bitorder="little").tobytes(), "little") if total else 0
-    return _signed(value & ((1 << bits) - 1))
+    return _signed(value)
 
 
 def fingerprint(raw: bytes, width: int) -> int:
     """The SimHash of a text in UTF-8 over its shingles of ``width`` words, as a signed long."""
-    return _majority(shingle_hashes(raw, width), BITS)
-
-
-def sketches(raw: bytes, width: int, n: int, bits: int) -> list[int]:
-    """SimHashes of ``bits`` bits under ``n`` independent hashes of the shingles."""
-    parts = list(shingle_hashes(raw, width))
-    made = []
-    for k in range(n):
-        salt = np.uint64((0x9E3779B97F4A7C15 * (k + 1)) % 2**64)
-        mixed = []
-        for x in parts:
-            x = (x ^ salt) * np.uint64(0xBF58476D1CE4E5B9)
-            x = (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
-            mixed.append(x ^ (x >> np.uint64(29)))
-        made.append(_majority(mixed, bits))
-    return made
+    return _majority(shingle_hashes(raw, width))
 
 
 def _signed(mask: int) -> int:
@@ -224,37 +210,7 @@ def _roots(owners: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
     return roots
 
 
-def _closest(owners: np.ndarray, starts: np.ndarray, prints: np.ndarray) -> list[tuple[int, int]]:
-    """Links that connect what met, the closest first: a forest of smallest distances."""
-    lengths = np.diff(np.append(starts, len(owners)))
-    first = np.repeat(owners[starts], lengths)
-    before = np.concatenate((owners[:1], owners[:-1]))
-    before[starts] = first[starts]
-    # A pair is one number, which takes less memory to sort than two columns.
-    n = len(prints)
-    pairs = np.unique(np.concatenate((first * n + owners, before * n + owners)))
-    one, other = pairs // n, pairs % n
-    apart = np.bitwise_count(prints[one] ^ prints[other])
-    order = np.argsort(apart, kind="stable")
-    one, other = one[order], other[order]
-    up = list(range(len(prints)))
-
-    def top(x: int) -> int:
-        while up[x] != x:
-            up[x] = x = up[up[x]]
-        return x
-
-    kept = []
-    for k in range(0, len(one), 65_536):
-        for a, b in zip(one[k : k + 65_536].tolist(), other[k : k + 65_536].tolist(), strict=True):
-            x, y = top(a), top(b)
-            if x != y:
-                up[max(x, y)] = min(x, y)
-                kept.append((a, b))
-    return kept
-
-
-def _links_of(low: int, flips: int, closest: bool):
+def _links_of(low: int, flips: int):
     def links(table: pa.Table) -> pa.Table:
         ids = table["id"].to_numpy()
         order = np.argsort(ids, kind="stable")
@@ -264,9 +220,6 @@ def _links_of(low: int, flips: int, closest: bool):
         owners, starts = _met(*_variants(rest, used, low, flips))
         if not len(owners):
             a = b = ids[:0]
-        elif closest:
-            kept = np.array(_closest(owners, starts, table["fp"].to_numpy()[order].view(np.uint64)), np.int64).reshape(-1, 2)
-            a, b = ids[kept[:, 0]], ids[kept[:, 1]]
         else:
             roots = _roots(owners, starts, len(ids))
             linked = roots != np.arange(len(ids))
@@ -276,13 +229,12 @@ def _links_of(low: int, flips: int, closest: bool):
     return links
 
 
-def near_links(prints: DataFrame, radius: int = 4, bits: int = BITS, closest: bool = False) -> DataFrame:
+def near_links(prints: DataFrame, radius: int = 4, bits: int = BITS) -> DataFrame:
     """Links (a, b) of ids that connect all distinct fingerprints within ``radius`` bits.
 
     ``prints`` has id, sketch and fp; only fingerprints of one sketch meet. Every
     link joins members of one component; fingerprints within the radius are
-    connected, if not always by a link of their own. With ``closest`` the links of a
-    place are those of the smallest distances that connect it.
+    connected, if not always by a link of their own.
     """
     if radius < 0 or radius % 2:
         raise ValueError("the radius must be even, so that its half is whole")
@@ -290,8 +242,7 @@ def near_links(prints: DataFrame, radius: int = 4, bits: int = BITS, closest: bo
     n = prints.groupBy("sketch").count().agg(F.max("count")).first()[0] or 0
     # Evenly spread variants fill a place by half at most.
     first = max(0, min(bits, int(log2(max(1, n * _ball(bits, flips) / PLACE_VARIANTS)) + 2)))
-    carried = ["id", "sketch", *(["fp"] if closest else [])]
-    rows, high = prints.select(*carried, F.col("fp").alias("rest"), F.lit(0).alias("used")), bits
+    rows, high = prints.select("id", "sketch", F.col("fp").alias("rest"), F.lit(0).alias("used")), bits
     found = None
     while True:
         low = high - first if high == bits else max(0, high - MORE_BITS)
@@ -299,7 +250,7 @@ def near_links(prints: DataFrame, radius: int = 4, bits: int = BITS, closest: bo
         heavy = materialise(_arriving(rows, low, high, flips).where(F.col("n") > PLACE_VARIANTS).select(*keys), "heavy_places")
         last = low == 0 or heavy.isEmpty()
         fitting = placed if last else placed.join(heavy, keys, "left_anti")
-        links = fitting.groupBy(*keys).applyInArrow(_links_of(low, flips, closest), "a long, b long")
+        links = fitting.groupBy(*keys).applyInArrow(_links_of(low, flips), "a long, b long")
         found = links if found is None else found.union(links)
         if last:
             return found
@@ -333,12 +284,47 @@ def near_duplicates(
 # --- similarity of shingle sets ---------------------------------------------------
 
 
-def sketch_bits(n: int, radius: int, chance: float) -> int:
-    """The least bits at which a sketch has at most ``chance`` strangers within the radius among ``n`` documents."""
-    bits = 24
-    while bits < BITS - 1 and n * _ball(bits, radius) / 2.0**bits > chance:
-        bits += 1
-    return bits
+#: Hashes whose least values make one band key, and the chance to share a band key that a pair
+#: of just the similarity asked for has. Both hold for any number of documents.
+BAND_ROWS = 4
+RECALL = 0.999
+#: Shingles that are hashed for all bands at once.
+BAND_CHUNK = 1_024
+
+
+def n_bands(similarity: float, recall: float = RECALL) -> int:
+    """The least number of bands in which a pair of this similarity meets with at least this chance."""
+    if not 0 < similarity <= 1:
+        raise ValueError("the similarity must be above 0 and at most 1")
+    met = similarity**BAND_ROWS
+    return 1 if met >= recall else ceil(log(1 - recall) / log1p(-met))
+
+
+def _salts(n: int) -> np.ndarray:
+    at = np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    at = (at ^ (at >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (at ^ (at >> np.uint64(27)))[:, None]
+
+
+def band_keys(shingles: np.ndarray, bands: int) -> list[int]:
+    """MinHash: one key a band; sets share each with chance similarity ** BAND_ROWS, independently."""
+    from xxhash import xxh64_intdigest
+
+    salts = _salts(bands * BAND_ROWS)
+    least = np.full(len(salts), 2**64 - 1, np.uint64)
+    for k in range(0, len(shingles), BAND_CHUNK):
+        x = (shingles[None, k : k + BAND_CHUNK] ^ salts) * np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(31)
+        x *= np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(29)
+        least = np.minimum(least, x.min(axis=1))
+    rows = least.astype("<u8").reshape(bands, BAND_ROWS)
+    return [_signed(xxh64_intdigest(row.tobytes(), band)) for band, row in enumerate(rows)]
+
+
+def _shingle_set(raw: bytes, width: int) -> np.ndarray:
+    parts = list(shingle_hashes(raw, width))
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, "<u8")
 
 
 def _by_keys(texts: DataFrame, keys: DataFrame, column: str, how: str) -> DataFrame:
@@ -351,18 +337,25 @@ def _keyed_texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(ordered(F.col(id_col).cast("long")).alias("key"), text_of(text_col).cast("binary").alias("raw"))
 
 
-def _sketched(df: DataFrame, width: int, n: int, bits: int) -> DataFrame:
-    """(id, sketch, fp) of every (key, raw), written."""
+def _banded(df: DataFrame, width: int, bands: int) -> DataFrame:
+    """(id, same, size, bands) of every (key, raw), written; ``same`` is equal for equal shingle sets of ``size``."""
 
     def make():
+        from xxhash import xxh3_128_digest
+
         def step(batch: pa.RecordBatch) -> dict:
-            return {"id": batch.column("key"), "fps": [sketches(x.as_py(), width, n, bits) for x in batch.column("raw")]}
+            made = {"id": batch.column("key"), "same": [], "size": [], "bands": []}
+            for x in batch.column("raw"):
+                shingles = _shingle_set(x.as_py(), width)
+                made["same"].append(xxh3_128_digest(shingles.tobytes()))
+                made["size"].append(len(shingles))
+                made["bands"].append(band_keys(shingles, bands))
+            return made
 
         return step
 
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("fps", T.ArrayType(T.LongType()))])
-    made = materialise(map_batches(df, make, schema), "sketches")
-    return made.select("id", F.posexplode("fps").alias("sketch", "fp"))
+    schema = T.StructType.fromDDL("id long, same binary, size long, bands array<long>")
+    return materialise(map_batches(df, make, schema), "banded")
 
 
 def _shingle_sets(df: DataFrame, width: int) -> DataFrame:
@@ -370,11 +363,8 @@ def _shingle_sets(df: DataFrame, width: int) -> DataFrame:
 
     def make():
         def step(batch: pa.RecordBatch) -> dict:
-            sets = [list(shingle_hashes(x.as_py(), width)) for x in batch.column("raw")]
-            return {
-                "key": batch.column("key"),
-                "shingles": [np.unique(np.concatenate(x)).view(np.int64) if x else [] for x in sets],
-            }
+            sets = [_shingle_set(x.as_py(), width).view(np.int64) for x in batch.column("raw")]
+            return {"key": batch.column("key"), "shingles": sets}
 
         return step
 
@@ -382,28 +372,45 @@ def _shingle_sets(df: DataFrame, width: int) -> DataFrame:
     return map_batches(df, make, schema)
 
 
-def similar_links(
-    df: DataFrame, width: int = 5, similarity: float = 0.8, n_sketches: int = 4, radius: int = 4, chance: float = 0.05,
-    id_col: str = "doc_id", text_col: str = "text",
-) -> DataFrame:
-    """Verified links (a, b) of documents whose shingle sets are at least so similar."""
-    texts = _keyed_texts(df, id_col, text_col)
-    bits = sketch_bits(texts.count(), radius, chance)
-    rows = _sketched(texts, width, n_sketches, bits)
-    prints = materialise(rows.groupBy("sketch", "fp").agg(F.min("id").alias("id")), "sketch_prints")
-    first = prints.select("sketch", "fp", F.col("id").alias("a"))
-    equal = rows.join(first, ["sketch", "fp"]).where("id <> a").select("a", F.col("id").alias("b"))
-    links = near_links(prints, radius, bits, closest=True).union(equal)
-    ends = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
-    links = materialise(links.select(*ends).distinct(), "candidate_links")
-    asked = links.select(F.col("a").alias("key")).union(links.select(F.col("b").alias("key"))).distinct()
-    chosen = _by_keys(texts, materialise(asked, "asked"), "key", "left_semi")
-    sets = materialise(_shingle_sets(chosen, width), "shingle_sets")
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose whole shingle sets are similar enough, written."""
     left = sets.select(F.col("key").alias("a"), F.col("shingles").alias("one"))
     right = sets.select(F.col("key").alias("b"), F.col("shingles").alias("other"))
     common = F.size(F.array_intersect("one", "other"))
     either = F.size("one") + F.size("other") - common
-    return links.join(left, "a").join(right, "b").where((either == 0) | (common >= similarity * either)).select("a", "b")
+    similar = (either == 0) | (common >= similarity * either)
+    return materialise(pairs.join(left, "a").join(right, "b").where(similar).select("a", "b"), "verified_links")
+
+
+def _pairs(found: DataFrame, similarity: float) -> DataFrame:
+    """Distinct pairs (a, b), a < b, of (id, size, other, other_size) that their sizes allow to be similar, written."""
+    fits = F.least("size", "other_size") >= similarity * F.greatest("size", "other_size")
+    ends = [F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")]
+    return materialise(found.where((F.col("id") != F.col("other")) & fits).select(*ends).distinct(), "candidate_links")
+
+
+def similar_groups(
+    df: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(node, root) of documents linked by shingle sets that are at least so similar; root is the smallest of a group."""
+    texts = _keyed_texts(df, id_col, text_col)
+    rows = _banded(texts, width, n_bands(similarity))
+    # Equal sets are one node, named by its smallest id.
+    nodes = materialise(
+        rows.groupBy("same").agg(F.min("id").alias("id"), F.count("*").alias("n"), F.first("size").alias("size"), F.first("bands").alias("bands")),
+        "nodes",
+    )
+    several = materialise(nodes.where("n > 1").select("same", F.col("id").alias("a")), "equal_sets")
+    equal = rows.select("same", F.col("id").alias("b")).join(several, "same").where("a <> b").select("a", "b")
+    placed = nodes.select("id", "size", F.explode("bands").alias("band"))
+    first = F.min(F.struct("id", "size"))
+    heads = placed.groupBy("band").agg(F.count("*").alias("n"), first.alias("head")).where("n > 1")
+    heads = materialise(heads.select("band", "n", F.col("head.id").alias("other"), F.col("head.size").alias("other_size")), "heads")
+    met = materialise(placed.join(heads, "band"), "met")
+    asked = materialise(met.select(F.col("id").alias("key")).distinct(), "asked")
+    sets = materialise(_shingle_sets(_by_keys(texts, asked, "key", "left_semi"), width), "shingle_sets")
+    links = equal.union(_verified(_pairs(met, similarity), sets, similarity))
+    return components(links)
 
 
 def drop_near_duplicates(df: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -411,7 +418,7 @@ def drop_near_duplicates(df: DataFrame, width: int = 5, similarity: float = 0.8,
 
     Rows with equal ids are one document: they stay or go together.
     """
-    groups = components(similar_links(df, width, similarity, id_col=id_col, text_col=text_col))
+    groups = similar_groups(df, width, similarity, id_col, text_col)
     dropped = materialise(groups.where("node <> root").select(F.col("node").alias("_key")), "near_dropped")
     marked = df.withColumn("_key", ordered(F.col(id_col).cast("long")))
     return _by_keys(marked, dropped, "_key", "left_anti").select(*df.columns)

@@ -164,6 +164,38 @@ def test_similar_documents_go_and_others_stay(docs_of):
     assert simhash.drop_near_duplicates(docs_of([])).count() == 0
 
 
+def _shingles(text):
+    words = text.split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def test_pairs_just_above_the_similarity_meet(docs_of):
+    """300 pairs between 0.80 and 0.82; four sketches of the length for 600 documents lost some of them."""
+    rng = random.Random(21)
+    rows = []
+    for d in range(300):
+        words = [f"w{rng.randrange(10**9)}" for _ in range(200)]
+        changed = list(words)
+        for at in (20, 70, 120, 170):
+            changed[at] = "changed"
+        one, other = _shingles(" ".join(words)), _shingles(" ".join(changed))
+        assert 0.8 <= len(one & other) / len(one | other) < 0.82
+        rows += [(2 * d, " ".join(words)), (2 * d + 1, " ".join(changed))]
+    kept = [r.doc_id for r in simhash.drop_near_duplicates(docs_of(rows)).collect()]
+    assert sum(i % 2 == 0 for i in kept) == 300
+    assert sum(i % 2 for i in kept) <= 1
+
+
+def test_bands_meet_the_stated_chance():
+    for similarity in (0.3, 0.5, 0.8, 0.95, 1.0):
+        n = simhash.n_bands(similarity)
+        assert 1 - (1 - similarity**simhash.BAND_ROWS) ** n >= simhash.RECALL
+    rng = np.random.default_rng(4)
+    sets = [rng.integers(0, 2**64, 450, np.uint64) for _ in range(600)]
+    shared = np.mean([np.mean(np.equal(simhash.band_keys(s[:425], 14), simhash.band_keys(s[25:], 14))) for s in sets])
+    assert abs(shared - (400 / 450) ** simhash.BAND_ROWS) < 0.02
+
+
 def _plain_targets(sizes, weights=(3, 1, 2)):
     names = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + ([None] if None in sizes else [])
     w = {s: weights[i % 3] for i, s in enumerate(names)}
