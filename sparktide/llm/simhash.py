@@ -20,7 +20,11 @@ nothing that grows with the square of a group is made.
 bits. Documents meet in band keys, each of the least values of ``BAND_ROWS`` hashes of
 the set: a pair shares one with chance similarity ** ``BAND_ROWS``, whatever the number
 of documents, and as many bands are taken as give a pair at the similarity the chance
-``RECALL`` to meet. Each link is verified on the whole shingle sets.
+``RECALL`` to meet. Each link is verified on the whole shingle sets: first that of each
+member of a band with the smallest one, then those between members that no verified
+link has brought into one group, until no pair that meets and joins two groups is left
+untested. Copies of one text are one group after the first round and cost no pairs;
+members of a band that are no near copies of each other are all held against each other.
 
 Words are runs of anything but blank, tab, newline, vertical tab, form feed and
 return, after A-Z became a-z. Fewer words than a shingle has make one shingle; no
@@ -288,6 +292,8 @@ def near_duplicates(
 #: of just the similarity asked for has. Both hold for any number of documents.
 BAND_ROWS = 4
 RECALL = 0.999
+#: Members of a band that are held against each other at once, where they aren't in one group yet.
+SLICE_ROWS = 16
 #: Shingles that are hashed for all bands at once.
 BAND_CHUNK = 1_024
 
@@ -389,6 +395,34 @@ def _pairs(found: DataFrame, similarity: float) -> DataFrame:
     return materialise(found.where((F.col("id") != F.col("other")) & fits).select(*ends).distinct(), "candidate_links")
 
 
+def _open_members(met: DataFrame, groups: DataFrame) -> tuple[DataFrame, int]:
+    """Members of the bands that more than one group meets in, written, and the most slices of such a band.
+
+    ``minor`` tells those outside the band's largest group: of two members of different groups one at least is minor.
+    """
+    roots = groups.select(F.col("node").alias("id"), "root")
+    named = materialise(
+        met.join(roots, "id", "left").select("band", "n", "id", "size", F.coalesce("root", "id").alias("root")), "members"
+    )
+    sizes = named.groupBy("band", "n", "root").agg(F.count("*").alias("own"))
+    bands = sizes.groupBy("band", "n").agg(F.count("*").alias("groups"), F.max_by("root", "own").alias("major"))
+    slices = F.ceil(F.col("n") / SLICE_ROWS).cast("int")
+    bands = materialise(bands.where("groups > 1").select("band", slices.alias("slices"), "major"), "open_bands")
+    most = bands.agg(F.max("slices")).first()[0] or 0
+    members = named.join(bands, "band").withColumn("slice", F.pmod(F.xxhash64("id"), F.col("slices")).cast("int"))
+    return materialise(members.withColumn("minor", F.col("root") != F.col("major")), "open_members"), most
+
+
+def _between(members: DataFrame, near: int, far: int) -> DataFrame:
+    """(id, size, other, other_size): minor members with those of other groups, from ``near`` to below ``far`` slices on."""
+    last = F.least(F.lit(far), "slices") - 1
+    step = F.explode(F.when(last >= near, F.sequence(F.lit(near), last)))
+    asking = members.where("minor").select("band", "slices", "slice", "id", "size", "root", step.alias("step"))
+    asking = asking.withColumn("slice", F.pmod(F.col("slice") + F.col("step"), F.col("slices")))
+    others = members.select("band", "slice", F.col("id").alias("other"), F.col("size").alias("other_size"), F.col("root").alias("other_root"))
+    return asking.join(others, ["band", "slice"]).where("root <> other_root")
+
+
 def similar_groups(
     df: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -410,7 +444,16 @@ def similar_groups(
     asked = materialise(met.select(F.col("id").alias("key")).distinct(), "asked")
     sets = materialise(_shingle_sets(_by_keys(texts, asked, "key", "left_semi"), width), "shingle_sets")
     links = equal.union(_verified(_pairs(met, similarity), sets, similarity))
-    return components(links)
+    groups = components(links)
+    # Slices of a band: a document meets those of its own slice first, then of ever more others.
+    near, far = 0, 1
+    while True:
+        members, slices = _open_members(met, groups)
+        if slices <= near:
+            return groups
+        links = links.union(_verified(_pairs(_between(members, near, far), similarity), sets, similarity))
+        groups = components(links)
+        near, far = far, 4 * far
 
 
 def drop_near_duplicates(df: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -186,6 +186,27 @@ def test_pairs_just_above_the_similarity_meet(docs_of):
     assert sum(i % 2 for i in kept) <= 1
 
 
+def test_families_of_one_template_are_those_of_all_pairs(docs_of, monkeypatch):
+    """Documents at 0.5 to 1 around templates; many a closest neighbour is no near copy, so its links fail."""
+    monkeypatch.setattr(simhash, "SLICE_ROWS", 4, raising=False)
+    rng, rows = random.Random(22), []
+    for family in range(6):
+        template = [f"t{family}w{i}" for i in range(200)]
+        for i in range(60):
+            words = list(template)
+            for at in rng.sample(range(10, 190, 8), rng.randint(2, 6)):
+                words[at] = f"{rng.choice('abc')}{at}"
+            rows.append((100 * family + i, " ".join(words)))
+    rng.shuffle(rows)
+    sets = [_shingles(t) for _, t in rows]
+    pairs = [(a, b) for a in range(len(rows)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    roots, least = _components(pairs, range(len(rows))), {}
+    for n, root in roots.items():
+        least[root] = min(least.get(root, rows[n][0]), rows[n][0])
+    kept = sorted(r.doc_id for r in simhash.drop_near_duplicates(docs_of(rows)).collect())
+    assert len(least) > 20 and kept == sorted(least.values())
+
+
 def test_bands_meet_the_stated_chance():
     for similarity in (0.3, 0.5, 0.8, 0.95, 1.0):
         n = simhash.n_bands(similarity)
