@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparktide.llm import balltree, bpe, chat, exact_dedup, language, mixing, pii, records, simhash, toxicity
+from sparktide.llm import balltree, bisector, bpe, chat, exact_dedup, language, mixing, pii, records, simhash, toxicity
 from sparktide.llm.common import documents, unordered
 from sparktide.workspace import materialise
 
@@ -259,3 +259,43 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("kind") == "page", key).alias("page_id"),
         "declared", "text_language", "language", F.round("confidence", 6).alias("confidence"), "accepted",
     )
+
+
+def _clusters_sql(rounds: int = 10) -> str:
+    """The rounds one after the other, distances in full."""
+    steps = [
+        """WITH v AS MATERIALIZED (
+         SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS HUGEINT) for x in embedding] AS v FROM embeddings
+         WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+       ), c0 AS MATERIALIZED (
+         SELECT CAST(row_number() OVER (ORDER BY h, v) - 1 AS INTEGER) AS cluster, v AS c
+         FROM (SELECT v, sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h FROM v) AS q QUALIFY cluster < 8
+       )"""
+    ]
+    nearest = """SELECT vec_id, v, arg_min(cluster, [d, cluster]) AS cluster, min(d) AS d, any_value(place) AS place
+                 FROM (SELECT p.*, cluster, list_sum([(p.v[i] - c[i]) * (p.v[i] - c[i]) for i in range(1, 65)]) AS d
+                       FROM (SELECT *, row_number() OVER () AS place FROM v) AS p, {c}) AS q GROUP BY vec_id, v, place"""
+    for r in range(rounds):
+        steps.append(
+            f"""a{r} AS MATERIALIZED ({nearest.format(c=f"c{r}")}
+       ), m{r} AS (
+         SELECT cluster, i, sum(v[i]) AS s, count(*) AS n FROM a{r}, range(1, 65) AS g(i) GROUP BY cluster, i
+       ), c{r + 1} AS MATERIALIZED (
+         SELECT cluster, coalesce(moved, c) AS c FROM c{r} LEFT JOIN
+           (SELECT cluster, list(CAST((s - (s % n + n) % n) // n AS HUGEINT) ORDER BY i) AS moved FROM m{r} GROUP BY cluster) AS q USING (cluster)
+       )"""
+        )
+    steps.append(f"last AS MATERIALIZED ({nearest.format(c=f'c{rounds}')})")
+    return (
+        ", ".join(steps)
+        + f"""
+       SELECT vec_id, cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+              CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string([CAST(x AS VARCHAR) for x in c], ',')) AS centroid_sha256
+       FROM last JOIN c{rounds} USING (cluster)"""
+    )
+
+
+@query("op11_centroid_clustering", _clusters_sql())
+def op11_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    found, _ = bisector.cluster(documents(spark, folder, "embeddings"))
+    return found.withColumnRenamed("id", "vec_id")
