@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparktide.llm import balltree, bisector, bpe, chat, exact_dedup, language, mixing, pii, records, simhash, toxicity
+from sparktide.llm import balltree, bisector, bpe, chat, exact_dedup, language, mixing, pii, prefix_trie, records, simhash, toxicity
 from sparktide.llm.common import documents, unordered
 from sparktide.workspace import materialise
 
@@ -299,3 +299,45 @@ def _clusters_sql(rounds: int = 10) -> str:
 def op11_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
     found, _ = bisector.cluster(documents(spark, folder, "embeddings"))
     return found.withColumnRenamed("id", "vec_id")
+
+
+@query(
+    "op12_prefix_trie",
+    """WITH t AS (
+         SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+       ), o AS (
+         SELECT *, sha256(length(role) || ':' || role || text) AS digest,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS place FROM t
+       ), c AS (
+         SELECT conv_id, count(*) AS own, conv_id - conv_id % 100 AS base,
+                CASE WHEN conv_id IS NULL THEN 0 ELSE xor(4294967295, list_reduce([CAST(4294967295 AS BIGINT)] || flatten(
+                  [[CAST(ascii(ch) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1] for ch in string_split(CAST(conv_id AS VARCHAR), '')]),
+                  lambda r, x: CASE WHEN x >= 0 THEN xor(r, x) WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END)) % 6 END AS h
+         FROM o GROUP BY conv_id
+       ), f AS (
+         SELECT c.*, least(c.h, coalesce(b.own, 0)) AS taken, least(c.h, coalesce(b.own, 0)) + greatest(c.own - c.h, 0) AS len
+         FROM c LEFT JOIN c b ON b.conv_id = c.base
+       ), s AS (
+         SELECT f.conv_id, place AS d, digest, text, len FROM f JOIN o ON o.conv_id = f.base WHERE place <= taken
+         UNION ALL
+         SELECT f.conv_id, taken + place - h, digest, text, len FROM f JOIN o ON o.conv_id IS NOT DISTINCT FROM f.conv_id WHERE place > h
+       ), p AS MATERIALIZED (
+         SELECT conv_id, d, len, length(text) AS chars, string_agg(digest, '') OVER (PARTITION BY conv_id ORDER BY d) AS path FROM s
+         UNION ALL SELECT conv_id, 0, len, 0, '' FROM f
+       ), n AS MATERIALIZED (
+         SELECT path, d, CASE WHEN count(*) = count(conv_id) THEN min(conv_id) END AS conv_id, count(*) AS n_convs, max(chars) AS chars,
+                sha256(coalesce(string_agg(coalesce(CAST(conv_id AS VARCHAR), ''), ',' ORDER BY conv_id NULLS FIRST) FILTER (d = len), '')) AS ends_sha256
+         FROM p GROUP BY path, d
+       ), k AS (
+         SELECT substr(path, 1, 64 * (d - 1)) AS path, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL
+       ), u AS (
+         SELECT substr(path, 1, 64 * a) AS path, count_if(n_children IS NULL) AS n_leaves, sum((n_convs - 1) * chars) AS saved
+         FROM (SELECT n.*, n_children, unnest(range(0, d + 1)) AS a FROM n LEFT JOIN k USING (path)) AS q GROUP BY ALL
+       )
+       SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children,
+              CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, n.ends_sha256
+       FROM n JOIN u USING (path) LEFT JOIN k USING (path) LEFT JOIN n up ON n.d > 0 AND up.path = substr(n.path, 1, 64 * (n.d - 1))""",
+)
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = prefix_trie.turns_of(documents(spark, folder, "conversations"))
+    return prefix_trie.prefix_trie(*prefix_trie.sequences(turns, shared=6, family=100))
