@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparktide.llm import balltree, bisector, bpe, chat, exact_dedup, language, mixing, pii, prefix_trie, records, simhash, toxicity
+from sparktide.llm import balltree, bisector, bpe, chat, exact_dedup, language, mixing, pii, prefix_trie, records, simhash, tensored, toxicity
 from sparktide.llm.common import documents, unordered
 from sparktide.workspace import materialise
 
@@ -341,3 +341,8 @@ def op11_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
 def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     turns = prefix_trie.turns_of(documents(spark, folder, "conversations"))
     return prefix_trie.prefix_trie(*prefix_trie.sequences(turns, shared=6, family=100))
+
+
+@query("op13_tensored_minhash")
+def op13_tensored_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return tensored.near_duplicates(documents(spark, folder), width=2, least=80)
