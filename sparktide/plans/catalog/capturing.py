@@ -134,9 +134,10 @@ def _(t):
 @query(
     "antipattern_scan",
     "ST-09",
-    """SELECT query_id, 'views' AS compared_column, 1 AS type_convert,
+    """SELECT query_id, col AS compared_column, 1 AS type_convert,
               CASE WHEN n_terms >= 65 THEN 1 ELSE 0 END AS large_number_of_or
-       FROM query_log WHERE query_sql_text LIKE '%WHERE views%' AND query_sql_text NOT LIKE '%''%'""",
+       FROM query_log WHERE (col = 'views' AND literal = 'number')
+                         OR (col = 'display_name' AND literal IN ('number', 'national'))""",
     views="query_log",
 )
 def _(t):

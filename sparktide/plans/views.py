@@ -20,6 +20,40 @@ SESSION_BLOCK = 64
 SETTING_NAMES = ("clr enabled", "clr strict security", "xp_cmdshell", "max degree of parallelism")
 
 
+# The texts of ``query_log``, step by step, for both engines: the column, its literal and the
+# number of terms; names plain, bracketed and qualified, lists wrapped, without blanks and with
+# comments inside; the predicate alone, behind another one, behind a long list of columns and
+# after a comment that holds a predicate itself.
+_QUERY_PARTS = (
+    "event_id",
+    "CASE event_id % 5 WHEN 0 THEN 'Up_Votes' WHEN 1 THEN 'Display_Name' ELSE 'Views' END AS col",
+    "CASE WHEN event_id % 7 = 0 THEN '''1''' WHEN event_id % 11 < 3 THEN concat('N''it', repeat(chr(39), 2), 's''') ELSE '1' END AS val",
+    "CAST(event_id % 130 AS INT) AS more",
+)
+_QUERY_SPELLINGS = (
+    "event_id",
+    "col",
+    "val",
+    "more",
+    "CASE event_id % 6 WHEN 0 THEN lower(col) WHEN 1 THEN concat('[', col, ']') WHEN 2 THEN concat('u.', col)"
+    " WHEN 3 THEN concat('[dbo].[u].[', col, ']') WHEN 4 THEN upper(col) ELSE concat('u . [', col, ']') END AS name",
+    "CASE event_id % 4 WHEN 0 THEN ', ' WHEN 1 THEN ',' WHEN 2 THEN concat(',', chr(10), '    ')"
+    " ELSE ' /* , 7 */, ' END AS gap",
+    "CASE event_id % 3 WHEN 0 THEN ' OR ' WHEN 1 THEN concat(chr(10), 'or ') ELSE ' Or /* OR */ ' END AS either",
+    "CASE event_id % 9 WHEN 0 THEN 'SELECT * FROM u WHERE id = 5 AND ' WHEN 1 THEN concat('SELECT ', repeat('c, ', 70), 'c FROM u WHERE ')"
+    " WHEN 2 THEN concat('-- WHERE views IN (1, 2)', chr(10), 'SELECT c FROM u WHERE ')"
+    " WHEN 3 THEN 'UPDATE u SET views = 1 WHERE c = 2 and ' ELSE 'SELECT * FROM u WHERE ' END AS front",
+)
+_QUERY_TEXTS = (
+    "event_id AS query_id",
+    "lower(col) AS col",
+    "CASE WHEN val = '1' THEN 'number' WHEN val = '''1''' THEN 'text' ELSE 'national' END AS literal",
+    "more + 1 AS n_terms",
+    "CASE WHEN event_id % 2 = 0 THEN concat(front, name, ' IN (', repeat(concat(val, gap), more), val, ')')"
+    " ELSE concat(front, '(', name, ' = ', val, repeat(concat(either, name, '=', val), more), ')') END AS query_sql_text",
+)
+
+
 class Tables:
     """The tables of one folder and the views derived from them."""
 
@@ -274,25 +308,13 @@ class Tables:
 
     @cached_property
     def query_log(self) -> DataFrame:
-        """Lists and OR chains of 1 to 130 terms, on a text and on an integer column."""
-        return self.events.selectExpr(
-            "event_id AS query_id",
-            "CASE WHEN event_id % 3 = 0 THEN 'up_votes' ELSE 'views' END AS col",
-            "CASE WHEN event_id % 7 = 0 THEN '''1''' ELSE '1' END AS val",
-            "CAST(event_id % 130 AS INT) AS more",
-        ).selectExpr(
-            "query_id",
-            "more + 1 AS n_terms",
-            "CASE WHEN query_id % 2 = 0"
-            " THEN concat('SELECT * FROM t WHERE ', col, ' IN (', repeat(concat(val, ', '), more), val, ')')"
-            " ELSE concat('SELECT * FROM t WHERE ', col, ' = ', val,"
-            " repeat(concat(' OR ', col, ' = ', val), more)) END AS query_sql_text",
-        )
+        """Lists and OR chains of 1 to 130 terms in many spellings, on two text columns and on an integer one."""
+        return self.events.selectExpr(*_QUERY_PARTS).selectExpr(*_QUERY_SPELLINGS).selectExpr(*_QUERY_TEXTS)
 
     @cached_property
     def column_types(self) -> DataFrame:
         return self.spark.createDataFrame(
-            [("views", "nvarchar"), ("up_votes", "int")], "column_name string, type_name string"
+            [("views", "nvarchar"), ("up_votes", "int"), ("display_name", "varchar")], "column_name string, type_name string"
         )
 
     @cached_property
@@ -438,15 +460,9 @@ SELECT event_id AS lsn, user_id AS transaction_id,
                        ELSE 'LOP_MODIFY_ROW' END AS operation,
        CASE WHEN event_type IN ('signup', 'view') THEN NULL ELSE CAST(event_id % 4 AS BIGINT) END AS n_locks
 FROM events""",
-    "query_log": """
-SELECT query_id, more + 1 AS n_terms,
-       CASE WHEN query_id % 2 = 0
-            THEN concat('SELECT * FROM t WHERE ', col, ' IN (', repeat(concat(val, ', '), more), val, ')')
-            ELSE concat('SELECT * FROM t WHERE ', col, ' = ', val, repeat(concat(' OR ', col, ' = ', val), more)) END
-         AS query_sql_text
-FROM (SELECT event_id AS query_id, CASE WHEN event_id % 3 = 0 THEN 'up_votes' ELSE 'views' END AS col,
-             CASE WHEN event_id % 7 = 0 THEN '''1''' ELSE '1' END AS val, CAST(event_id % 130 AS INT) AS more
-      FROM events) q""",
+    "query_log": f"""
+SELECT {", ".join(_QUERY_TEXTS)}
+FROM (SELECT {", ".join(_QUERY_SPELLINGS)} FROM (SELECT {", ".join(_QUERY_PARTS)} FROM events) p) q""",
     "wait_edges": """
 SELECT c_custkey AS waiter,
        CASE c_custkey % 10 WHEN 1 THEN c_custkey - 1 WHEN 4 THEN c_custkey - 2 WHEN 9 THEN NULL
