@@ -10,125 +10,81 @@ from sparktide.plans.views import Tables
 from sparktide.streaming import captures, sinks
 from sparktide.workspace import new_path
 
-
-# Columns that the events derived from the tables don't have.
-ABSENT = (
-    *captures.CLIENT, *captures.PLAN, *captures.DATABASE, *captures.LOCK, "tsql_stack", "sql_text",
-)
+_BASE = "event_id, ts, session_id, event_name"
+_CLIENT = "client_app_name, client_hostname, username"
+_DATABASE = "database_id, database_name"
+_PLAN = "client_app_name, plan_handle, query_hash, query_plan_hash"
+_LOCK = "blocked_process, index_id, lock_mode, object_id, resource_owner_type, transaction_id"
+
+# Per capture: the survey rows, the columns and the condition of its SQL, and its rule.
+_CAPTURES = {
+    "long_running": (
+        "ST-01 S-11", f"duration_us, {_PLAN}, {_DATABASE}, sql_text", "duration_us >= 1000000", captures.long_running_rule
+    ),
+    "failed_queries": (
+        "ST-02", f"severity, {_CLIENT}, {_DATABASE}, sql_text", "event_name = 'error' AND severity > 10",
+        lambda: captures.failed_queries_rule(names=["error"]),
+    ),
+    "aborted_queries": ("ST-03", f"result, {_DATABASE}, sql_text", "result = 'Abort'", captures.aborted_queries_rule),
+    "abort_events": (
+        "ST-03", f"result, {_DATABASE}, sql_text", "result = 'Abort' OR event_name = 'error'",
+        lambda: captures.aborted_queries_rule(["error"]),
+    ),
+    "antipattern_events": (
+        "ST-04", f"{_PLAN}, sql_text", "event_name = 'click' AND client_app_name <> 'app_1' AND client_app_name <> 'app_2'",
+        lambda: captures.antipattern_events_rule(["app_1", "app_2"], names=["click"]),
+    ),
+    "spills": ("ST-05", f"spills, {_DATABASE}, {_CLIENT}, tsql_stack, sql_text", "spills > 0", captures.spills_rule),
+    "spill_events": (
+        "ST-05", f"spills, {_DATABASE}, {_CLIENT}, tsql_stack, sql_text", "spills > 0 OR event_name = 'view'",
+        lambda: captures.spills_rule(["view"]),
+    ),
+    "tempdb_growth": (
+        "ST-06", f"{_DATABASE}, client_hostname, sql_text",
+        "event_name IN ('click', 'purchase') AND database_id = 2 AND session_id > 50",
+        lambda: captures.tempdb_growth_rule(["click", "purchase"]),
+    ),
+    "blocked_process": (
+        "ST-07 S-11", f"duration_us, {_DATABASE}, {_LOCK}", "event_name = 'purchase'",
+        lambda: captures.blocked_process_rule(["purchase"]),
+    ),
+    "deadlocks": (
+        "ST-08", "client_app_name, sql_text", "event_name IN ('error', 'signup')",
+        lambda: captures.deadlocks_rule(["error", "signup"]),
+    ),
+}
 
 
 def _stream(t):
     return Tables.as_xe_events(sinks.event_stream(t.spark, t.folder, "events", t.events.schema))
 
 
-@query(
-    "capture_long_running",
-    "ST-01 S-11",
-    """SELECT event_id, ts, session_id, event_name, duration_us, client_app_name, database_id
-       FROM xe_events WHERE duration_us >= 1000000""",
-    views="xe_events",
-)
-def _(t):
-    return sinks.captured(captures.long_running(_stream(t), absent=ABSENT), "long_running")
-
-
-@query(
-    "capture_failed_queries",
-    "ST-02",
-    """SELECT event_id, ts, session_id, event_name, severity, client_app_name, database_id
-       FROM xe_events WHERE event_name = 'error' AND severity > 10""",
-    views="xe_events",
-)
-def _(t):
-    return sinks.captured(captures.failed_queries(_stream(t), names=["error"], absent=ABSENT), "failed_queries")
-
-
-@query(
-    "capture_aborted_queries",
-    "ST-03",
-    "SELECT event_id, ts, session_id, event_name, result, database_id FROM xe_events WHERE result = 'Abort'",
-    views="xe_events",
-)
-def _(t):
-    return sinks.captured(captures.aborted_queries(_stream(t), absent=ABSENT), "aborted_queries")
-
-
-@query(
-    "capture_abort_events",
-    "ST-03",
-    """SELECT event_id, ts, session_id, event_name, result, database_id FROM xe_events
-       WHERE result = 'Abort' OR event_name = 'error'""",
-    views="xe_events",
-)
-def _(t):
-    return sinks.captured(captures.aborted_queries(_stream(t), ["error"], absent=ABSENT), "abort_events")
-
-
-@query(
-    "capture_antipattern_events",
-    "ST-04",
-    """SELECT event_id, ts, session_id, event_name, client_app_name FROM xe_events
-       WHERE event_name = 'click' AND client_app_name <> 'app_1' AND client_app_name <> 'app_2'""",
-    views="xe_events",
-)
-def _(t):
-    hits = captures.antipattern_events(_stream(t), ["app_1", "app_2"], names=["click"], absent=ABSENT)
-    return sinks.captured(hits, "antipattern_events")
-
-
-@query(
-    "capture_spills",
-    "ST-05",
-    """SELECT event_id, ts, session_id, event_name, spills, database_id, client_app_name
-       FROM xe_events WHERE spills > 0""",
-    views="xe_events",
-)
-def _(t):
-    return sinks.captured(captures.spills(_stream(t), absent=ABSENT), "spills")
-
+def _register(name: str, covers: str, columns: str, condition: str, rule) -> None:
+    @query(f"capture_{name}", covers, f"SELECT {_BASE}, {columns} FROM xe_events WHERE {condition}", views="xe_events")
+    def _(t):
+        return sinks.captured(captures.capture(_stream(t), rule()), name)
 
-@query(
-    "capture_spill_events",
-    "ST-05",
-    """SELECT event_id, ts, session_id, event_name, spills, database_id, client_app_name
-       FROM xe_events WHERE spills > 0 OR event_name = 'view'""",
-    views="xe_events",
-)
-def _(t):
-    return sinks.captured(captures.spills(_stream(t), ["view"], absent=ABSENT), "spill_events")
 
+for _name, _parts in _CAPTURES.items():
+    _register(_name, *_parts)
 
-@query(
-    "capture_tempdb_growth",
-    "ST-06",
-    """SELECT event_id, ts, session_id, event_name, database_id FROM xe_events
-       WHERE event_name IN ('click', 'purchase') AND database_id = 2 AND session_id > 50""",
-    views="xe_events",
-)
-def _(t):
-    return sinks.captured(captures.tempdb_growth(_stream(t), ["click", "purchase"], absent=ABSENT), "tempdb_growth")
+_ALL_COLUMNS = list(dict.fromkeys(c for _, columns, *_ in _CAPTURES.values() for c in columns.split(", ")))
 
 
-@query(
-    "capture_blocked_process",
-    "ST-07 S-11",
-    """SELECT event_id, ts, session_id, event_name, duration_us, database_id FROM xe_events
-       WHERE event_name = 'purchase'""",
-    views="xe_events",
-)
-def _(t):
-    return sinks.captured(captures.blocked_process(_stream(t), ["purchase"], absent=ABSENT), "blocked_process")
+def _one_of_all(name: str, columns: str, condition: str) -> str:
+    kept = ", ".join(c if c in columns.split(", ") else f"NULL AS {c}" for c in _ALL_COLUMNS)
+    return f"SELECT '{name}' AS capture, {_BASE}, {kept} FROM xe_events WHERE {condition}"
 
 
 @query(
-    "capture_deadlocks",
-    "ST-08",
-    """SELECT event_id, ts, session_id, event_name, client_app_name FROM xe_events
-       WHERE event_name IN ('error', 'signup')""",
+    "capture_fan_out",
+    "ST-01 ST-02 ST-03 ST-04 ST-05 ST-06 ST-07 ST-08 S-11",
+    " UNION ALL BY NAME ".join(_one_of_all(name, columns, condition) for name, (_, columns, condition, _) in _CAPTURES.items()),
     views="xe_events",
 )
 def _(t):
-    return sinks.captured(captures.deadlocks(_stream(t), ["error", "signup"], absent=ABSENT), "deadlocks")
+    rules = {name: rule() for name, (*_, rule) in _CAPTURES.items()}
+    return sinks.captured(captures.fan_out(_stream(t), rules), "fan_out", "capture")
 
 
 @query(
@@ -147,15 +103,16 @@ def _(t):
 @query(
     "event_rate",
     "ST-10",
-    """SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, event_name, n_events FROM (
-         SELECT date_trunc('day', ts) AS window_start, event_name, count(*) AS n_events
-         FROM xe_events GROUP BY date_trunc('day', ts), event_name) w
-       WHERE window_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM xe_events) - INTERVAL 1 HOUR""",
+    """SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, event_name,
+              count(*) AS n_events
+       FROM xe_events GROUP BY date_trunc('day', ts), event_name""",
     views="xe_events",
 )
 def _(t):
     zoned = _stream(t).withColumn("ts", F.col("ts").cast("timestamp"))
-    rate = sinks.captured(captures.event_rate(zoned, "1 day", "1 hour"), "event_rate")
+    emitted = sinks.captured(captures.event_rate(zoned, "1 day", "1 hour"), "event_rate")
+    batch = t.xe_events.withColumn("ts", F.col("ts").cast("timestamp"))
+    rate = emitted.union(captures.open_windows(batch, "1 day", "1 hour"))
     plain = {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}
     return rate.withColumns(plain)
 

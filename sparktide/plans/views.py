@@ -20,6 +20,26 @@ SESSION_BLOCK = 64
 SETTING_NAMES = ("clr enabled", "clr strict security", "xp_cmdshell", "max degree of parallelism")
 
 
+# What events carry besides their measures, as SQL for both engines.
+_XE_ACTIONS = (
+    "concat('app_', CAST(event_id % 6 AS STRING)) AS client_app_name",
+    "concat('host_', CAST(user_id % 13 AS STRING)) AS client_hostname",
+    "concat('login_', CAST(user_id % 7 AS STRING)) AS username",
+    "CASE event_id % 5 WHEN 0 THEN 'master' WHEN 2 THEN 'tempdb' ELSE concat('db_', CAST(event_id % 5 AS STRING)) END AS database_name",
+    "concat('0x06', substr(md5(concat('plan', CAST(event_id % 997 AS STRING))), 1, 16)) AS plan_handle",
+    "concat('0x', substr(md5(concat('query', CAST(event_id % 211 AS STRING))), 1, 16)) AS query_hash",
+    "concat('0x', substr(md5(concat('shape', CAST(event_id % 307 AS STRING))), 1, 16)) AS query_plan_hash",
+    "CASE WHEN event_id % 17 > 0 THEN concat('UPDATE t', CAST(event_id % 11 AS STRING), ' SET v = ', CAST(event_id AS STRING)) END AS sql_text",
+    "concat('<frames><frame level=\"1\" line=\"', CAST(event_id % 90 AS STRING), '\"/></frames>') AS tsql_stack",
+    "CASE WHEN event_type = 'purchase' THEN concat('<blocked-process-report><blocked-process><process spid=\"',"
+    " CAST(user_id AS STRING), '\"/></blocked-process></blocked-process-report>') END AS blocked_process",
+    "CAST(event_id % 4 AS INT) AS index_id",
+    "CASE event_id % 4 WHEN 0 THEN 'X' WHEN 1 THEN 'U' WHEN 2 THEN 'S' ELSE 'IX' END AS lock_mode",
+    "event_id % 101 AS object_id",
+    "CASE WHEN event_id % 3 = 0 THEN 'LOCK' ELSE 'TRANSACTION' END AS resource_owner_type",
+    "event_id * 7 AS transaction_id",
+)
+
 # The texts of ``query_log``, step by step, for both engines: the column, its literal and the
 # number of terms; names plain, bracketed and qualified, lists wrapped, without blanks and with
 # comments inside; the predicate alone, behind another one, behind a long list of columns and
@@ -283,7 +303,7 @@ class Tables:
             "CAST(event_id % 25 AS INT) AS severity",
             "CASE WHEN event_id % 10 = 0 THEN 'Abort' ELSE 'OK' END AS result",
             "CASE WHEN event_id % 8 = 0 THEN CAST(event_id % 3 AS INT) ELSE 0 END AS spills",
-            "concat('app_', CAST(event_id % 6 AS STRING)) AS client_app_name",
+            *_XE_ACTIONS,
         )
 
     @cached_property
@@ -447,12 +467,12 @@ SELECT event_id AS media_set_id, concat('/backup/', CAST(event_id AS STRING)) AS
        CASE WHEN event_id % 4 = 0 THEN concat('device_', CAST(user_id AS STRING)) END AS logical_device_name,
        CASE event_id % 5 WHEN 0 THEN 2 WHEN 1 THEN 5 WHEN 2 THEN 7 WHEN 3 THEN 9 ELSE 99 END AS device_type
 FROM events""",
-    "xe_events": """
+    "xe_events": f"""
 SELECT event_id, ts, user_id AS session_id, CAST(event_id % 5 AS INT) AS database_id, event_type AS event_name,
        CAST(round(value * 10000) AS BIGINT) AS duration_us, CAST(event_id % 25 AS INT) AS severity,
        CASE WHEN event_id % 10 = 0 THEN 'Abort' ELSE 'OK' END AS result,
        CASE WHEN event_id % 8 = 0 THEN CAST(event_id % 3 AS INT) ELSE 0 END AS spills,
-       concat('app_', CAST(event_id % 6 AS STRING)) AS client_app_name
+       {", ".join(_XE_ACTIONS)}
 FROM events""",
     "change_log": """
 SELECT event_id AS lsn, user_id AS transaction_id,

@@ -25,19 +25,23 @@ def event_stream(spark: SparkSession, folder: str, table: str, schema, files_per
     return reader.parquet(f"{folder}/{table}.parque[t]")
 
 
-def event_file_sink(stream: DataFrame, path: str, checkpoint: str, name: str | None = None) -> StreamingQuery:
-    """Write captured events to files, each exactly once, until the source is read."""
+def event_file_sink(
+    stream: DataFrame, path: str, checkpoint: str, name: str | None = None, target: str | None = None
+) -> StreamingQuery:
+    """Write captured events to files, each exactly once, until the source is read; a folder per value of ``target``."""
     writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+    if target:
+        writer = writer.partitionBy(target)
     if name:
         writer = writer.queryName(name)
     return writer.outputMode("append").trigger(availableNow=True).start(path)
 
 
-def captured(stream: DataFrame, label: str) -> DataFrame:
+def captured(stream: DataFrame, label: str, target: str | None = None) -> DataFrame:
     """Run a capture over what the source holds now and return what it wrote."""
     spark = stream.sparkSession
     path = new_path(spark, label)
-    event_file_sink(stream, f"{path}/events", f"{path}/checkpoint").awaitTermination()
+    event_file_sink(stream, f"{path}/events", f"{path}/checkpoint", target=target).awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{path}/events")
 
 

@@ -1,29 +1,29 @@
 """Streams return what the same capture returns on the batch."""
 
-import datetime as dt
-
 import pytest
 from pyspark.sql import functions as F
 
-from sparktide.plans.catalog.capturing import ABSENT
 from sparktide.plans.views import Tables
 from sparktide.sources import event_xml
 from sparktide.streaming import captures, sinks
 
-CAPTURES = [
-    lambda e: captures.long_running(e, absent=ABSENT),
-    lambda e: captures.failed_queries(e, absent=ABSENT),
-    lambda e: captures.aborted_queries(e, ["error"], absent=ABSENT),
-    lambda e: captures.antipattern_events(e, ["app_1"], absent=ABSENT),
-    lambda e: captures.spills(e, absent=ABSENT),
-    lambda e: captures.tempdb_growth(e, None, absent=ABSENT),
-    lambda e: captures.deadlocks(e, ["error"], absent=ABSENT),
-]
+RULES = {
+    "long_running": captures.long_running_rule,
+    "failed_queries": captures.failed_queries_rule,
+    "aborted_queries": lambda: captures.aborted_queries_rule(["error"]),
+    "antipattern_events": lambda: captures.antipattern_events_rule(["app_1"]),
+    "spills": captures.spills_rule,
+    "tempdb_growth": lambda: captures.tempdb_growth_rule(None),
+    "blocked_process": lambda: captures.blocked_process_rule(["purchase"]),
+    "deadlocks": lambda: captures.deadlocks_rule(["error"]),
+}
 
 
 def test_missing_columns_are_an_error(tables):
     with pytest.raises(ValueError, match="sql_text"):
-        captures.long_running(tables.xe_events)
+        captures.long_running(tables.xe_events.drop("sql_text"))
+    with pytest.raises(ValueError, match="sql_text"):
+        captures.fan_out(tables.xe_events.drop("sql_text"), {"long_running": captures.long_running_rule()})
 
 
 @pytest.fixture(scope="module")
@@ -40,10 +40,21 @@ def _stream(spark, path, schema, files=None):
     return Tables.as_xe_events(sinks.event_stream(spark, path, "events", schema, files))
 
 
-@pytest.mark.parametrize("capture", CAPTURES)
-def test_stream_equals_batch(spark, tables, parts, assert_same, capture):
+def test_one_stream_serves_all_targets(spark, tables, parts, assert_same):
+    """One pass in several micro-batches gives each target what its capture finds in the batch."""
+    rules = {name: rule() for name, rule in RULES.items()}
+    stream = captures.fan_out(_stream(spark, parts, tables.events.schema, files=2), rules)
+    written = sinks.captured(stream, "fan_out", "capture")
+    for name, rule in rules.items():
+        target = written.where(F.col("capture") == name)
+        assert_same(captures.capture(tables.xe_events, rule), target.select(*captures.BASE, *rule.columns))
+        others = [c for c in written.columns if c not in ("capture", *captures.BASE, *rule.columns)]
+        assert target.where(" OR ".join(f"{c} IS NOT NULL" for c in others)).isEmpty()
+
+
+def test_stream_equals_batch(spark, tables, parts, assert_same):
     stream = _stream(spark, parts, tables.events.schema, files=2)
-    assert_same(capture(tables.xe_events), sinks.captured(capture(stream), "capture"))
+    assert_same(captures.spills(tables.xe_events), sinks.captured(captures.spills(stream), "capture"))
 
 
 def test_ring_buffer_over_many_batches(spark, tables, parts, assert_same, work):
@@ -78,13 +89,17 @@ def test_restart_replaces_the_running_capture(spark, tables, parts, work):
     second.stop()
 
 
-def test_rate_counts_every_closed_window(spark, tables, parts):
+def test_rate_counts_every_window(spark, tables, parts, assert_same):
+    """What a bounded run emitted and what it still held are all windows, none twice."""
     stream = _stream(spark, parts, tables.events.schema).withColumn("ts", F.col("ts").cast("timestamp"))
-    rate = sinks.captured(captures.event_rate(stream, "6 hours", "10 minutes"), "rate")
-    last = tables.events.agg(F.max("ts")).head()[0] - dt.timedelta(minutes=10)
-    closed = last.replace(hour=last.hour // 6 * 6, minute=0, second=0, microsecond=0)
-    expected = tables.events.where(F.col("ts") < F.lit(closed).cast("timestamp_ntz")).count()
-    assert rate.agg(F.sum("n_events")).head()[0] == expected
+    emitted = sinks.captured(captures.event_rate(stream, "6 hours", "10 minutes"), "rate")
+    batch = tables.xe_events.withColumn("ts", F.col("ts").cast("timestamp"))
+    held = captures.open_windows(batch, "6 hours", "10 minutes")
+    assert held.count() > 0
+    expected = batch.groupBy(F.window("ts", "6 hours"), "event_name").agg(F.count("*").alias("n_events"))
+    expected = expected.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "event_name", "n_events")
+    assert_same(expected, emitted.union(held))
+    assert captures.open_windows(batch.limit(0), "6 hours", "10 minutes").count() == 0
 
 
 def test_broken_documents_are_skipped(spark):
