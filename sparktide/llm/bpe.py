@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparktide.llm.common import map_batches, text_of
+from sparktide.llm.common import brought_back, map_batches, set_aside, text_of
 
 #: Characters that are cut into pre-tokens at once.
 WINDOW = 262_144
@@ -378,20 +378,26 @@ def read_vocabulary(path: str) -> str:
 
 def _with(df: DataFrame, source: F.Column, name: str, kind: T.DataType, make) -> DataFrame:
     """``df`` with the column ``name`` made batch by batch from ``source``."""
-    kept = [c for c in df.columns if c != name]
-    schema = T.StructType([*(f for f in df.schema if f.name != name), T.StructField(name, kind)])
-    read = df.select(*kept, source.alias("_read"))
+    plain, names = set_aside(df.withColumn(_free(df), source))
+    *kept, read_from = names.values()
+    schema = T.StructType([*plain.schema.fields[:-1], T.StructField("made", kind)])
 
     def once():
         one = make()
 
         def step(batch: pa.RecordBatch) -> dict:
-            made = [one(x) for x in batch.column("_read").to_pylist()]
-            return {c: batch.column(c) for c in kept} | {name: made}
+            made = [one(x) for x in batch.column(read_from).to_pylist()]
+            return {c: batch.column(c) for c in kept} | {"made": made}
 
         return step
 
-    return map_batches(read, once, schema)
+    given = {c: names[c] for c in df.columns if c != name}
+    return map_batches(plain, once, schema).select(*brought_back(given), F.col("made").alias(name))
+
+
+def _free(df: DataFrame) -> str:
+    """A name that no column of ``df`` has."""
+    return "read_" + "_".join(df.columns)
 
 
 def encode(df: DataFrame, vocabulary_path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
@@ -410,24 +416,25 @@ def decode(df: DataFrame, vocabulary_path: str, ids_col: str = "ids", text_col:
 def encode_checked(df: DataFrame, vocabulary_path: str, text_col: str = "text", ids_col: str = "ids", same_col: str = "round_trip") -> DataFrame:
     """``encode``, and in ``same_col`` whether decoding the ids gives the text back; one pass over the texts."""
     shared = df.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path))
-    kept = [c for c in df.columns if c not in (ids_col, same_col)]
-    schema = T.StructType(
-        [*(df.schema[c] for c in kept), T.StructField(ids_col, T.BinaryType()), T.StructField(same_col, T.BooleanType())]
-    )
-    given = F.col(text_col)
+    plain, names = set_aside(df)
+    kept = list(names.values())
+    schema = T.StructType([*plain.schema.fields, T.StructField("ids", T.BinaryType()), T.StructField("same", T.BooleanType())])
+    read_from = names[text_col]
 
     def make():
         v = vocabulary(shared.value)
 
         def step(batch: pa.RecordBatch) -> dict:
-            texts = [x or "" for x in batch.column("_read").to_pylist()]
+            texts = [x or "" for x in batch.column(read_from).to_pylist()]
             ids = [v.encode(t) for t in texts]
             same = [v.decode(i) == t for i, t in zip(ids, texts, strict=True)]
-            return {c: batch.column(c) for c in kept} | {ids_col: ids, same_col: same}
+            return {c: batch.column(c) for c in kept} | {"ids": ids, "same": same}
 
         return step
 
-    return map_batches(df.select(*kept, given.alias("_read")), make, schema)
+    given = {c: n for c, n in names.items() if c not in (ids_col, same_col)}
+    made = map_batches(plain, make, schema)
+    return made.select(*brought_back(given), F.col("ids").alias(ids_col), F.col("same").alias(same_col))
 
 
 def count_ids(ids_col: str = "ids") -> F.Column:

@@ -43,6 +43,17 @@ def documents(spark: SparkSession, folder: str, name: str = "documents") -> Data
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def set_aside(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` under names that no column of an operator has, and the new name of each of its columns."""
+    names = {c: f"given{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
+def brought_back(names: dict[str, str]) -> list[Column]:
+    """The columns of ``set_aside`` under their own names."""
+    return [F.col(new).alias(c) for c, new in names.items()]
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]], schema: T.StructType) -> DataFrame:
     """Arrow batches through a function that ``make`` builds once per task.
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparktide.llm.common import ordered, parts_for, text_of, unordered
+from sparktide.llm.common import brought_back, ordered, parts_for, set_aside, text_of, unordered
 from sparktide.workspace import materialise
 
 #: Digests a shard of the index is meant for; it is the memory bound of a task.
@@ -198,14 +198,13 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` that stay, with all their columns."""
+    """The rows of ``df`` that stay, with all their columns, whatever their names."""
     from pyspark.sql import Window
 
     groups = _settled(digests(df, id_col, text_col))
-    winners = groups.select(F.col("digest").alias("_digest"), F.col("key").alias("_key"), F.lit(1).alias("_stays"))
-    marked = df.select(
-        "*", digest_of(text_col).alias("_digest"), ordered(F.col(id_col).cast("long")).alias("_key")
-    )
-    same = Window.partitionBy("_digest", "_key").orderBy("_stays")
-    kept = marked.join(winners, ["_digest", "_key"]).withColumn("_nth", F.row_number().over(same))
-    return kept.where("_nth = 1").select(*df.columns)
+    winners = groups.select("digest", "key", F.lit(1).alias("stays"))
+    plain, names = set_aside(df)
+    marked = plain.select("*", digest_of(F.col(names[text_col])).alias("digest"), ordered(F.col(names[id_col]).cast("long")).alias("key"))
+    same = Window.partitionBy("digest", "key").orderBy("stays")
+    kept = marked.join(winners, ["digest", "key"]).withColumn("nth", F.row_number().over(same))
+    return kept.where("nth = 1").select(*brought_back(names))

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparktide.llm.common import map_batches, ordered, text_of
+from sparktide.llm.common import brought_back, map_batches, ordered, set_aside, text_of
 from sparktide.workspace import materialise
 
 BUCKETS = 16_384
@@ -215,10 +215,16 @@ def document_rows(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The documents whose language is accepted, with all their columns."""
-    digest = F.xxhash64(text_of("text"))
+    """The documents whose language is accepted, with all their columns, whatever their names.
+
+    Rows with equal id and text are one document: they stay if one of them is accepted.
+    A null id is an id like others. An empty table gives an empty one.
+    """
     rows = document_rows(docs).withColumn("digest", F.xxhash64("text"))
     judged = fuse(rows, train(docs, settings), settings)
-    rejected = materialise(judged.where(~F.col("accepted")).select(F.col("key").alias("_key"), F.col("digest").alias("_digest")).distinct(), "rejected")
-    marked = docs.withColumns({"_key": ordered(F.col("doc_id").cast("long")), "_digest": digest})
-    return marked.join(rejected, ["_key", "_digest"], "left_anti").select(*docs.columns)
+    fates = judged.groupBy("key", "digest").agg(F.bool_or("accepted").alias("accepted"))
+    rejected = materialise(fates.where(~F.col("accepted")).select("key", "digest"), "rejected")
+    plain, names = set_aside(docs)
+    key, digest = ordered(F.col(names["doc_id"]).cast("long")), F.xxhash64(text_of(F.col(names["text"])))
+    marked = plain.withColumns({"key": key, "digest": digest})
+    return marked.join(rejected, ["key", "digest"], "left_anti").select(*brought_back(names))

@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparktide.llm.common import WORD, ordered, text_of, unordered, words_in
+from sparktide.llm.common import WORD, brought_back, ordered, set_aside, text_of, unordered, words_in
 from sparktide.operators.ordering import number_rows
 from sparktide.workspace import materialise
 
@@ -47,7 +47,6 @@ class Mix:
 
 #: Divisors tried in one pass over the cells.
 TRIES = 32
-PASSES = 6
 
 
 def _hash(*parts) -> F.Column:
@@ -58,8 +57,9 @@ def _hash(*parts) -> F.Column:
 
 def _measured(df: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
     rows = df.select(
-        ordered(F.col(id_col).cast("long")).alias("key"), F.col(source_col).alias("source"), words_in(text_col).alias("size")
-    )
+        ordered(F.col(id_col).cast("long")).alias("key"), F.col(source_col).alias("source"), words_in(text_col).alias("size"),
+        F.xxhash64(text_of(text_col)).alias("digest"),
+    )
     return materialise(rows.withColumn("row", F.monotonically_increasing_id()), "sizes")
 
 
@@ -100,16 +100,18 @@ def apportion(cells: DataFrame, seats: int, order: list[str]) -> DataFrame:
     """
 
     def quota(times: float) -> F.Column:
-        return F.least(F.col("most"), F.floor(F.col("votes") * F.lit(times) + F.lit(0.5)).cast("long"))
+        return F.floor(F.least(F.col("most").cast("double"), F.col("votes") * F.lit(times) + F.lit(0.5))).cast("long")
 
-    votes, room = cells.agg(F.sum("votes"), F.sum("most")).first()
+    votes, room = cells.agg(F.sum("votes"), F.sum(F.when(F.col("votes") > 0, F.col("most")))).first()
     if not votes or seats <= 0:
         return cells.withColumn("quota", F.lit(0).cast("long"))
     if room <= seats:
         return cells.withColumn("quota", F.when(F.col("votes") > 0, F.col("most")).otherwise(F.lit(0)).cast("long"))
     low, high = 0.0, 2.0 * seats / votes
     below, over = 0, None
-    for _ in range(PASSES):
+    # Seats are fewer than there is room for, so some divisor overshoots; between two
+    # divisors next to each other nothing is left to narrow.
+    while over is None or (over - below > 64 and low < (low + high) / 2 < high):
         tried = [low + (high - low) * k / TRIES for k in range(1, TRIES + 1)]
         sums = cells.agg(*[F.sum(quota(t)).alias(f"s{k}") for k, t in enumerate(tried)]).first()
         for t, n in zip(tried, sums, strict=True):
@@ -119,12 +121,7 @@ def apportion(cells: DataFrame, seats: int, order: list[str]) -> DataFrame:
                 high, over = t, n
                 break
         else:
-            high *= 2
-            continue
-        if over - below <= 64:
-            break
-    if over is None:
-        return cells.withColumn("quota", F.when(F.col("votes") > 0, F.col("most")).otherwise(F.lit(0)).cast("long"))
+            high *= 1 << 20
     base = F.greatest(F.lit(0), quota(low) - 1)
     top = F.least(F.col("most"), quota(high) + 1)
     started = materialise(cells.withColumns({"_base": base, "_top": top}), "seats")
@@ -145,7 +142,7 @@ def _overlap(first: F.Column, end: F.Column) -> F.Column:
 
 
 def mixed(df: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """Per row: key, source, size, source_size, target, and what the mix takes of it.
+    """Per row: key, digest, source, size, source_size, target, and what the mix takes of it.
 
     ``whole`` counts full copies, (``from1``, ``to1``) and (``from2``, ``to2``) are
     ranges of its words taken once more, ``taken`` is the sum in words.
@@ -162,7 +159,7 @@ def mixed(df: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str
     ).cast("long")
     known = per_source.select(F.col("source").alias("_source"), "place", "source_size", "target", shards.alias("shards"))
     dealt = rows.join(known, F.col("source").eqNullSafe(F.col("_source"))).select(
-        "row", "key", "source", "size", "place", "source_size", "target",
+        "row", "key", "digest", "source", "size", "place", "source_size", "target",
         (_hash(mix.seed, F.col("key")) % F.col("shards")).alias("shard"),
     )
     dealt = materialise(dealt, "dealt")
@@ -192,7 +189,7 @@ def mixed(df: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str
         F.when(F.col("more") > 0, F.least(last * block, F.col("words"))).otherwise(0).alias("end1"),
         F.when(last > F.col("b"), (last - F.col("b")) * block).otherwise(0).alias("end2"),
     )
-    in_order = Window.partitionBy("place", "shard").orderBy(F.md5(F.concat_ws(":", F.lit(str(mix.seed)), F.col("key").cast("string"))), "key", "size", "row")
+    in_order = Window.partitionBy("place", "shard").orderBy(F.md5(F.concat_ws(":", F.lit(str(mix.seed)), F.col("key").cast("string"))), "key", "size", "digest", "row")
     stream = dealt.withColumn("stop", F.sum("size").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
     stream = stream.withColumn("start", F.col("stop") - F.col("size"))
     chosen = stream.join(materialise(quotas, "quotas"), ["place", "shard"])
@@ -205,7 +202,7 @@ def mixed(df: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str
     from1, to1 = ends(F.col("first1"), F.col("end1"))
     from2, to2 = ends(F.lit(0), F.col("end2"))
     cut = chosen.select(
-        "key", "source", "size", "source_size", "target", "whole",
+        "key", "digest", "source", "size", "source_size", "target", "whole",
         from1.alias("from1"), to1.alias("to1"), from2.alias("from2"), to2.alias("to2"),
     )
     taken = F.col("whole") * F.col("size") + F.col("to1") - F.col("from1") + F.col("to2") - F.col("from2")
@@ -218,35 +215,43 @@ def shares(df: DataFrame, mix: Mix = Mix()) -> DataFrame:
 
 
 def take(df: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The mix itself, with the columns of ``df``: a row per copy, cut texts where a block ends inside a document."""
-    same = ["_key", "_source", "_none", "_size"]
-
-    def keyed(frame: DataFrame, key: F.Column, source: F.Column, size: F.Column, tie: F.Column) -> DataFrame:
-        named = frame.withColumns(
-            {"_key": key, "_source": F.coalesce(source.cast("string"), F.lit("")), "_none": source.isNull(), "_size": size, "_tie": tie}
-        )
-        nth = F.row_number().over(Window.partitionBy(*same).orderBy("_tie"))
-        return named.withColumn("_nth", nth).drop("_tie")
-
-    taken = mixed(df, mix, id_col, text_col, source_col).select(
-        "key", "source", "size", F.struct("whole", "from1", "to1", "from2", "to2").alias("_cut")
-    )
-    taken = keyed(materialise(taken, "taken"), F.col("key"), F.col("source"), F.col("size"), F.hash("_cut"))
-    taken = taken.select(*same, "_nth", "_cut")
-    marked = keyed(
-        df, ordered(F.col(id_col).cast("long")), F.col(source_col), words_in(text_col), F.monotonically_increasing_id()
+    """The mix itself, with the columns of ``df``, whatever their names: a row per copy, cut texts where a block ends inside a document.
+
+    Rows that repeat an id, a source and a text share their cuts as one array: the only
+    thing here that grows with the repeats of one row.
+    """
+    same = ["key", "source", "none", "digest"]
+    cut = F.struct("whole", "from1", "to1", "from2", "to2")
+    cuts = mixed(df, mix, id_col, text_col, source_col).select("key", *_named(F.col("source")), "digest", cut.alias("cut"))
+    cuts = materialise(cuts.groupBy(*same).agg(F.array_sort(F.collect_list("cut")).alias("cuts")), "cuts")
+    plain, names = set_aside(df)
+    text = F.col(names[text_col])
+    marked = plain.select(
+        "*",
+        ordered(F.col(names[id_col]).cast("long")).alias("key"),
+        *_named(F.col(names[source_col])),
+        F.xxhash64(text_of(text)).alias("digest"),
     )
-    whole = F.array_repeat(F.struct(F.lit(0).cast("long").alias("a"), F.col("_size").alias("z")), F.col("_cut.whole").cast("int"))
+    # The window and the join need the same partitions, so the texts are shuffled once.
+    nth = F.row_number().over(Window.partitionBy(*same).orderBy("digest"))
+    met = marked.withColumn("nth", nth).join(cuts, same).withColumn("cut", F.element_at("cuts", F.col("nth"))).drop("cuts")
+    met = met.withColumn("size", words_in(text)).where("size > 0")
+    whole = F.array_repeat(F.struct(F.lit(0).cast("long").alias("a"), F.col("size").alias("z")), F.col("cut.whole").cast("int"))
     parts = F.filter(
         F.array(
-            F.struct(F.col("_cut.from1").cast("long").alias("a"), F.col("_cut.to1").cast("long").alias("z")),
-            F.struct(F.col("_cut.from2").cast("long").alias("a"), F.col("_cut.to2").cast("long").alias("z")),
+            F.struct(F.col("cut.from1").cast("long").alias("a"), F.col("cut.to1").cast("long").alias("z")),
+            F.struct(F.col("cut.from2").cast("long").alias("a"), F.col("cut.to2").cast("long").alias("z")),
         ),
         lambda p: p["z"] > p["a"],
     )
-    copies = marked.where("_size > 0").join(taken, [*same, "_nth"]).withColumn("_part", F.explode(F.concat(whole, parts)))
-    pieces = F.regexp_extract_all(text_of(text_col), F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
-    length = (F.col("_part.z") - F.col("_part.a")).cast("int")
-    cut = F.array_join(F.slice(pieces, (F.col("_part.a") + 1).cast("int"), length), "")
-    text = F.when(length == F.col("_size"), F.col(text_col)).otherwise(cut)
-    return copies.withColumn(text_col, text).select(*df.columns)
+    copies = met.withColumn("part", F.explode(F.concat(whole, parts)))
+    pieces = F.regexp_extract_all(text_of(text), F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
+    length = (F.col("part.z") - F.col("part.a")).cast("int")
+    some = F.array_join(F.slice(pieces, (F.col("part.a") + 1).cast("int"), length), "")
+    taken = F.when(length == F.col("size"), text).otherwise(some)
+    return copies.withColumn(names[text_col], taken).select(*brought_back(names))
+
+
+def _named(source: F.Column) -> list[F.Column]:
+    """A source for joins, null apart from the empty text."""
+    return [F.coalesce(source.cast("string"), F.lit("")).alias("source"), source.isNull().alias("none")]

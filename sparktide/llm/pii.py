@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparktide.llm.common import text_of
+from sparktide.llm.common import brought_back, set_aside, text_of
 
 #: Matches whose lengths are summed one by one; sums of whole blocks come first.
 BLOCK = 256
@@ -126,8 +126,9 @@ _NO_TEXTS = "CAST(array() AS array<string>)"
 
 def find(df: DataFrame, text_col: str = "text") -> DataFrame:
     """``df`` with ``spans``: (kind, start, end, score), by kind in order of ``KINDS``, then by start."""
-    kept = [c for c in df.columns if c != "spans"]
-    rows = df.select(*kept, text_of(text_col).alias("_text"))
+    plain, names = set_aside(df)
+    kept = {c: n for c, n in names.items() if c != "spans"}
+    rows = plain.select(*kept.values(), text_of(F.col(names[text_col])).alias("_text"))
     steps: list[dict[str, Column]] = [{}, {}, {}]
     for k in KINDS:
         may = F.contains("_text", F.lit(k.needs)) if k.needs in "@+" else F.col("_text").rlike(k.needs)
@@ -159,7 +160,7 @@ def find(df: DataFrame, text_col: str = "text") -> DataFrame:
         )
         return F.struct(F.lit(k.name).alias("kind"), start.alias("start"), end.alias("end"), F.round(score, 1).alias("score"))
 
-    return rows.select(*kept, F.concat(*[spans(k) for k in KINDS]).alias("spans"))
+    return rows.select(*brought_back(kept), F.concat(*[spans(k) for k in KINDS]).alias("spans"))
 
 
 def joined(spans: Column, kinds: tuple[str, ...] | None = None) -> Column:

@@ -16,16 +16,6 @@ place links each of its fingerprints to the smallest one it is connected with
 there and no pair is listed twice. Every emitted link lies inside one component;
 nothing that grows with the square of a group is made.
 
-``drop_near_duplicates`` asks for a similarity of shingle sets instead of a number of
-bits. Documents meet in band keys, each of the least values of ``BAND_ROWS`` hashes of
-the set: a pair shares one with chance similarity ** ``BAND_ROWS``, whatever the number
-of documents, and as many bands are taken as give a pair at the similarity the chance
-``RECALL`` to meet. Each link is verified on the whole shingle sets: first that of each
-member of a band with the smallest one, then those between members that no verified
-link has brought into one group, until no pair that meets and joins two groups is left
-untested. Copies of one text are one group after the first round and cost no pairs;
-members of a band that are no near copies of each other are all held against each other.
-
 Words are runs of anything but blank, tab, newline, vertical tab, form feed and
 return, after A-Z became a-z. Fewer words than a shingle has make one shingle; no
 words make fingerprint zero, which is linked like any other. A null text is empty.
@@ -37,7 +27,7 @@ from __future__ import annotations
 
 import re
 from itertools import combinations
-from math import ceil, comb, log, log1p, log2
+from math import comb, log2
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparktide.llm.common import map_batches, ordered, text_of, unordered
+from sparktide.llm.common import brought_back, map_batches, ordered, set_aside, text_of, unordered
 from sparktide.llm.components import components
 from sparktide.workspace import materialise
 
@@ -57,8 +47,6 @@ PLACE_VARIANTS = 2_097_152
 MORE_BITS = 6
 #: Bytes of a text that are cut into words at once.
 CHUNK = 1_048_576
-#: Keys (8 bytes each) that may go to every task; beyond that texts are shuffled to meet theirs.
-BROADCAST_KEYS = 2_000_000
 
 _BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
@@ -118,18 +106,20 @@ def _signed(mask: int) -> int:
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
-    """(key, fp) of every row, written once; fp is a signed long."""
-    rows = df.select(ordered(F.col(id_col).cast("long")).alias("key"), text_of(text_col).cast("binary").alias("raw"))
+    """(key, digest, fp) of every row, written once; fp is a signed long, digest the text's XXH64."""
+    rows = df.select(
+        ordered(F.col(id_col).cast("long")).alias("key"), F.xxhash64(text_of(text_col)).alias("digest"), text_of(text_col).cast("binary").alias("raw")
+    )
 
     def make():
         def step(batch: pa.RecordBatch) -> dict:
             raws = (x.as_py() for x in batch.column("raw"))
-            return {"key": batch.column("key"), "fp": pa.array([fingerprint(x, width) for x in raws], pa.int64())}
+            made = pa.array([fingerprint(x, width) for x in raws], pa.int64())
+            return {"key": batch.column("key"), "digest": batch.column("digest"), "fp": made}
 
         return step
 
-    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("fp", T.LongType())])
-    return materialise(map_batches(rows, make, schema), "fingerprints")
+    return materialise(map_batches(rows, make, T.StructType.fromDDL("key long, digest long, fp long")), "fingerprints")
 
 
 def _masks(low: int, high: int, flips: int) -> list[tuple[int, int]]:
@@ -285,183 +275,16 @@ def near_duplicates(
     )
 
 
-# --- similarity of shingle sets ---------------------------------------------------
-
-
-#: Hashes whose least values make one band key, and the chance to share a band key that a pair
-#: of just the similarity asked for has. Both hold for any number of documents.
-BAND_ROWS = 4
-RECALL = 0.999
-#: Members of a band that are held against each other at once, where they aren't in one group yet.
-SLICE_ROWS = 16
-#: Shingles that are hashed for all bands at once.
-BAND_CHUNK = 1_024
-
-
-def n_bands(similarity: float, recall: float = RECALL) -> int:
-    """The least number of bands in which a pair of this similarity meets with at least this chance."""
-    if not 0 < similarity <= 1:
-        raise ValueError("the similarity must be above 0 and at most 1")
-    met = similarity**BAND_ROWS
-    return 1 if met >= recall else ceil(log(1 - recall) / log1p(-met))
-
-
-def _salts(n: int) -> np.ndarray:
-    at = np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    at = (at ^ (at >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    return (at ^ (at >> np.uint64(27)))[:, None]
-
-
-def band_keys(shingles: np.ndarray, bands: int) -> list[int]:
-    """MinHash: one key a band; sets share each with chance similarity ** BAND_ROWS, independently."""
-    from xxhash import xxh64_intdigest
-
-    salts = _salts(bands * BAND_ROWS)
-    least = np.full(len(salts), 2**64 - 1, np.uint64)
-    for k in range(0, len(shingles), BAND_CHUNK):
-        x = (shingles[None, k : k + BAND_CHUNK] ^ salts) * np.uint64(0xBF58476D1CE4E5B9)
-        x ^= x >> np.uint64(31)
-        x *= np.uint64(0x94D049BB133111EB)
-        x ^= x >> np.uint64(29)
-        least = np.minimum(least, x.min(axis=1))
-    rows = least.astype("<u8").reshape(bands, BAND_ROWS)
-    return [_signed(xxh64_intdigest(row.tobytes(), band)) for band, row in enumerate(rows)]
-
-
-def _shingle_set(raw: bytes, width: int) -> np.ndarray:
-    parts = list(shingle_hashes(raw, width))
-    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, "<u8")
-
-
-def _by_keys(texts: DataFrame, keys: DataFrame, column: str, how: str) -> DataFrame:
-    """Semi or anti join of texts with written keys; few enough keys go to every task, so that no text moves."""
-    few = keys.count() <= BROADCAST_KEYS
-    return texts.join(F.broadcast(keys) if few else keys, column, how)
-
-
-def _keyed_texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return df.select(ordered(F.col(id_col).cast("long")).alias("key"), text_of(text_col).cast("binary").alias("raw"))
-
-
-def _banded(df: DataFrame, width: int, bands: int) -> DataFrame:
-    """(id, same, size, bands) of every (key, raw), written; ``same`` is equal for equal shingle sets of ``size``."""
-
-    def make():
-        from xxhash import xxh3_128_digest
-
-        def step(batch: pa.RecordBatch) -> dict:
-            made = {"id": batch.column("key"), "same": [], "size": [], "bands": []}
-            for x in batch.column("raw"):
-                shingles = _shingle_set(x.as_py(), width)
-                made["same"].append(xxh3_128_digest(shingles.tobytes()))
-                made["size"].append(len(shingles))
-                made["bands"].append(band_keys(shingles, bands))
-            return made
-
-        return step
-
-    schema = T.StructType.fromDDL("id long, same binary, size long, bands array<long>")
-    return materialise(map_batches(df, make, schema), "banded")
-
-
-def _shingle_sets(df: DataFrame, width: int) -> DataFrame:
-    """(key, shingles): the distinct shingle hashes of every (key, raw)."""
-
-    def make():
-        def step(batch: pa.RecordBatch) -> dict:
-            sets = [_shingle_set(x.as_py(), width).view(np.int64) for x in batch.column("raw")]
-            return {"key": batch.column("key"), "shingles": sets}
-
-        return step
-
-    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType()))])
-    return map_batches(df, make, schema)
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose whole shingle sets are similar enough, written."""
-    left = sets.select(F.col("key").alias("a"), F.col("shingles").alias("one"))
-    right = sets.select(F.col("key").alias("b"), F.col("shingles").alias("other"))
-    common = F.size(F.array_intersect("one", "other"))
-    either = F.size("one") + F.size("other") - common
-    similar = (either == 0) | (common >= similarity * either)
-    return materialise(pairs.join(left, "a").join(right, "b").where(similar).select("a", "b"), "verified_links")
-
-
-def _pairs(found: DataFrame, similarity: float) -> DataFrame:
-    """Distinct pairs (a, b), a < b, of (id, size, other, other_size) that their sizes allow to be similar, written."""
-    fits = F.least("size", "other_size") >= similarity * F.greatest("size", "other_size")
-    ends = [F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")]
-    return materialise(found.where((F.col("id") != F.col("other")) & fits).select(*ends).distinct(), "candidate_links")
-
-
-def _open_members(met: DataFrame, groups: DataFrame) -> tuple[DataFrame, int]:
-    """Members of the bands that more than one group meets in, written, and the most slices of such a band.
-
-    ``minor`` tells those outside the band's largest group: of two members of different groups one at least is minor.
-    """
-    roots = groups.select(F.col("node").alias("id"), "root")
-    named = materialise(
-        met.join(roots, "id", "left").select("band", "n", "id", "size", F.coalesce("root", "id").alias("root")), "members"
-    )
-    sizes = named.groupBy("band", "n", "root").agg(F.count("*").alias("own"))
-    bands = sizes.groupBy("band", "n").agg(F.count("*").alias("groups"), F.max_by("root", "own").alias("major"))
-    slices = F.ceil(F.col("n") / SLICE_ROWS).cast("int")
-    bands = materialise(bands.where("groups > 1").select("band", slices.alias("slices"), "major"), "open_bands")
-    most = bands.agg(F.max("slices")).first()[0] or 0
-    members = named.join(bands, "band").withColumn("slice", F.pmod(F.xxhash64("id"), F.col("slices")).cast("int"))
-    return materialise(members.withColumn("minor", F.col("root") != F.col("major")), "open_members"), most
-
-
-def _between(members: DataFrame, near: int, far: int) -> DataFrame:
-    """(id, size, other, other_size): minor members with those of other groups, from ``near`` to below ``far`` slices on."""
-    last = F.least(F.lit(far), "slices") - 1
-    step = F.explode(F.when(last >= near, F.sequence(F.lit(near), last)))
-    asking = members.where("minor").select("band", "slices", "slice", "id", "size", "root", step.alias("step"))
-    asking = asking.withColumn("slice", F.pmod(F.col("slice") + F.col("step"), F.col("slices")))
-    others = members.select("band", "slice", F.col("id").alias("other"), F.col("size").alias("other_size"), F.col("root").alias("other_root"))
-    return asking.join(others, ["band", "slice"]).where("root <> other_root")
-
-
-def similar_groups(
-    df: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """(node, root) of documents linked by shingle sets that are at least so similar; root is the smallest of a group."""
-    texts = _keyed_texts(df, id_col, text_col)
-    rows = _banded(texts, width, n_bands(similarity))
-    # Equal sets are one node, named by its smallest id.
-    nodes = materialise(
-        rows.groupBy("same").agg(F.min("id").alias("id"), F.count("*").alias("n"), F.first("size").alias("size"), F.first("bands").alias("bands")),
-        "nodes",
-    )
-    several = materialise(nodes.where("n > 1").select("same", F.col("id").alias("a")), "equal_sets")
-    equal = rows.select("same", F.col("id").alias("b")).join(several, "same").where("a <> b").select("a", "b")
-    placed = nodes.select("id", "size", F.explode("bands").alias("band"))
-    first = F.min(F.struct("id", "size"))
-    heads = placed.groupBy("band").agg(F.count("*").alias("n"), first.alias("head")).where("n > 1")
-    heads = materialise(heads.select("band", "n", F.col("head.id").alias("other"), F.col("head.size").alias("other_size")), "heads")
-    met = materialise(placed.join(heads, "band"), "met")
-    asked = materialise(met.select(F.col("id").alias("key")).distinct(), "asked")
-    sets = materialise(_shingle_sets(_by_keys(texts, asked, "key", "left_semi"), width), "shingle_sets")
-    links = equal.union(_verified(_pairs(met, similarity), sets, similarity))
-    groups = components(links)
-    # Slices of a band: a document meets those of its own slice first, then of ever more others.
-    near, far = 0, 1
-    while True:
-        members, slices = _open_members(met, groups)
-        if slices <= near:
-            return groups
-        links = links.union(_verified(_pairs(_between(members, near, far), similarity), sets, similarity))
-        groups = components(links)
-        near, far = far, 4 * far
-
-
-def drop_near_duplicates(df: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` without near duplicates; the document with the smallest id of each group stays.
+def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, radius: int = 4) -> DataFrame:
+    """The rows of ``df``, of each group of near duplicates only the document with the smallest id.
 
-    Rows with equal ids are one document: they stay or go together.
+    Rows with equal id and text are one document: they stay or go together. All columns
+    of ``df`` stay, whatever their names.
     """
-    groups = similar_groups(df, width, similarity, id_col, text_col)
-    dropped = materialise(groups.where("node <> root").select(F.col("node").alias("_key")), "near_dropped")
-    marked = df.withColumn("_key", ordered(F.col(id_col).cast("long")))
-    return _by_keys(marked, dropped, "_key", "left_anti").select(*df.columns)
+    rows = fingerprints(df, id_col, text_col, width)
+    gone = rows.join(near_groups(rows, radius), "fp").where("key <> component").select("key", "digest").distinct()
+    gone = materialise(gone, "near_dropped")
+    plain, names = set_aside(df)
+    text = F.col(names[text_col])
+    marked = plain.withColumns({"key": ordered(F.col(names[id_col]).cast("long")), "digest": F.xxhash64(text_of(text))})
+    return marked.join(gone, ["key", "digest"], "left_anti").select(*brought_back(names))

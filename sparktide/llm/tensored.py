@@ -156,7 +156,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     right = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("other")), "b")
     both = right.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("one")), "a")
     common = F.size(F.array_intersect("one", "other"))
-    similar = common * (100 + least) >= least * (F.size("one") + F.size("other"))
+    # Texts without words may stand beside others of a repeated id; they link nothing.
+    similar = (common > 0) & (common * (100 + least) >= least * (F.size("one") + F.size("other")))
     return materialise(both.where(similar).select("a", "b").distinct(), "confirmed")
 
 
