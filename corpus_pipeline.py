@@ -27,8 +27,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that share at least 0.8 of their five-word shingles the one with the smallest id stays."""
-    return simhash.drop_near_duplicates(docs, width=5, similarity=0.8)
+    """Of documents linked by SimHashes of four-word shingles within four bits the one with the smallest id stays."""
+    return simhash.drop_near_duplicates(docs, width=4, radius=4)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
