@@ -254,3 +254,23 @@ def _(t):
 )
 def _(t):
     return blocking.deadlock_cycles(t.wait_edges)
+
+
+@query(
+    "deadlocks_of_several_holders",
+    "W-05",
+    """WITH walk AS (
+         SELECT waiter AS origin, holder AS reached FROM wait_edges_many WHERE holder IS NOT NULL
+         UNION
+         SELECT w.origin, e.holder FROM walk w JOIN wait_edges_many e ON e.waiter = w.reached WHERE e.holder IS NOT NULL),
+       mutual AS (
+         SELECT a.origin, min(a.reached) AS deadlock_id, count(*) AS participants
+         FROM walk a JOIN walk b ON b.origin = a.reached AND b.reached = a.origin GROUP BY a.origin)
+       SELECT DISTINCT m.deadlock_id, m.participants, e.waiter, e.holder
+       FROM wait_edges_many e JOIN mutual m ON m.origin = e.waiter
+       JOIN mutual h ON h.origin = e.holder AND h.deadlock_id = m.deadlock_id""",
+    views="wait_edges_many",
+    recursive=True,
+)
+def _(t):
+    return blocking.deadlock_cycles(t.wait_edges_many)

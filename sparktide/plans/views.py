@@ -20,6 +20,14 @@ SESSION_BLOCK = 64
 SETTING_NAMES = ("clr enabled", "clr strict security", "xp_cmdshell", "max degree of parallelism")
 
 
+# The holders of a session, for both engines: cycles that share sessions, rings with short cuts
+# and chains between them, within each hundred sessions.
+_HOLDERS = (
+    "CASE WHEN c_custkey % 100 < 99 THEN c_custkey + 1 END",
+    "CASE c_custkey % 100 WHEN 3 THEN c_custkey - 2 WHEN 6 THEN c_custkey - 2 WHEN 20 THEN c_custkey + 5 WHEN 30 THEN c_custkey - 12"
+    " WHEN 41 THEN c_custkey WHEN 59 THEN c_custkey - 9 WHEN 57 THEN c_custkey - 2 WHEN 70 THEN c_custkey + 1 END",
+)
+
 # What events carry besides their measures, as SQL for both engines.
 _XE_ACTIONS = (
     "concat('app_', CAST(event_id % 6 AS STRING)) AS client_app_name",
@@ -358,6 +366,11 @@ class Tables:
             " ELSE c_custkey + 1 END AS holder",
         )
 
+    @cached_property
+    def wait_edges_many(self) -> DataFrame:
+        """Waits of sessions with up to two holders, some of them twice."""
+        return self.customer.selectExpr("c_custkey AS waiter", f"explode(array({', '.join(_HOLDERS)})) AS holder")
+
 
 VIEW_SQL = {
     "orders_nullable": """
@@ -483,6 +496,7 @@ FROM events""",
     "query_log": f"""
 SELECT {", ".join(_QUERY_TEXTS)}
 FROM (SELECT {", ".join(_QUERY_SPELLINGS)} FROM (SELECT {", ".join(_QUERY_PARTS)} FROM events) p) q""",
+    "wait_edges_many": f"SELECT c_custkey AS waiter, unnest([{', '.join(_HOLDERS)}]) AS holder FROM customer",
     "wait_edges": """
 SELECT c_custkey AS waiter,
        CASE c_custkey % 10 WHEN 1 THEN c_custkey - 1 WHEN 4 THEN c_custkey - 2 WHEN 9 THEN NULL

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import random
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -172,9 +174,64 @@ def test_nothing_blocked(spark):
     assert blocking.block_leaders(_snapshot(spark, [(1, None)])).count() == 0
 
 
-def test_two_holders_are_refused(spark):
-    with pytest.raises(ValueError, match="one holder"):
-        blocking.block_leaders(_snapshot(spark, [(1, 2), (1, 3)])).count()
+def _reached(pairs):
+    """node -> all nodes that its waits lead to."""
+    out = {}
+    for w, h in pairs:
+        out.setdefault(w, set()).add(h)
+    found = {}
+    for w in out:
+        todo, seen = list(out[w]), set()
+        while todo:
+            n = todo.pop()
+            if n not in seen:
+                seen.add(n)
+                todo += out.get(n, ())
+        found[w] = seen
+    return found
+
+
+def _random_waits(seed, n, waits, back):
+    """Waits mostly for smaller sessions, some for larger ones, some twice."""
+    rng = random.Random(seed)
+    pairs = [(a, b) for a, b in ((rng.randrange(n), rng.randrange(n)) for _ in range(waits)) if a > b or rng.random() < back]
+    return pairs + pairs[: n // 4]
+
+
+@pytest.mark.parametrize("seed,back", [(1, 0.0), (2, 0.1)])
+def test_leaders_of_sessions_with_several_holders(spark, seed, back):
+    """Several requests and several holders: equal to walking every path."""
+    pairs = _random_waits(seed, 60, 80, back)
+    reached = _reached(pairs)
+    expected = {}
+    for w, nodes in reached.items():
+        for head in nodes - set(reached):
+            all_, direct = expected.get(head, (0, 0))
+            expected[head] = (all_ + 1, direct + ((w, head) in pairs))
+    rows = _snapshot(spark, pairs + [(n, None) for n in range(30)])
+    found = {r.session_id: (r.blocked_session_count, r.blocked_direct) for r in blocking.block_leaders(rows).collect()}
+    assert found == expected
+
+
+@pytest.mark.parametrize("seed,n,waits,back", [(1, 40, 60, 1.0), (2, 80, 100, 0.15), (3, 60, 40, 1.0)])
+def test_deadlocks_are_the_components_of_all_paths(spark, seed, n, waits, back):
+    pairs = _random_waits(seed, n, waits, back) + [(1_000 + i, 1_000 + (i + 1) % 30) for i in range(30)]
+    # A long ring with one short cut: one session has two holders, the others one.
+    pairs += [(2_000 + i, 2_000 + (i + 1) % 50) for i in range(50)] + [(2_007, 2_031), (2_003, 1), (5, 2_040)]
+    reached = _reached(pairs)
+    groups = {a: min(b for b in nodes if a in reached.get(b, ())) for a, nodes in reached.items() if a in nodes}
+    expected = {}
+    for a, b in pairs:
+        if a in groups and groups.get(b) == groups[a]:
+            expected.setdefault(groups[a], set()).add((a, b))
+    edges = spark.createDataFrame(pairs, "waiter bigint, holder bigint")
+    found, sizes = {}, {}
+    for r in blocking.deadlock_cycles(edges).collect():
+        assert (r.waiter, r.holder) not in found.setdefault(r.deadlock_id, set())
+        found[r.deadlock_id].add((r.waiter, r.holder))
+        sizes[r.deadlock_id] = r.participants
+    assert found == expected
+    assert sizes == {g: sum(x == g for x in groups.values()) for g in expected}
 
 
 def _cycles(spark, pairs):
