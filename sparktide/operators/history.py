@@ -7,10 +7,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparktide.functions import text
 from sparktide.operators import predicates
 
-PLAN_XML = "op STRUCT<name: STRING, cost: BIGINT>"
-
 # Execution outcome recorded with run statistics; fixed values of the export.
 EXECUTION_FAILED = 4
 
@@ -24,7 +23,7 @@ def query_by_object(queries: DataFrame, texts: DataFrame, object_id: int) -> Dat
 
 
 def query_by_text(queries: DataFrame, texts: DataFrame, pattern: str) -> DataFrame:
-    return _with_text(queries, texts.where(F.col("query_sql_text").like(pattern)))
+    return _with_text(queries, texts.where(text.like(F.col("query_sql_text"), pattern)))
 
 
 def query_by_time(queries: DataFrame, texts: DataFrame, lo, hi) -> DataFrame:
@@ -47,41 +46,53 @@ def failed_forced_plans(plans: DataFrame, queries: DataFrame) -> DataFrame:
 
 
 def parsed_plan(col: Column) -> Column:
-    """Plan text as a struct; text that is no XML gives null fields, not an error."""
-    return F.from_xml(col, PLAN_XML, {"rowTag": "plan"})
+    """A whole plan document as a VARIANT, to be asked with ``plan_value``; null for text that is no XML.
+
+    Any well-formed document survives, whatever its elements: attributes are fields with
+    ``_`` in front, repeated elements are arrays.
+    """
+
+    def parsed(text: Column) -> Column:
+        # The parser of variants fails on broken text, so a parser that reports it looks first.
+        looked = F.from_xml(text, "none STRING, broken STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"})
+        return F.when(F.contains(text, F.lit("<")) & looked["broken"].isNull(), F.from_xml(text, "variant"))
+
+    # Within a lambda it is evaluated without generated code, which has the wrong type for a variant (4.1).
+    return F.get(F.transform(F.array(col), parsed), F.lit(0))
+
+
+def plan_value(plan: Column | str, path: str, kind: str) -> Column:
+    """What a parsed plan holds at a path such as ``$.op.name``; null where it holds nothing of the kind."""
+    return F.try_variant_get(plan, path, kind)
 
 
 def aborted_executions(
     queries: DataFrame, plans: DataFrame, texts: DataFrame, stats: DataFrame, as_of: dt.datetime, days: int = 1
 ) -> DataFrame:
-    """Failed runs of queries last executed within ``days`` of ``as_of``.
+    """Failed runs of queries last executed within ``days`` of ``as_of``, with the plan as text and parsed.
 
-    Both filters sit below the joins; a plan is parsed after the recent
-    queries are known and before its runs multiply it.
+    All filters sit below the joins: plans are cut to those with failed runs, then to recent
+    queries, and what is left is parsed before its runs multiply it. A plan that is no XML
+    keeps its row, with a null ``plan``.
     """
     kind = queries.schema["last_execution_time"].dataType
     since = F.lit(as_of - dt.timedelta(days=days)).cast(kind)
     recent = queries.where(F.col("last_execution_time") > since).select("query_id", "query_text_id")
+    failed = stats.where(F.col("execution_type") == EXECUTION_FAILED)
     with_plan = (
-        recent.join(plans.select("query_id", "plan_id", "query_plan"), "query_id", "inner")
+        plans.select("query_id", "plan_id", "query_plan")
+        .join(failed.select("plan_id").distinct(), "plan_id", "left_semi")
+        .join(recent, "query_id", "inner")
         .join(texts, "query_text_id", "inner")
-        .withColumn("_plan", parsed_plan(F.col("query_plan")))
-        .select(
-            "query_id",
-            "plan_id",
-            "query_sql_text",
-            F.col("_plan.op.name").alias("plan_operator"),
-            F.col("_plan.op.cost").alias("plan_cost"),
-        )
+        .select("query_id", "plan_id", "query_sql_text", "query_plan", parsed_plan(F.col("query_plan")).alias("plan"))
     )
-    failed = stats.where(F.col("execution_type") == EXECUTION_FAILED)
     return with_plan.join(failed, "plan_id", "inner").select(
         "query_id",
         "query_sql_text",
         "execution_type",
         "execution_type_desc",
-        "plan_operator",
-        "plan_cost",
+        "query_plan",
+        "plan",
         "count_executions",
         "last_execution_time",
     )

@@ -47,7 +47,7 @@ def select_columns_like(df: DataFrame, patterns: str) -> DataFrame:
     return df.select(*columns_like(df.columns, patterns))
 
 
-# What a wildcard filter can look at, and the column that holds it.
+# What a wildcard filter can look at, and the column that holds it; fixed names.
 FILTER_KINDS = {
     "login": "login_name",
     "session": "session_id",

@@ -20,6 +20,40 @@ SESSION_BLOCK = 64
 SETTING_NAMES = ("clr enabled", "clr strict security", "xp_cmdshell", "max degree of parallelism")
 
 
+# A plan document, for both engines: statements with one to three operators inside each other,
+# some documents cut short.
+_PLAN_TEXT = (
+    "CASE WHEN o_orderkey % 10 = 0 THEN '<ShowPlanXML Version=\"1.5\"><BatchSequence><Batch'"
+    " ELSE concat('<ShowPlanXML Version=\"1.5\"><BatchSequence><Batch><Statements><StmtSimple StatementId=\"',"
+    " CAST(o_orderkey % 7 AS STRING), '\" StatementText=\"SELECT 1 WHERE 1 &lt; 2\"><QueryPlan DegreeOfParallelism=\"',"
+    " CAST(o_custkey % 8 AS STRING), '\">',"
+    " CASE WHEN o_orderkey % 3 > 0 THEN concat('<RelOp NodeId=\"0\" PhysicalOp=\"Sort\" EstimateRows=\"', CAST(o_custkey AS STRING), '\">') ELSE '' END,"
+    " CASE WHEN o_orderkey % 3 > 1 THEN '<RelOp NodeId=\"1\" PhysicalOp=\"Filter\" EstimateRows=\"5\">' ELSE '' END,"
+    " concat('<RelOp NodeId=\"2\" PhysicalOp=\"Scan\" EstimateRows=\"', CAST(o_custkey AS STRING), '\"/>'),"
+    " CASE WHEN o_orderkey % 3 > 1 THEN '</RelOp>' ELSE '' END, CASE WHEN o_orderkey % 3 > 0 THEN '</RelOp>' ELSE '' END,"
+    " '</QueryPlan></StmtSimple></Statements></Batch></BatchSequence></ShowPlanXML>') END AS query_plan"
+)
+
+# A buffer of events with a deadlock report, for both engines: a session that waits for one or
+# two owners of a lock, one of which waits back; some buffers are cut short.
+DEADLOCK_XML = (
+    "concat('<deadlock><victim-list><victimProcess id=\"p1\"/></victim-list><process-list>',"
+    " '<process id=\"p1\" spid=\"', CAST(user_id AS STRING), '\" waitresource=\"KEY: 5\"><inputbuf>UPDATE a</inputbuf></process>',"
+    " '<process id=\"p2\" spid=\"', CAST(user_id + 1000 AS STRING), '\"/><process id=\"p3\" spid=\"', CAST(user_id + 2000 AS STRING), '\"/>',"
+    " '</process-list><resource-list><keylock objectname=\"Dead\" mode=\"X\"><owner-list><owner id=\"p2\" mode=\"X\"/>',"
+    " CASE WHEN event_id % 4 = 0 THEN '<owner id=\"p3\" mode=\"S\"/>' ELSE '' END,"
+    " '</owner-list><waiter-list><waiter id=\"p1\" mode=\"U\"/></waiter-list></keylock>',"
+    " '<pagelock objectname=\"Lock\" mode=\"X\"><owner-list><owner id=\"p1\" mode=\"X\"/></owner-list>',"
+    " '<waiter-list><waiter id=\"p2\" mode=\"S\"/></waiter-list></pagelock></resource-list></deadlock>')"
+)
+_BUFFER = (
+    "concat('<RingBufferTarget truncated=\"0\"><event name=\"', CASE event_type WHEN 'error' THEN 'xml_deadlock_report' ELSE event_type END,"
+    " '\" timestamp=\"2024-01-01T00:00:00Z\"><data name=\"xml_report\"><value>',"
+    f" CASE event_type WHEN 'error' THEN {DEADLOCK_XML} ELSE 'none' END, '</value></data></event>',"
+    " '<event name=\"wait_info\" timestamp=\"2024-01-01T00:00:01Z\"><data name=\"duration\"><value>0</value></data></event>',"
+    " CASE WHEN event_id % 5 = 0 THEN '' ELSE '</RingBufferTarget>' END)"
+)
+
 # The holders of a session, for both engines: cycles that share sessions, rings with short cuts
 # and chains between them, within each hundred sessions.
 _HOLDERS = (
@@ -192,8 +226,7 @@ class Tables:
             "CASE WHEN o_orderstatus = 'F' AND o_orderkey % 5 > 0 THEN 'NO_INDEX' ELSE 'NONE' END"
             " AS last_force_failure_reason_desc",
             "o_orderdate AS last_execution_time",
-            "CASE WHEN o_orderkey % 10 = 0 THEN '<plan><op' ELSE concat('<plan><op><name>Scan</name><cost>',"
-            " CAST(o_custkey AS STRING), '</cost></op></plan>') END AS query_plan",
+            _PLAN_TEXT,
         )
 
     @cached_property
@@ -351,11 +384,7 @@ class Tables:
             "event_id AS session_address",
             "CASE WHEN event_id % 3 = 0 THEN 'system_health' ELSE 'other' END AS session_name",
             "CASE WHEN event_id % 2 = 0 THEN 'ring_buffer' ELSE 'event_file' END AS target_name",
-            "concat('<RingBufferTarget><event name=\"',"
-            " CASE event_type WHEN 'error' THEN 'xml_deadlock_report' ELSE event_type END,"
-            " '\"><value>', CAST(user_id AS STRING),"
-            " '</value></event><event name=\"wait_info\"><value>0</value></event></RingBufferTarget>')"
-            " AS target_data",
+            f"{_BUFFER} AS target_data",
         )
 
     @cached_property
@@ -410,7 +439,7 @@ FROM part JOIN (SELECT l_partkey, max(l_shipdate) AS last_execution_time FROM li
 SELECT p_partkey AS query_text_id,
        concat('SELECT * FROM ', replace(p_name, ' ', '_'), ' WHERE size = ', CAST(p_size AS STRING)) AS query_sql_text
 FROM part""",
-    "qs_plan": """
+    "qs_plan": f"""
 SELECT o_orderkey AS plan_id, o_custkey AS query_id,
        CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS is_forced_plan,
        CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderkey % 5 AS INT) ELSE 0 END AS force_failure_count,
@@ -418,9 +447,7 @@ SELECT o_orderkey AS plan_id, o_custkey AS query_id,
        CASE WHEN o_orderstatus = 'F' AND o_orderkey % 5 > 0 THEN 'NO_INDEX' ELSE 'NONE' END
          AS last_force_failure_reason_desc,
        o_orderdate AS last_execution_time,
-       CASE WHEN o_orderkey % 10 = 0 THEN '<plan><op'
-            ELSE concat('<plan><op><name>Scan</name><cost>', CAST(o_custkey AS STRING), '</cost></op></plan>') END
-         AS query_plan
+       {_PLAN_TEXT}
 FROM orders""",
     "qs_stats": """
 SELECT l_orderkey AS plan_id,

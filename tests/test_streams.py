@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from sparktide.operators import history
 from sparktide.plans.views import Tables
 from sparktide.sources import event_xml
 from sparktide.streaming import captures, sinks
@@ -102,18 +103,67 @@ def test_rate_counts_every_window(spark, tables, parts, assert_same):
     assert captures.open_windows(batch.limit(0), "6 hours", "10 minutes").count() == 0
 
 
-def test_broken_documents_are_skipped(spark):
+def _buffer(*events, closed=True):
+    return "<RingBufferTarget>" + "".join(events) + ("</RingBufferTarget>" if closed else "")
+
+
+def _report(deadlock):
+    return f'<event name="xml_deadlock_report" timestamp="t"><data name="other"><value>1</value></data><data name="xml_report"><value>{deadlock}</value></data></event>'
+
+
+_PROCESSES = "".join(f'<process id="p{i}" spid="{i}"/>' for i in range(1, 5))
+_GRAPH = (
+    f'<deadlock><victim-list><victimProcess id="p2"/></victim-list><process-list>{_PROCESSES}</process-list><resource-list>'
+    '<keylock objectname="a"><owner-list><owner id="p1" mode="X"/></owner-list>'
+    '<waiter-list><waiter id="p2" mode="U"/><waiter id="p3" mode="S"/></waiter-list></keylock>'
+    '<keylock objectname="b"><owner-list><owner id="p2" mode="X"/></owner-list><waiter-list><waiter id="p1" mode="U"/></waiter-list></keylock>'
+    '<ridlock objectname="c"><owner-list><owner id="p3" mode="X"/><owner id="p9" mode="X"/></owner-list><waiter-list><waiter id="p4" mode="X"/></waiter-list></ridlock>'
+    "</resource-list></deadlock>"
+)
+
+
+def _reports(spark, buffers):
     rows = spark.createDataFrame(
+        [(i, *b) for i, b in enumerate(buffers)], "session_address int, session_name string, target_name string, target_data string"
+    )
+    return event_xml.deadlock_reports(rows.select("session_address", "session_name"), rows.drop("session_name"))
+
+
+def test_reports_of_broken_and_foreign_documents_are_skipped(spark):
+    health = "system_health", "ring_buffer"
+    buffers = [
+        (*health, _buffer('<event name="wait_info"/>', _report("<deadlock><a>x</a></deadlock>"), _report("none"))),
+        (*health, "<RingBufferTarget><event"),
+        ("system_health", "event_file", _buffer(_report(_GRAPH))),
+        ("other", "ring_buffer", _buffer(_report(_GRAPH))),
+        (*health, None), (*health, ""), (*health, _buffer(_report(_GRAPH), closed=False)), (*health, _buffer()),
+    ]
+    found = _reports(spark, buffers).collect()
+    assert [tuple(r) for r in found] == [(0, 1, "t", "<deadlock><a>x</a></deadlock>"), (0, 2, "t", None)]
+
+
+def test_waits_of_a_deadlock_graph(spark):
+    """Several waiters and owners, kinds of locks mixed, an owner that isn't listed."""
+    reports = _reports(spark, [("system_health", "ring_buffer", _buffer(_report(_GRAPH), _report("<deadlock>?</deadlock>")))])
+    got = event_xml.deadlock_waits(reports).drop("session_address", "place").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(
         [
-            (1, "system_health", "ring_buffer", '<RingBufferTarget><event name="xml_deadlock_report">'
-             '<value>a</value></event></RingBufferTarget>'),
-            (2, "system_health", "ring_buffer", "<RingBufferTarget><event"),
-            (3, "system_health", "event_file", '<RingBufferTarget><event name="xml_deadlock_report">'
-             '<value>b</value></event></RingBufferTarget>'),
+            (2, 1, "keylock", "a", "U", True), (3, 1, "keylock", "a", "S", False), (1, 2, "keylock", "b", "U", False),
+            (4, 3, "ridlock", "c", "X", False), (4, None, "ridlock", "c", "X", False),
         ],
-        "session_address int, session_name string, target_name string, target_data string",
-    )
-    found = event_xml.deadlock_reports(
-        rows.select("session_address", "session_name"), rows.drop("session_name")
-    ).collect()
-    assert [tuple(r) for r in found] == [(1, "a")]
+        key=str,
+    )
+
+
+def test_any_well_formed_plan_survives(spark):
+    plans = [
+        ('<plan><op><name>Scan</name></op></plan>', "Scan"), ('<plan a="1"><op><name>x</name></op><op><name>y</name></op></plan>', "x"),
+        ("<plan/>", None), ("<plan><op", None), ("<plan><op></plan>", None), ("no xml", None), ("", None), (None, None),
+        ('<other><deep><deeper k="v">1</deeper></deep></other>', None),
+    ]
+    df = spark.createDataFrame(list(enumerate(p for p, _ in plans)), "id int, text string")
+    parsed = df.withColumn("plan", history.parsed_plan(F.col("text")))
+    name = F.coalesce(history.plan_value("plan", "$.op.name", "string"), history.plan_value("plan", "$.op[0].name", "string"))
+    got = parsed.select("id", name.alias("name"), history.plan_value("plan", "$.deep.deeper._k", "string").alias("k")).orderBy("id").collect()
+    assert [r.name for r in got] == [n for _, n in plans]
+    assert got[-1].k == "v"
