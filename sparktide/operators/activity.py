@@ -16,9 +16,10 @@ def _day() -> Column:
 
 
 def _latest(snap: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """The last collection of each session; an aggregate, so no session is gathered."""
-    payload = F.max_by(F.struct("collection_time", *cols), "collection_time").alias("last")
-    return snap.groupBy("session_id").agg(payload).select("session_id", "last.*")
+    """The rows of each session's last collection: a hashed maximum and a join back, so no session is sorted."""
+    last = snap.groupBy("session_id").agg(F.max("collection_time").alias("collection_time"))
+    rows = snap.select("session_id", "collection_time", *cols)
+    return rows.join(materialise(last, "last_collections"), ["session_id", "collection_time"], "left_semi")
 
 
 def tempdb_usage(snap: DataFrame) -> DataFrame:
@@ -149,19 +150,18 @@ def snapshot_blockers(
     on_lock = F.col("wait_info").like("%LCK%")
     blocker_wait, blocked_wait = (~on_lock, on_lock) if lead else (on_lock, ~on_lock)
     blocker = window.where(~F.col("login_name").isin(list(exclude_logins)) & blocker_wait)
-    blocked = window.where(blocked_wait).withColumn(
-        "_blocker", F.coalesce("blocking_session_id", F.lit(0))
-    )
+    blocked = window.where(blocked_wait)
 
     def prefixed(df: DataFrame, prefix: str) -> DataFrame:
         return df.select(*[F.col(c).alias(f"{prefix}_{c}") for c in df.columns])
 
     left, right = prefixed(blocker, "blocker"), prefixed(blocked, "blocked")
-    same = (F.col("blocker_session_id") == F.col("blocked__blocker")) & (
-        F.col("blocker_collection_time") == F.col("blocked_collection_time")
-    )
-    return (
-        left.join(right, same, "inner")
-        .drop("blocked__blocker")
-        .orderBy("blocker_collection_time", "blocker_session_id", "blocked_session_id")
-    )
+    same_time = F.col("blocker_collection_time") == F.col("blocked_collection_time")
+    # A row without a blocker doesn't go through the exchange ...
+    known = right.where(F.col("blocked_blocking_session_id").isNotNull())
+    met = left.join(known, (F.col("blocker_session_id") == F.col("blocked_blocking_session_id")) & same_time, "inner")
+    # ... unless there is a session 0, which such a row stands beside.
+    zero = left.where(F.col("blocker_session_id") == 0)
+    if not zero.isEmpty():
+        met = met.union(zero.join(right.where(F.col("blocked_blocking_session_id").isNull()), same_time, "inner"))
+    return met.orderBy("blocker_collection_time", "blocker_session_id", "blocked_session_id")

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparktide.functions import conversion, temporal
 from sparktide.operators import joins, predicates
+from sparktide.workspace import materialise
 
 # Device types a backup can be written to; fixed values of the export.
 DEVICE_TYPES = {2: "Disk", 5: "Tape", 7: "Virtual Device", 9: "Azure Storage"}
@@ -23,10 +25,31 @@ def built_in_admin(principals: DataFrame, sid: bytes = b"\x01") -> DataFrame:
     return predicates.filter_binary_equals(principals, "sid", sid).select("name", "is_disabled")
 
 
-def role_members(principals: DataFrame, flag: str = "is_sysadmin") -> DataFrame:
-    return (
-        principals.where(F.col(flag) == 1).select("name", "type_desc", "is_disabled").orderBy("name")
-    )
+def members_of(memberships: DataFrame, role: str) -> DataFrame:
+    """The names that belong to a role, directly or through roles inside it.
+
+    ``memberships`` has (role_name, member_name). Each round asks only for the members of
+    names found in the last one, so roles inside each other end like any others.
+    """
+    pairs = memberships.where(F.col("member_name").isNotNull()).select("role_name", "member_name").distinct()
+    fresh = materialise(pairs.where(F.col("role_name") == role).select(F.col("member_name").alias("name")).distinct(), "members")
+    # Only roles can have members of their own.
+    roles = materialise(pairs.join(pairs.select(F.col("role_name").alias("member_name")).distinct(), "member_name", "left_semi"), "nested_roles")
+    inner = [fresh.join(roles.select(F.col("member_name").alias("name")).distinct(), "name", "left_semi")]
+    found = [fresh]
+    while not (last := inner[-1]).isEmpty():
+        below = pairs.join(last.select(F.col("name").alias("role_name")), "role_name", "left_semi").select(F.col("member_name").alias("name"))
+        fresh = materialise(below.distinct().join(reduce(DataFrame.union, found), "name", "left_anti"), "members")
+        found.append(fresh)
+        inner.append(fresh.join(roles.select(F.col("member_name").alias("name")).distinct(), "name", "left_semi"))
+    return reduce(DataFrame.union, found)
+
+
+def role_members(principals: DataFrame, memberships: DataFrame, role: str = "sysadmin") -> DataFrame:
+    """Principals in a role by its name, members of members included, by name."""
+    members = materialise(members_of(memberships, role), "role_members")
+    found = principals.join(members, "name", "left_semi")
+    return found.select("name", "type_desc", "is_disabled").orderBy("name")
 
 
 def privileged_principals(principals: DataFrame, permissions: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sparktide.functions import text
 from sparktide.operators import predicates
+from sparktide.workspace import materialise
 
 # Execution outcome recorded with run statistics; fixed values of the export.
 EXECUTION_FAILED = 4
@@ -33,7 +34,10 @@ def query_by_time(queries: DataFrame, texts: DataFrame, lo, hi) -> DataFrame:
 def failed_forced_plans(plans: DataFrame, queries: DataFrame) -> DataFrame:
     """Forced plans the server could not use, with the object they belong to."""
     failed = plans.where((F.col("is_forced_plan") == 1) & (F.col("force_failure_count") > 0))
-    owner = queries.select("query_id", F.col("object_id").alias("containing_object_id"))
+    asked = failed.select("query_id").distinct()
+    owner = queries.select("query_id", F.col("object_id").alias("containing_object_id")).join(asked, "query_id", "left_semi")
+    # Written, so that AQE can split the plans of a query that has very many.
+    owner = materialise(owner, "plan_owners")
     return failed.join(owner, "query_id", "inner").select(
         "query_id",
         "plan_id",
@@ -78,6 +82,8 @@ def aborted_executions(
     kind = queries.schema["last_execution_time"].dataType
     since = F.lit(as_of - dt.timedelta(days=days)).cast(kind)
     recent = queries.where(F.col("last_execution_time") > since).select("query_id", "query_text_id")
+    # Written, so that AQE can split the plans of a query that has very many.
+    recent = materialise(recent, "recent_queries")
     failed = stats.where(F.col("execution_type") == EXECUTION_FAILED)
     with_plan = (
         plans.select("query_id", "plan_id", "query_plan")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import calendar
 import datetime as dt
 import re
+import struct
 from collections.abc import Iterable, Sequence
 from decimal import Decimal
 
@@ -94,16 +95,34 @@ def include_states(df: DataFrame, sleeping: int = 0, system: bool = False) -> Da
 # --- typed equality ---------------------------------------------------------
 
 
+_INTEGER_BITS = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}
+
+
+def _holds(kind: T.DataType, value) -> bool:
+    """Whether a column of this type can hold the value as it is."""
+    if isinstance(value, (bool, str)) or not isinstance(value, (int, float, Decimal)):
+        # A time of day is no date.
+        return not (isinstance(kind, T.DateType) and isinstance(value, dt.datetime) and value.time() != dt.time())
+    number = Decimal(repr(value)) if isinstance(value, float) else Decimal(value)
+    if isinstance(kind, T.IntegralType):
+        bound = 2 ** (_INTEGER_BITS[kind.simpleString()] - 1)
+        return number.is_finite() and number == number.to_integral_value() and -bound <= number < bound
+    if isinstance(kind, T.DecimalType):
+        fits = number.is_finite() and abs(number) < Decimal(10) ** (kind.precision - kind.scale)
+        return fits and -number.normalize().as_tuple().exponent <= kind.scale
+    if isinstance(kind, T.FloatType):
+        return not number.is_finite() or (abs(value) <= 3.4028234663852886e38 and Decimal(struct.unpack("f", struct.pack("f", value))[0]) == Decimal(value))
+    return True
+
+
 def _as_column(df: DataFrame, col: str, value) -> tuple[Column, bool]:
     """The value in the column's type, and whether it keeps its meaning there.
 
-    A fraction is no integer and a time of day no date: such a value equals no
-    value of the column.
+    A fraction is no integer, 3.701 no decimal with two places, 40000 no smallint, a time
+    of day no date: such a value equals no value of the column, and is no error.
     """
     kind = _type_of(df, col)
-    if isinstance(kind, T.IntegralType) and isinstance(value, (float, Decimal)) and value != int(value):
-        return F.lit(None).cast(kind), False
-    if isinstance(kind, T.DateType) and isinstance(value, dt.datetime) and value.time() != dt.time():
+    if not _holds(kind, value):
         return F.lit(None).cast(kind), False
     return F.lit(value).cast(kind), True
 

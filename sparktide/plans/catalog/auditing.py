@@ -11,11 +11,15 @@ from sparktide.plans.registry import query
 @query(
     "role_members",
     "D-01 F-15",
-    "SELECT name, type_desc, is_disabled FROM principals WHERE is_sysadmin = 1 ORDER BY name",
-    views="principals",
+    """WITH inside AS (
+         SELECT member_name FROM role_memberships WHERE role_name = 'sysadmin'
+         UNION SELECT m.member_name FROM inside i JOIN role_memberships m ON m.role_name = i.member_name)
+       SELECT name, type_desc, is_disabled FROM principals WHERE name IN (SELECT member_name FROM inside) ORDER BY name""",
+    views="principals role_memberships",
+    recursive=True,
 )
 def _(t):
-    return audit.role_members(t.principals)
+    return audit.role_members(t.principals, t.role_memberships, "sysadmin")
 
 
 @query(

@@ -62,6 +62,17 @@ _HOLDERS = (
     " WHEN 41 THEN c_custkey WHEN 59 THEN c_custkey - 9 WHEN 57 THEN c_custkey - 2 WHEN 70 THEN c_custkey + 1 END",
 )
 
+# Roles and their members, for both engines: a login in a role, a login with all rights, a role
+# in a role; roles 5 and 20 are inside each other.
+_MEMBERSHIPS = (
+    ("concat('role_', CAST(c_custkey % 37 AS STRING))", "CASE WHEN c_custkey % 20 = 0 THEN concat('##', c_name, '##') ELSE c_name END"),
+    ("CASE WHEN c_nationkey = 0 THEN 'sysadmin' END", "c_name"),
+    ("CASE WHEN c_custkey IN (5, 11) THEN 'sysadmin' WHEN c_custkey BETWEEN 1 AND 36"
+     " THEN concat('role_', CAST(CASE c_custkey WHEN 20 THEN 5 WHEN 8 THEN 20 ELSE 36 END AS STRING)) END",
+     "CASE WHEN c_custkey = 36 THEN 'role_12' ELSE concat('role_', CAST(c_custkey AS STRING)) END"),
+    ("CASE WHEN c_custkey = 5 THEN 'role_20' END", "'role_5'"),
+)
+
 # What events carry besides their measures, as SQL for both engines.
 _XE_ACTIONS = (
     "concat('app_', CAST(event_id % 6 AS STRING)) AS client_app_name",
@@ -275,6 +286,13 @@ class Tables:
             "CASE WHEN c_nationkey = 0 THEN 1 ELSE 0 END AS is_sysadmin",
         )
 
+    @cached_property
+    def role_memberships(self) -> DataFrame:
+        """Logins in one role each, and roles inside roles, some of them inside each other."""
+        return self.customer.selectExpr("c_custkey", "c_name", "c_nationkey", "inline(array(" + ", ".join(
+            f"named_struct('role_name', {role}, 'member_name', {member})" for role, member in _MEMBERSHIPS) + "))"
+        ).where("role_name IS NOT NULL").select("role_name", "member_name")
+
     @cached_property
     def permissions(self) -> DataFrame:
         return self.orders.selectExpr(
@@ -474,6 +492,9 @@ SELECT c_custkey AS principal_id,
        c_mktsegment AS type_desc, CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS is_disabled,
        CASE WHEN c_nationkey = 0 THEN 1 ELSE 0 END AS is_sysadmin
 FROM customer""",
+    "role_memberships": "SELECT role_name, member_name FROM ("
+    + " UNION ALL ".join(f"SELECT {role} AS role_name, {member} AS member_name FROM customer" for role, member in _MEMBERSHIPS)
+    + ") m WHERE role_name IS NOT NULL",
     "permissions": """
 SELECT o_custkey AS grantee_principal_id,
        CASE o_orderstatus WHEN 'F' THEN 'G' WHEN 'O' THEN 'W' ELSE 'D' END AS state,

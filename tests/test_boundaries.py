@@ -7,7 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from sparktide.functions import conversion, temporal
-from sparktide.operators import antipatterns, audit, mutations, ordering, predicates
+from sparktide.operators import antipatterns, audit, history, mutations, ordering, predicates
 from sparktide.operators import activity as activity_ops
 from sparktide.sources import snapshots, tables as source_tables
 
@@ -280,3 +280,95 @@ def test_baseline_without_history(spark):
     history = spark.createDataFrame([], "q string, t bigint")
     now = spark.createDataFrame([("a", 5)], "q string, t bigint")
     assert activity_ops.average_time_baseline(history, now, "q", "t").head()["is_slower"] is None
+
+
+# --- values a column can't hold -----------------------------------------------------
+
+
+@pytest.mark.parametrize(
+    "kind,value,held",
+    [
+        ("decimal(10,2)", 3.701, []), ("decimal(10,2)", 3.7, [1]), ("decimal(4,2)", 3700, []), ("decimal(10,2)", float("inf"), []),
+        ("int", float("nan"), []), ("int", float("inf"), []), ("int", 3.0, [1]), ("int", 3.5, []), ("smallint", 40_000, []),
+        ("tinyint", -128, []), ("bigint", 2**63, []), ("float", 0.1, []), ("float", 3.5, []), ("double", float("nan"), []),
+    ],
+)
+def test_values_a_column_cannot_hold_equal_nothing(spark, kind, value, held):
+    number = "3.7" if kind.startswith("decimal") else "3"
+    df = spark.sql(f"SELECT 1 AS id, CAST({number} AS {kind}) AS v UNION ALL SELECT 2, CAST(NULL AS {kind})")
+    for rows in (
+        predicates.filter_equal_typed(df, "v", value), predicates.filter_null_or(df, "v", value), predicates.filter_optional(df, "v", value),
+        predicates.filter_null_safe(df, "v", value), predicates.filter_null_sentinel(df, "v", value, 1),
+    ):
+        assert [r.id for r in rows.collect()] == held
+
+
+def test_blockers_without_a_number_stand_beside_session_zero(spark):
+    """Null for the blocker means session 0, if there is one."""
+    at = dt.datetime(2024, 1, 1)
+    rows = [(at, 0, "a", "LCK_M_X", None), (at, 1, "a", "LCK_M_S", None), (at, 2, "a", "PAGEIOLATCH", 1), (at, 3, "a", "WRITELOG", None)]
+    snap = spark.createDataFrame(rows, "collection_time timestamp_ntz, session_id int, login_name string, wait_info string, blocking_session_id int")
+    got = activity_ops.snapshot_blockers(snap, at, at, ["x"]).collect()
+    assert [(r.blocker_session_id, r.blocked_session_id) for r in got] == [(0, 3), (1, 2)]
+    without = activity_ops.snapshot_blockers(snap.where("session_id > 0"), at, at, ["x"]).collect()
+    assert [(r.blocker_session_id, r.blocked_session_id) for r in without] == [(1, 2)]
+
+
+def test_members_of_roles_inside_roles(spark):
+    pairs = [("admin", "a"), ("admin", "ops"), ("ops", "b"), ("ops", "dev"), ("dev", "ops"), ("dev", "c"), ("other", "d"), ("admin", "a"), ("ops", None), ("admin", "admin")]
+    members = spark.createDataFrame(pairs, "role_name string, member_name string")
+    assert sorted(r.name for r in audit.members_of(members, "admin").collect()) == ["a", "admin", "b", "c", "dev", "ops"]
+    assert sorted(r.name for r in audit.members_of(members, "dev").collect()) == ["b", "c", "dev", "ops"]
+    assert audit.members_of(members, "nobody").count() == 0
+
+
+def test_patterns_with_backslashes_find_query_texts(spark):
+    queries = spark.createDataFrame([(1, 10), (2, 20)], "query_id int, query_text_id int")
+    texts = spark.createDataFrame([(10, "SELECT 'CORP\\ann'"), (20, "SELECT 1")], "query_text_id int, query_sql_text string")
+    assert [r.query_id for r in history.query_by_text(queries, texts, "%CORP\\a%").collect()] == [1]
+
+
+# Texts like those of the demos, with the column and the flag expected of them.
+def _ones(n, gap=", ", value="1"):
+    return gap.join([value] * n)
+
+
+ANTIPATTERNS = [
+    (f"SELECT *\nFROM U\nWHERE [Views] IN (\n    {_ones(65, ',' + chr(10))}\n);", ("views", 1)),
+    (f"SELECT * FROM U WHERE [dbo].[U].[Views] IN ({_ones(64, ',')})", ("views", 0)),
+    ("SELECT * FROM U WHERE Views = 1" + " OR [Views]  = 2" * 64, ("views", 1)),
+    ("SELECT * FROM U WHERE id=5 AND (u.views=1" + " OR\n u.views=2" * 63 + ")", ("views", 0)),
+    ("SELECT * FROM U WHERE id=5 AND ((u.views=1)" + " OR (u.views=2)" * 64 + ") ORDER BY x", ("views", 1)),
+    (f"-- WHERE views IN (1)\nSELECT a /* where views = 1 */ FROM U WHERE up_votes IN ({_ones(90)})", None),
+    ("SELECT Id FROM U WHERE DisplayName = N'it''s'", ("displayname", 0)),
+    ("SELECT Id FROM U WHERE DisplayName = '??' + N'?'", ("displayname", 0)),
+    ("SELECT Id FROM U WHERE DisplayName + N'?' = N'??'", None),
+    ("SELECT Id FROM U WHERE DisplayName = '??'", None),
+    ("SELECT Id FROM U WHERE Views = N'1'", None),
+    ("UPDATE t SET views = 1 WHERE id = 3", None),
+    ("SELECT " + ", ".join(f"c{i}" for i in range(70)) + " FROM t WHERE views = 1", ("views", 0)),
+    ("SELECT * FROM t WHERE 1 = views", ("views", 0)),
+    ("SELECT * FROM t WHERE abs(views) = 1 AND len(views) IN (1,2)", None),
+    (f"SELECT * FROM t WHERE views NOT IN ({_ones(90)})", ("views", 0)),
+    ("SELECT * FROM t WHERE views BETWEEN 1 AND 5", ("views", 0)),
+    ("SELECT * FROM t JOIN s ON t.a = s.b AND t.views = -7 WHERE t.c = 'x'", ("views", 0)),
+    ("SELECT * FROM t WHERE a IN (SELECT b FROM s WHERE views IN (1,2)) AND c = 1", ("views", 0)),
+    ("SELECT * FROM t WHERE views = @p", None),
+    (f"SELECT * FROM t WHERE views IN ({_ones(30)}) OR views IN ({_ones(35)})", ("views", 1)),
+    (f"SELECT * FROM t WHERE views IN ({_ones(50)}) AND views IN ({_ones(50)})", ("views", 0)),
+    ('SELECT * FROM t WHERE "odd [name]" = 1', ("odd [name]", 0)),
+    (None, None),
+    ("", None),
+    ("SELECT * FROM t WHERE views = views + 1", None),
+    (f"SELECT 1 WHERE views IN ({_ones(200_000)})", ("views", 1)),
+    ("SELECT 1 WHERE " + _ones(50_000, " OR ", "views = 1"), ("views", 1)),
+    ("/*" + "x*" * 300_000 + "*/ SELECT 1 WHERE views = 1", ("views", 0)),
+]
+
+
+def test_antipatterns_in_any_spelling(spark):
+    log = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(ANTIPATTERNS)], "query_id int, query_sql_text string")
+    kinds = [("views", "nvarchar"), ("up_votes", "int"), ("displayname", "varchar"), ("odd [name]", "text")]
+    types = spark.createDataFrame(kinds, "column_name string, type_name string")
+    found = {r.query_id: (r.compared_column, r.large_number_of_or) for r in antipatterns.antipattern_scan(log, types).collect()}
+    assert found == {i: flags for i, (_, flags) in enumerate(ANTIPATTERNS) if flags}
