@@ -59,35 +59,41 @@ def assign_identity(
 def batch_log(df: DataFrame, key: str, after, n: int) -> DataFrame:
     """The batches a keyset delete of ``n`` rows at a time goes through.
 
-    One row per batch: number, first and last key, rows. A batch takes every
-    row up to the key of its n-th row, so equal keys are never split; where
-    they would be, batches are walked one after the other. Runs jobs.
+    One row per batch: number, first and last key, rows. A batch takes every row up to the
+    key of its n-th row, so equal keys are never split. The number of jobs grows with the
+    logarithm of the number of batches.
     """
-    doomed = df.where(F.col(key) > F.lit(after)).select(key)
-    ranked = ordering.number_rows(doomed, [key], "_rank")
-    batch = F.floor((F.col("_rank") - 1) / n).cast("bigint") + 1
-    log = materialise(
-        ranked.groupBy(batch.alias("batch_no")).agg(
-            F.min(key).alias("min_key"), F.max(key).alias("max_key"), F.count("*").alias("n_rows")
-        ),
-        "batch_log",
-    )
-    # Cutting by rank is right unless equal keys lie on both sides of a cut.
-    following = log.select((F.col("batch_no") - 1).alias("batch_no"), F.col("min_key").alias("next_key"))
-    torn = log.join(following, "batch_no").where(F.col("max_key") == F.col("next_key"))
-    return log if torn.isEmpty() else _walk_batches(df, key, after, n)
-
-
-def _walk_batches(df: DataFrame, key: str, after, n: int) -> DataFrame:
-    kind = df.schema[key].dataType.simpleString()
-    found = []
-    while (last := ordering.nth_key(df, key, after, n).head()[0]) is not None:
-        inside = df.where((F.col(key) > F.lit(after)) & (F.col(key) <= F.lit(last)))
-        low, rows = inside.agg(F.min(key), F.count("*")).head()
-        found.append((len(found) + 1, low, last, rows))
-        after = last
-    schema = f"batch_no bigint, min_key {kind}, max_key {kind}, n_rows bigint"
-    return df.sparkSession.createDataFrame(found, schema)
+    if n < 1:
+        raise ValueError("a batch has one row at least")
+    doomed = df.where(F.col(key) > F.lit(after)).select(F.col(key).alias("key"))
+    ranked = materialise(ordering.number_rows(doomed, ["key"], "rank"), "ranked")
+    # Rows up to and with each key. A batch that starts behind row s ends with the key of row s + n.
+    keys = materialise(ranked.groupBy("key").agg(F.max("rank").alias("upto")), "keys")
+    total = keys.agg(F.max("upto")).head()[0] or 0
+    ends = ranked.join(keys, "key").select("rank", "upto")
+
+    def batch_after(starts: DataFrame) -> DataFrame:
+        wanted = starts.select("start", F.least(F.col("start") + n, F.lit(total)).alias("rank"))
+        return wanted.join(ends, "rank").select("start", F.col("upto").alias("at"))
+
+    zero = df.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("start"))
+    steps = keys.select(F.col("upto").alias("start")).where(F.col("start") < total).union(zero if total else zero.limit(0))
+    steps = materialise(batch_after(steps), "batch_steps")
+    # From every key on one step is known; those that the first batch leads to are found by doubling.
+    state = materialise(steps.withColumn("met", F.col("start") == 0), "batches_met")
+    while not state.where(F.col("at") < total).isEmpty():
+        sent = state.where("met").select(F.col("at").alias("start"), F.lit(True).alias("hit"))
+        ahead = state.select(F.col("start").alias("at"), F.col("at").alias("further"))
+        moved = state.join(sent, "start", "left").join(ahead, "at", "left")
+        state = materialise(
+            moved.select("start", F.coalesce("further", "at").alias("at"), (F.col("met") | F.coalesce("hit", F.lit(False))).alias("met")), "batches_met"
+        )
+    cuts = steps.join(state.where("met").select("start"), "start", "left_semi")
+    cuts = ordering.number_rows(cuts, ["start"], "batch_no")
+    first = ranked.select(F.col("rank").alias("first"), F.col("key").alias("min_key"))
+    last = keys.select(F.col("upto").alias("at"), F.col("key").alias("max_key"))
+    named = cuts.withColumn("first", F.col("start") + 1).join(first, "first").join(last, "at")
+    return named.select("batch_no", "min_key", "max_key", (F.col("at") - F.col("start")).alias("n_rows"))
 
 
 def delete_in_batches(df: DataFrame, key: str, after, n: int) -> tuple[DataFrame, DataFrame]:

@@ -135,6 +135,25 @@ def _(t):
     return M.batch_log(t.orders, "o_orderkey", AFTER, BATCH)
 
 
+@query(
+    "delete_batch_log_of_repeated_keys",
+    "M-04",
+    """WITH RECURSIVE k AS (
+         SELECT l_orderkey AS key, CAST(sum(count(*)) OVER (ORDER BY l_orderkey) AS BIGINT) AS upto FROM lineitem
+         WHERE l_orderkey > 2000 GROUP BY l_orderkey
+       ), t AS (SELECT max(upto) AS total FROM k),
+       b AS (
+         SELECT CAST(1 AS BIGINT) AS batch_no, CAST(0 AS BIGINT) AS s, min(upto) AS e FROM k, t WHERE upto >= least(1500, total)
+         UNION ALL
+         SELECT b.batch_no + 1, b.e, min(k.upto) FROM b, k, t
+         WHERE b.e < t.total AND k.upto >= least(b.e + 1500, t.total) GROUP BY b.batch_no, b.e)
+       SELECT batch_no, (SELECT min(key) FROM k WHERE upto > s) AS min_key, (SELECT key FROM k WHERE upto = e) AS max_key,
+              e - s AS n_rows FROM b WHERE e IS NOT NULL""",
+)
+def _(t):
+    return M.batch_log(t.lineitem, "l_orderkey", AFTER, BATCH)
+
+
 @query(
     "next_batch_view",
     "M-05",
