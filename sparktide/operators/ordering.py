@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,10 +16,11 @@ from sparktide.workspace import materialise
 # is fine up to here; beyond it the rows are cut at a key found by counting.
 SMALL_TOP = 1_000
 
-# Half width of the bracket around a wanted key, as a share of the rows, and
-# the accuracy of the quantiles it is taken from.
-BRACKET = 0.001
-QUANTILE_ACCURACY = 10_000
+# Cells that quantiles divide the keys into, the accuracy of the quantiles, and the keys
+# that one task may sort to end a search.
+CUTS = 250
+QUANTILE_ACCURACY = 25_000
+LEAF_ROWS = 10_000
 
 # monotonically_increasing_id holds the place within a partition in these low bits.
 _POSITION_BITS = 33
@@ -96,74 +98,88 @@ def _countable(df: DataFrame, key: str) -> bool:
     return isinstance(df.schema[key].dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
 
 
-def _key_at(rows: DataFrame, key: str, n: int, size: int):
-    """The ``n``-th smallest of ``size`` keys, by narrowing a bracket around it.
+@dataclass(frozen=True)
+class _Place:
+    """The n-th smallest key, the rows below it, and those up to and with it."""
 
-    Each round takes two quantiles close to the wanted place and counts on
-    which side of them it falls, so a bracket shrinks a few hundred times per
-    pass and only a small one is ever sorted. The two quantiles themselves
-    leave the bracket, so a key with very many rows ends the search.
+    key: object
+    below: int
+    upto: int
+
+
+def _key_at(rows: DataFrame, key: str, n: int) -> _Place | None:
+    """The ``n``-th smallest key, or the last one; null keys don't count, None without keys.
+
+    One pass takes the number of keys and quantiles at ``CUTS`` places. A second one counts
+    around the cell of the wanted place and, in the same job, writes the keys inside, which
+    are searched on in the same way: the table is read twice, whatever ``n`` is. The cuts
+    themselves are no part of a cell, so a key with very many rows ends the search.
     """
-    want = n
-    value = F.col(key)
-    while size > SMALL_TOP:
-        place = want / size
-        shares = [max(0.0, place - BRACKET), min(1.0, place + BRACKET)]
-        a, b = rows.agg(F.percentile_approx(key, shares, QUANTILE_ACCURACY)).head()[0]
-        below_a, to_a, below_b, to_b = rows.agg(
-            F.count_if(value < F.lit(a)),
-            F.count_if(value <= F.lit(a)),
-            F.count_if(value < F.lit(b)),
-            F.count_if(value <= F.lit(b)),
-        ).head()
-        if below_a < want <= to_a:
-            return a
-        if to_a < want and below_b < want <= to_b:
-            return b
-        if want <= below_a:
-            rows, size = rows.where(value < F.lit(a)), below_a
-        elif want <= below_b:
-            rows = rows.where((value > F.lit(a)) & (value < F.lit(b)))
-            want, size = want - to_a, below_b - to_a
+    value, before, want = F.col(key), 0, n
+    rows = rows.select(key)
+    while True:
+        shares = [k / CUTS for k in range(CUTS + 1)]
+        size, cuts = rows.agg(F.count(key), F.percentile_approx(key, shares, QUANTILE_ACCURACY)).head()
+        if not size:
+            return None
+        if size <= LEAF_ROWS:
+            last = rows.where(value.isNotNull()).orderBy(key).limit(want).agg(F.max(key)).head()[0]
+            below, upto = rows.agg(F.count_if(value < F.lit(last)), F.count_if(value <= F.lit(last))).head()
+            return _Place(last, before + below, before + upto)
+        # Quantiles are off by a hundredth of a cell at most; a cell more on each side holds the place.
+        cell = min(CUTS - 1, min(want, size) * CUTS // size)
+        a, b = cuts[max(0, cell - 1)], cuts[min(CUTS, cell + 2)]
+        want = min(want, size)
+        seen = Observation()
+        counts = {
+            "below_a": F.count_if(value < F.lit(a)), "to_a": F.count_if(value <= F.lit(a)),
+            "below_b": F.count_if(value < F.lit(b)), "to_b": F.count_if(value <= F.lit(b)),
+        }
+        watched = rows.observe(seen, *[count.alias(name) for name, count in counts.items()])
+        inside = materialise(watched.where((value > F.lit(a)) & (value < F.lit(b))), "cell")
+        n_of = seen.get
+        if n_of["below_a"] < want <= n_of["to_a"]:
+            return _Place(a, before + n_of["below_a"], before + n_of["to_a"])
+        if n_of["below_b"] < want <= n_of["to_b"]:
+            return _Place(b, before + n_of["below_b"], before + n_of["to_b"])
+        if n_of["to_a"] < want <= n_of["below_b"]:
+            rows, before, want = inside, before + n_of["to_a"], want - n_of["to_a"]
+        elif want <= n_of["below_a"]:
+            rows = rows.where(value < F.lit(a))
         else:
-            rows, want, size = rows.where(value > F.lit(b)), want - to_b, size - to_b
-    return rows.orderBy(key).limit(want).agg(F.max(key)).head()[0]
+            rows, before, want = rows.where(value > F.lit(b)), before + n_of["to_b"], want - n_of["to_b"]
 
 
 def nth_key(df: DataFrame, key: str, after, n: int) -> DataFrame:
     """The ``n``-th key above ``after``, or the last one if fewer are left.
 
-    One row with column ``nth_key``; null when no key lies above. A far key is
-    found by counting (runs jobs), a near one by a plain top-k.
+    One row with column ``nth_key``; null when no key lies above. Found by counting (runs
+    jobs); keys that have no quantiles, such as texts, are sorted.
     """
     rows = df.where(F.col(key) > F.lit(after)).select(key)
-    if n > SMALL_TOP and _countable(df, key):
-        size = rows.count()
-        if n >= size:
-            return rows.agg(F.max(key).alias("nth_key"))
-        last = _key_at(rows, key, n, size)
-        return rows.where(F.col(key) == F.lit(last)).agg(F.max(key).alias("nth_key"))
-    return top_n(rows, n, key).agg(F.max(key).alias("nth_key"))
+    if not _countable(df, key):
+        return top_n(rows, n, key).agg(F.max(key).alias("nth_key"))
+    place = _key_at(rows, key, n)
+    schema = T.StructType([T.StructField("nth_key", df.schema[key].dataType)])
+    return df.sparkSession.createDataFrame([(place.key if place else None,)], schema)
 
 
 def first_rows(df: DataFrame, key: str, n: int) -> DataFrame:
     """The ``n`` rows with the smallest non-null keys.
 
-    A large ``n`` is a comparison with the n-th key, so no task holds the
-    rows. Rows that tie at that key are taken in any order, just enough of them.
+    A comparison with the n-th key, so no task holds the rows. Rows that tie at that key
+    are taken in any order, just enough of them.
     """
     keyed = df.where(F.col(key).isNotNull())
-    if n <= SMALL_TOP or not _countable(df, key):
+    if not _countable(df, key):
         return top_n(keyed, n, key)
-    size = keyed.count()
-    if n >= size:
-        return keyed
-    last = F.lit(_key_at(keyed.select(key), key, n, size))
-    below, ties = df.where(F.col(key) < last), df.where(F.col(key) == last)
-    missing = n - below.count()
-    if missing < ties.count():
-        ties = ties.limit(missing) if missing <= SMALL_TOP else top_n(ties, missing, key)
-    return below.unionByName(ties)
+    place = _key_at(keyed, key, n) if n > 0 else None
+    if place is None:
+        return keyed.limit(0)
+    if place.upto <= n:
+        return df.where(F.col(key) <= F.lit(place.key))
+    ties = number_rows(df.where(F.col(key) == F.lit(place.key)), [key], "_row")
+    return df.where(F.col(key) < F.lit(place.key)).unionByName(ties.where(F.col("_row") <= n - place.below).drop("_row"))
 
 
 def intersect_rows(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -149,6 +149,7 @@ def test_large_top_equals_small_top(spark, assert_same, monkeypatch, kind):
     first = ordering.first_rows(rows.select("k"), "k", 200)
     key = ordering.nth_key(rows, "k", rows.selectExpr("min(k)").head()[0], 200).head()
     monkeypatch.setattr(ordering, "SMALL_TOP", 10)
+    monkeypatch.setattr(ordering, "LEAF_ROWS", 10)
     assert_same(small, ordering.top_n(rows, 200, F.desc("k"), "id"))
     assert_same(first, ordering.first_rows(rows.select("k"), "k", 200))
     assert key == ordering.nth_key(rows, "k", rows.selectExpr("min(k)").head()[0], 200).head()
@@ -212,7 +213,7 @@ def test_nth_key_at_the_end(spark):
 
 @pytest.mark.parametrize("kind", ["spread", "hot low", "hot high", "all equal"])
 def test_selected_key_equals_sorted_key(spark, monkeypatch, kind):
-    monkeypatch.setattr(ordering, "SMALL_TOP", 20)
+    monkeypatch.setattr(ordering, "LEAF_ROWS", 20)
     values = {
         "spread": [(i * 7919) % 5003 for i in range(5000)],
         "hot low": [5] * 2500 + list(range(2500)),
@@ -220,7 +221,7 @@ def test_selected_key_equals_sorted_key(spark, monkeypatch, kind):
         "all equal": [7] * 3000,
     }[kind]
     rows = _keys(spark, values)
-    for n in (21, 1700, 2499, 2999):
+    for n in (1, 21, 1700, 2499, 2999):
         assert ordering.nth_key(rows, "k", -1, n).head()[0] == sorted(values)[n - 1]
         assert sorted(r.k for r in ordering.first_rows(rows, "k", n).collect()) == sorted(values)[:n]
 

@@ -127,10 +127,13 @@ def test_semi_join_shuffles_distinct_keys(spark, tables):
 
 
 def test_far_key_is_not_sorted_whole(tables, monkeypatch):
-    monkeypatch.setattr(ordering, "SMALL_TOP", 50)
-    df = ordering.first_rows(tables.lineitem, "l_orderkey", 3000)
+    monkeypatch.setattr(ordering, "LEAF_ROWS", 50)
+    df = ordering.first_rows(tables.orders, "o_orderkey", 1000)
     assert "Sort" not in plan_of(df) and "TakeOrdered" not in plan_of(df)
-    assert df.count() == 3000
+    assert df.count() == 1000
+    # Keys that tie at the cut are numbered among themselves only.
+    plan = plan_of(ordering.first_rows(tables.lineitem, "l_orderkey", 3000))
+    assert "Sort [l_orderkey" not in plan and "TakeOrdered" not in plan
 
 
 def test_snapshot_window_prunes_partitions(spark, tables, work):
