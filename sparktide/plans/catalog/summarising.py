@@ -235,7 +235,9 @@ def _(t):
     views="xe_events",
 )
 def _(t):
-    return activity.blocked_sessions(t.xe_events, F.col("event_name") == "error")
+    # Only what is reported goes through the exchange.
+    kept = ["event_id", "ts", "session_id", "database_id", "event_name", "duration_us", "severity", "result", "spills", "client_app_name"]
+    return activity.blocked_sessions(t.xe_events.select(*kept), F.col("event_name") == "error")
 
 
 @query(
