@@ -141,7 +141,6 @@ def _(t):
 def _(t):
     path = new_path(t.spark, "ring")
     stream = _stream(t).select(*_RECENT_COLUMNS)
-    sinks.ring_buffer(
-        stream, 20, _latest_first(), "event_name", f"{path}/table", f"{path}/checkpoint"
-    ).awaitTermination()
-    return t.spark.read.schema(stream.schema).parquet(f"{path}/table")
+    held = 20, ["ts", "event_id"], "event_name"
+    sinks.ring_buffer(stream, *held, path).awaitTermination()
+    return sinks.read_ring_buffer(t.spark, path, stream.schema, *held)

@@ -58,12 +58,52 @@ def test_stream_equals_batch(spark, tables, parts, assert_same):
     assert_same(captures.spills(tables.xe_events), sinks.captured(captures.spills(stream), "capture"))
 
 
-def test_ring_buffer_over_many_batches(spark, tables, parts, assert_same, work):
-    order = [F.desc("ts"), F.desc("event_id")]
+@pytest.mark.parametrize("key", ["event_name", None])
+def test_ring_buffer_over_many_batches(spark, tables, parts, assert_same, work, key):
     stream = _stream(spark, parts, tables.events.schema, files=1)
-    sinks.ring_buffer(stream, 5, order, "event_name", f"{work}/t", f"{work}/c").awaitTermination()
-    held = spark.read.schema(stream.schema).parquet(f"{work}/t")
-    assert_same(held, sinks.recent_events(tables.xe_events, 5, order, "event_name"))
+    held = 5, ["ts", "event_id"], key
+    sinks.ring_buffer(stream, *held, work).awaitTermination()
+    got = sinks.read_ring_buffer(spark, work, stream.schema, *held)
+    assert_same(got, sinks.recent_events(tables.xe_events, 5, [F.desc("ts"), F.desc("event_id")], key))
+
+
+def test_ring_buffer_keeps_repeated_events_and_every_value(spark, assert_same, work):
+    """Equal events stay several, null keys are a key, and a second run goes on from what is held."""
+    rows = spark.range(60).select(
+        F.when(F.col("id") % 3 > 0, (F.col("id") % 3).cast("string")).alias("k"),
+        F.timestamp_seconds(F.lit(1.7e9) + F.floor(F.col("id") / 6) + F.lit(0.123456)).alias("ts"),
+        F.expr("timestamp_ntz'2024-03-31 02:30:00.000001'").alias("local"),
+        F.when(F.col("id") > 30, F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int"))).alias("day"),
+        F.expr("CASE WHEN id < 40 THEN CAST('NaN' AS DOUBLE) ELSE id / 7 END").alias("share"),
+        F.expr("CAST(id AS DECIMAL(20, 4)) / 3").alias("cost"),
+        F.expr("array(encode(string(id div 6), 'UTF-8'), null)").alias("raw"),
+    ).drop("id")
+    rows = rows.unionByName(rows)
+    held = 7, ["ts", "day"], "k"
+    for run in range(2):
+        part = F.col("ts") < F.timestamp_seconds(F.lit(1_700_000_005))
+        rows.where(part if run else ~part).write.mode("append").parquet(f"{work}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{work}/in")
+        sinks.ring_buffer(stream, *held, f"{work}/c", spread=3).awaitTermination()
+    got = sinks.read_ring_buffer(spark, f"{work}/c", rows.schema, *held)
+    want = sinks.recent_events(spark.read.parquet(f"{work}/in"), 7, [F.desc("ts"), F.desc("day")], "k")
+    assert got.count() == 21
+    assert_same(got.select("k", "ts", "local", "day"), want.select("k", "ts", "local", "day"))
+    whole = spark.read.parquet(f"{work}/in")
+    assert got.exceptAll(whole).isEmpty()
+
+
+def test_ring_buffer_needs_an_order_in_time(spark, tables, parts, work):
+    with pytest.raises(ValueError, match="event_name"):
+        sinks.ring_buffer(_stream(spark, parts, tables.events.schema), 5, ["event_name"], None, work)
+
+
+def test_latest_of_a_hot_key_are_cut_in_parts(tables, monkeypatch, assert_same):
+    order = [F.desc("ts"), F.desc("event_id")]
+    plain = sinks.recent_events(tables.xe_events, 40, order, "event_name")
+    monkeypatch.setattr(sinks, "GROUP_LIMIT", 10)
+    monkeypatch.setattr(sinks, "FEWER", 4)
+    assert_same(plain, sinks.recent_events(tables.xe_events, 40, order, "event_name", spread=16))
 
 
 def test_sink_resumes_without_repeating(spark, tables, parts, work):
