@@ -252,6 +252,31 @@ def test_ball_trees_find_the_best(spark, monkeypatch):
     assert balltree.top_k(none, none, 10).count() == 0
 
 
+def test_shards_by_space_are_mostly_cut(spark, monkeypatch):
+    """Of 25 far clusters a query that knows its k-th score meets few shards; copies of one vector stay searchable."""
+    monkeypatch.setattr(balltree, "SHARD_ROWS", 40)
+    monkeypatch.setattr(balltree, "DIRECTORY_ROWS", 7)
+    rng = np.random.default_rng(5)
+    centres = rng.normal(0, 40, (25, 8))
+    points = [(i, (centres[i % 25] + rng.normal(0, 0.5, 8)).tolist()) for i in range(2_000)] + [(i, [50.0] * 8) for i in range(2_000, 2_300)]
+    v = materialise(balltree.vectors(spark.createDataFrame(points, "vec_id long, embedding array<double>"), "vec_id", "embedding", 16))
+    trees = balltree.build_trees(v)
+    sizes = trees.selectExpr("length(ids) div 8 AS n").collect()
+    assert sum(r.n for r in sizes) == 2_300 and max(r.n for r in sizes) < 80
+    asked = v.where("id % 50 = 0")
+    got = balltree.top_k(v, asked, 10).collect()
+    whole = {r.id: np.array(r.v) for r in v.collect()}
+    floors = []
+    for q in whole:
+        if q % 50 == 0:
+            best = sorted((-int(whole[q] @ x), i) for i, x in whole.items() if i != q)[:10]
+            assert [(-r.score, r.vec_id) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] == best
+            floors.append((q, -best[-1][0]))
+    known = asked.join(spark.createDataFrame(floors, "id long, floor long"), "id").selectExpr("id", "dim", "v", "floor", "array(-1L) AS seen")
+    met, all_pairs = balltree.pairs(trees, known).count(), len(floors) * len(sizes)
+    assert met < all_pairs / 3, (met, all_pairs)
+
+
 def test_large_scores_are_whole():
     big = np.array([[2.0**40, 1.0], [2.0**29, 3.0]])
     assert balltree._scores(big[1:], big[1:]).tolist() == [[2**58 + 9]]
