@@ -46,6 +46,11 @@ def order_desc(df: DataFrame, *cols: str) -> DataFrame:
     return df.orderBy(*[F.col(c).desc() for c in cols])
 
 
+def _place() -> Column:
+    """The place of a row within its partition, from 0."""
+    return F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
+
+
 def number_rows(
     df: DataFrame, order_by: Sequence[Column | str], name: str = "id", start: int = 1, step: int = 1
 ) -> DataFrame:
@@ -56,14 +61,13 @@ def number_rows(
     No task sees more than one partition, and rows with equal order keys are
     still split over several. Runs two jobs.
     """
-    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     keys = [*order_by, "_tie"]
     ranged = (
         df.withColumn("_tie", F.monotonically_increasing_id())
         .repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .drop("_tie")
-        .withColumns({"_part": F.spark_partition_id(), "_place": place})
+        .withColumns({"_part": F.spark_partition_id(), "_place": _place()})
     )
     written = materialise(ranged, "ranged")
     # One row per partition, so a single task for the offsets is enough and
@@ -82,11 +86,22 @@ def number_rows(
     )
 
 
+def first_of_each_task(df: DataFrame, n: int, by: Sequence[Column | str]) -> DataFrame:
+    """At most ``n`` rows of every partition, the first in order: what a top ``n`` can be made of."""
+    placed = df.sortWithinPartitions(*by).withColumn("_place", _place())
+    return placed.where(F.col("_place") < n).drop("_place")
+
+
 def top_n(df: DataFrame, n: int, *by: Column | str) -> DataFrame:
-    """The first ``n`` rows in order; beyond a small ``n`` by place, so that no task holds them all."""
+    """The first ``n`` rows in order.
+
+    Beyond a small ``n`` by place, so that no task holds them all: every task keeps its
+    first ``n`` rows, and only those are shuffled, written and numbered.
+    """
     if n <= SMALL_TOP:
         return df.orderBy(*by).limit(n)
-    return number_rows(df, by, "_row").where(F.col("_row") <= n).orderBy("_row").drop("_row")
+    rows = number_rows(first_of_each_task(df, n, by), by, "_row")
+    return rows.where(F.col("_row") <= n).orderBy("_row").drop("_row")
 
 
 def limit_any(df: DataFrame, n: int) -> DataFrame:

@@ -66,6 +66,15 @@ def test_snapshots_written_and_read_in_different_zones(spark, work):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def test_a_large_top_n_shuffles_the_first_rows_of_each_task(spark):
+    rows = spark.range(0, 40_000, 1, 5).select((F.col("id") * 7919 % 40_009).alias("n"), F.lit(None).cast("int").alias("gone"))
+    cut = ordering.first_of_each_task(rows, 1_200, [F.col("gone"), F.col("n").desc()])
+    assert cut.count() == 5 * 1_200
+    want = [r.n for r in rows.orderBy(F.col("n").desc()).limit(1_200).collect()]
+    assert [r.n for r in ordering.top_n(rows, 1_200, F.col("gone"), F.col("n").desc()).collect()] == want
+    assert ordering.top_n(rows.where("n < 0"), 1_200, "n").count() == 0
+
+
 def test_a_large_top_n_is_in_order(spark):
     rows = spark.range(20_000).select((F.col("id") * 7919 % 20_011).alias("n"))
     got = [r.n for r in ordering.top_n(rows, 5_000, F.col("n").desc()).collect()]
