@@ -93,16 +93,27 @@ def _terms(run: Column) -> Column:
     left = rf"^{_NAME}(=|~|I|!I|B|!B)<?([+0su,]++)>?$"
     right = rf"^<?({_LITERAL})>?[=~]{_NAME}$"
 
-    def term(text: Column) -> Column:
-        name, sign = F.regexp_extract(text, left, 1), F.regexp_extract(text, left, 2)
-        turned = F.regexp_extract(text, right, 2)
-        literals = F.when(name != "", F.regexp_extract(text, left, 3)).otherwise(F.regexp_extract(text, right, 1))
+    # Step by step, so that each pattern is asked once a term.
+    def sides(text: Column) -> Column:
+        return F.struct(text.alias("text"), F.regexp_extract(text, left, 1).alias("name"))
+
+    def parts(t: Column) -> Column:
+        named = t["name"] != ""
+        return F.struct(
+            F.when(named, t["name"]).otherwise(F.regexp_extract(t["text"], right, 2)).alias("name"),
+            # A list is as many terms as it has values; one that is negated, or a range, is one.
+            F.when(named, F.regexp_extract(t["text"], left, 3)).otherwise(F.regexp_extract(t["text"], right, 1)).alias("literals"),
+            (named & t["text"].contains("}I")).alias("listed"),
+        )
+
+    def term(t: Column) -> Column:
+        literals = t["literals"]
         kind = F.when(F.contains(literals, F.lit("0")), "number").when(F.contains(literals, F.lit("u")), "national").otherwise("text")
-        # A list is as many terms as it has values; one that is negated, or a range, is one.
-        n = F.when(sign == "I", F.regexp_count(literals, F.lit(",")) + 1).otherwise(1)
-        return F.struct(F.when(name != "", name).otherwise(turned).alias("name"), kind.alias("kind"), n.cast("int").alias("n"))
+        n = F.when(t["listed"], F.length(literals) - F.length(F.replace(literals, F.lit(","), F.lit(""))) + 1).otherwise(1)
+        return F.struct(t["name"].alias("name"), kind.alias("kind"), n.cast("int").alias("n"))
 
-    return F.filter(F.transform(F.split(run, r"\|"), term), lambda t: t["name"] != "")
+    bare = F.filter(F.transform(F.transform(F.split(run, r"\|"), sides), parts), lambda t: t["name"] != "")
+    return F.transform(bare, term)
 
 
 def _runs(text: Column) -> Column:
@@ -145,7 +156,8 @@ def antipattern_scan(
     mistyped = materialise(mistyped.withColumn("name", F.hex(F.lower("compared_column"))), "text_columns")
     # In two steps: the text is cut once, its runs are asked several times.
     cut = query_log.select("query_id", _runs(F.col("query_sql_text")).alias("runs"))
-    found = cut.where(F.size("runs") > 0).select("query_id", F.explode(_compared(F.col("runs"))).alias("found"))
+    # No filter on the runs: it would be pushed down and cut every text a second time.
+    found = cut.select("query_id", F.explode(_compared(F.col("runs"))).alias("found"))
     met = found.select("query_id", "found.*").join(mistyped, ["name", "kind"], "inner")
     return met.groupBy("query_id", "compared_column").agg(
         F.lit(1).alias("type_convert"), F.when(F.max("n") >= threshold, 1).otherwise(0).alias("large_number_of_or")

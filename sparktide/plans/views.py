@@ -126,6 +126,9 @@ _QUERY_TEXTS = (
     " ELSE concat(front, '(', name, ' = ', val, repeat(concat(either, name, '=', val), more), ')') END AS query_sql_text",
 )
 
+# Query texts that one task makes and cuts.
+TEXTS_PER_TASK = 4_000
+
 
 class Tables:
     """The tables of one folder and the views derived from them."""
@@ -387,8 +390,12 @@ class Tables:
 
     @cached_property
     def query_log(self) -> DataFrame:
-        """Lists and OR chains of 1 to 130 terms in many spellings, on two text columns and on an integer one."""
-        return self.events.selectExpr(*_QUERY_PARTS).selectExpr(*_QUERY_SPELLINGS).selectExpr(*_QUERY_TEXTS)
+        """Lists and OR chains of 1 to 130 terms in many spellings, on two text columns and on an integer one.
+
+        A text is hundreds of times larger than its row in the file, so the ids are dealt out first.
+        """
+        ids = self.events.select("event_id")
+        return ids.repartition(max(1, -(-ids.count() // TEXTS_PER_TASK))).selectExpr(*_QUERY_PARTS).selectExpr(*_QUERY_SPELLINGS).selectExpr(*_QUERY_TEXTS)
 
     @cached_property
     def column_types(self) -> DataFrame:

@@ -62,6 +62,22 @@ def test_no_python_in_plans(spark, folder):
         assert "Python" not in plan and "Pandas" not in plan, name
 
 
+def test_query_texts_are_cut_once(spark, folder, tables, monkeypatch):
+    """The texts are cut in one place of the plan, by several tasks."""
+    from sparktide.operators import antipatterns
+    from sparktide.plans import views
+
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    try:
+        plan = plan_of(antipatterns.antipattern_scan(tables.query_log.select("query_id", "query_sql_text"), tables.column_types))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert sum("[\\p{L}_][\\p{L}\\p{N}_@#$]*+" in line for line in plan.splitlines()) == 1
+    monkeypatch.setattr(views, "TEXTS_PER_TASK", 40)
+    log = views.Tables(spark, folder).query_log
+    assert log.rdd.getNumPartitions() == -(-log.count() // 40) > 1
+
+
 def test_year_range_is_pushed(tables):
     assert "GreaterThanOrEqual" in pushed(predicates.filter_year(tables.orders, "o_orderdate", 1997))
     by_function = tables.orders.where(F.year("o_orderdate") == 1997)
