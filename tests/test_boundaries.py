@@ -10,6 +10,7 @@ from sparktide.functions import conversion, temporal
 from sparktide.operators import antipatterns, audit, history, mutations, ordering, predicates
 from sparktide.operators import activity as activity_ops
 from sparktide.sources import snapshots, tables as source_tables
+from sparktide.workspace import materialise
 
 
 def _stamps(spark, *texts):
@@ -237,6 +238,32 @@ def test_batches_never_split_equal_keys(spark):
     assert [tuple(r) for r in log] == [(1, 1, 2, 4), (2, 3, 4, 3), (3, 5, 5, 1)]
 
 
+def _batches(values, n):
+    """A plain walk over sorted keys."""
+    values, made, at = sorted(values), [], 0
+    while at < len(values):
+        end = min(at + n, len(values))
+        while end < len(values) and values[end] == values[end - 1]:
+            end += 1
+        made.append((len(made) + 1, values[at], values[end - 1], end - at))
+        at = end
+    return made
+
+
+@pytest.mark.parametrize("n", [1, 3, 40])
+def test_batches_across_blocks(spark, monkeypatch, n):
+    """Batches shorter and longer than a block, and keys that fill several blocks."""
+    monkeypatch.setattr(mutations, "BLOCK_ROWS", 7)
+    values = [k for k in range(60) for _ in range(30 if k in (4, 31) else 1 + k * k % 3)]
+    rounds = []
+    monkeypatch.setattr(mutations, "materialise", lambda df, label: rounds.append((label, made := materialise(df, label))) or made)
+    log = mutations.batch_log(_keys(spark, [-1, None, *values]), "k", -1, n).orderBy("batch_no").collect()
+    assert [tuple(r) for r in log] == _batches(values, n)
+    if n == 1:
+        # Only keys at the ends of blocks take part in the rounds.
+        assert all(df.count() <= len(values) // 7 + 1 for label, df in rounds if label == "batches_met")
+
+
 def test_batches_of_nothing(spark):
     kept, log = mutations.delete_in_batches(_keys(spark, [1, 2]), "k", 5, 2)
     assert kept.count() == 2
