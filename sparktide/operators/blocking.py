@@ -10,7 +10,7 @@ many waiters is hot on the probing side alone, where AQE splits it.
 
 Deadlocks are the strongly connected components of the graph. Sessions with one holder
 are contracted to where their chain ends; what is left are the sessions with several
-holders, and those are coloured: forward by the smallest session that reaches them, then
+holders, and those are coloured: forward by the first session, by hash, that reaches them, then
 backward from the session of each colour. These rounds grow with the longest path among
 sessions of several holders only.
 """
@@ -26,11 +26,16 @@ from pyspark.sql import functions as F
 from sparktide.workspace import materialise
 
 
+def _written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written. Joins with it shuffle: broadcasts of many rounds would all pass the driver."""
+    return materialise(df, label).hint("merge")
+
+
 def _waits(edges: DataFrame, scope: Sequence[str], node: str, parent: str) -> tuple[DataFrame, DataFrame]:
     """Distinct waits, written, and those of sessions that somebody waits for."""
-    pairs = materialise(edges.where(F.col(parent).isNotNull() & F.col(node).isNotNull()).select(*scope, node, parent).distinct(), "waits")
+    pairs = _written(edges.where(F.col(parent).isNotNull() & F.col(node).isNotNull()).select(*scope, node, parent).distinct(), "waits")
     asked = pairs.select(*scope, F.col(parent).alias(node)).distinct()
-    return pairs, materialise(pairs.join(asked, [*scope, node], "left_semi"), "inner_waits")
+    return pairs, _written(pairs.join(asked, [*scope, node], "left_semi"), "inner_waits")
 
 
 def chain_roots(edges: DataFrame, scope: str, node: str, parent: str) -> DataFrame:
@@ -91,7 +96,7 @@ def _ends_of_chains(single: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     state = single.select("node", F.col("next").alias("at"), F.lit(False).alias("ended"))
     inside = single.select(F.col("node").alias("at"), F.lit(True).alias("inside"))
-    state = materialise(state.drop("ended").join(inside, "at", "left").select("node", "at", F.col("inside").isNull().alias("ended")), "chains")
+    state = _written(state.drop("ended").join(inside, "at", "left").select("node", "at", F.col("inside").isNull().alias("ended")), "chains")
     seen = None
     while True:
         open_ = state.where("NOT ended")
@@ -102,9 +107,9 @@ def _ends_of_chains(single: DataFrame) -> tuple[DataFrame, DataFrame]:
         seen = size
         ahead = state.select(F.col("node").alias("at"), F.col("at").alias("further"), "ended")
         moved = open_.drop("ended").join(ahead, "at").select("node", F.col("further").alias("at"), "ended")
-        state = materialise(state.where("ended").union(moved), "chains")
+        state = _written(state.where("ended").union(moved), "chains")
     ring = state.where("NOT ended").select(F.col("at").alias("node")).distinct()
-    return state.where("ended").select("node", F.col("at").alias("end")), materialise(ring, "rings")
+    return state.where("ended").select("node", F.col("at").alias("end")), _written(ring, "rings")
 
 
 def _ring_names(ring: DataFrame) -> DataFrame:
@@ -114,7 +119,7 @@ def _ring_names(ring: DataFrame) -> DataFrame:
         # On a ring every session is pointed to once: both sides are unique.
         ahead = state.select(F.col("node").alias("at"), F.col("at").alias("further"), F.col("name").alias("theirs"))
         moved = state.join(ahead, "at")
-        state = materialise(
+        state = _written(
             moved.select("node", F.col("further").alias("at"), F.least("name", "theirs").alias("name"), (F.col("theirs") < F.col("name")).alias("changed")),
             "ring_names",
         )
@@ -129,7 +134,7 @@ def _spread(marks: DataFrame, edges: DataFrame, better) -> DataFrame:
         best = sent.groupBy(F.col("target").alias("node")).agg(better("colour").alias("sent"))
         both = marks.join(best, "node", "left")
         gains = F.coalesce(F.col("sent") < F.col("colour"), F.lit(False))
-        marks = materialise(both.select("node", F.least("colour", "sent").alias("colour"), gains.alias("changed")), "colours")
+        marks = _written(both.select("node", F.least("colour", "sent").alias("colour"), gains.alias("changed")), "colours")
         if marks.where("changed").isEmpty():
             return marks.select("node", "colour")
 
@@ -137,35 +142,37 @@ def _spread(marks: DataFrame, edges: DataFrame, better) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of the strongly connected components of ``edges`` (source, target) that hold a cycle.
 
-    Sessions are coloured by the smallest one that reaches them. Those of a colour that
-    reach its session back are a component; the edges that leave it go, and so on. What
-    has no way in or out is trimmed before each colouring.
+    Sessions are coloured by the first one that reaches them, in the order of a hash: by
+    number, a long line of components would lose one of them at a time. Those of a colour
+    that reach its session back are a component; the edges that leave it go, and so on.
+    What has no way in or out is trimmed before each colouring. A component is named by its
+    smallest session.
     """
     loops = edges.where("source = target").select(F.col("source").alias("node"), F.col("source").alias("component"))
-    edges = materialise(edges.where("source <> target").select("source", "target").distinct(), "junction_waits")
-    found = [materialise(loops.distinct(), "loops")]
+    edges = _written(edges.where("source <> target").select("source", "target").distinct(), "junction_waits")
+    found = [_written(loops.distinct(), "loops")]
     while True:
         trimmed = edges.join(edges.select(F.col("target").alias("source")).distinct(), "source", "left_semi")
         trimmed = trimmed.join(edges.select(F.col("source").alias("target")).distinct(), "target", "left_semi")
-        edges = materialise(trimmed.select("source", "target"), "junction_waits")
+        edges = _written(trimmed.select("source", "target"), "junction_waits")
         if edges.isEmpty():
             break
         nodes = edges.select(F.col("source").alias("node")).union(edges.select("target")).distinct()
-        colours = _spread(materialise(nodes.withColumn("colour", F.col("node")), "colours"), edges, F.min)
+        colours = _spread(_written(nodes.withColumn("colour", F.struct(F.xxhash64("node").alias("place"), "node")), "colours"), edges, F.min)
         # A cycle has one colour, so edges between colours can go.
         ends = edges.join(colours.select(F.col("node").alias("source"), F.col("colour").alias("one")), "source")
         ends = ends.join(colours.select(F.col("node").alias("target"), F.col("colour").alias("other")), "target")
-        edges = materialise(ends.where("one = other").select("source", "target"), "junction_waits")
+        edges = _written(ends.where("one = other").select("source", "target"), "junction_waits")
         # Backward: 0 reaches the session of its colour, 1 not yet.
         back = edges.select(F.col("target").alias("source"), F.col("source").alias("target"))
-        start = colours.select("node", F.when(F.col("node") == F.col("colour"), 0).otherwise(1).alias("colour"))
-        reach = _spread(materialise(start, "colours"), back, F.min).where("colour = 0").select("node")
-        done = materialise(colours.join(reach, "node").select("node", F.col("colour").alias("component")), "components")
-        sizes = done.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
-        found.append(done.join(materialise(sizes, "sizes"), "component", "left_semi").select("node", "component"))
+        start = colours.select("node", F.when(F.col("node") == F.col("colour.node"), 0).otherwise(1).alias("colour"))
+        reach = _spread(_written(start, "colours"), back, F.min).where("colour = 0").select("node")
+        done = _written(colours.join(reach, "node").select("node", F.col("colour.node").alias("component")), "components")
+        sizes = done.groupBy("component").agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1")
+        found.append(done.join(_written(sizes.select("component", "least"), "sizes"), "component").select("node", F.col("least").alias("component")))
         gone = done.select(F.col("node").alias("source"))
         left = edges.join(gone, "source", "left_anti").join(gone.withColumnRenamed("source", "target"), "target", "left_anti")
-        edges = materialise(left.select("source", "target"), "junction_waits")
+        edges = _written(left.select("source", "target"), "junction_waits")
     every = reduce(DataFrame.union, found)
     # A session with itself as a holder may be in a larger component too.
     return every.groupBy("node").agg(F.min("component").alias("component"))
@@ -178,7 +185,7 @@ def _crossed(single: DataFrame, starts: DataFrame) -> DataFrame:
     """
     counts = single.join(starts.withColumn("n", F.lit(1).cast("long")), "node", "left")
     state = counts.select("node", F.col("next").alias("at"), F.coalesce("n", F.lit(0)).alias("n"))
-    state = materialise(state, "crossings")
+    state = _written(state, "crossings")
     while True:
         inside = state.select(F.col("node").alias("at"), F.col("at").alias("further"))
         moved = state.join(inside, "at", "left")
@@ -186,7 +193,7 @@ def _crossed(single: DataFrame, starts: DataFrame) -> DataFrame:
             return state.where("n > 0").select("node")
         gained = state.groupBy(F.col("at").alias("node")).agg(F.max("n").alias("gained"))
         moved = moved.select("node", F.col("further").alias("at"), "n").join(gained, "node", "left")
-        state = materialise(moved.select("node", "at", F.greatest("n", F.coalesce("gained", F.lit(0))).alias("n")), "crossings")
+        state = _written(moved.select("node", "at", F.greatest("n", F.coalesce("gained", F.lit(0))).alias("n")), "crossings")
 
 
 def deadlock_cycles(edges: DataFrame) -> DataFrame:
@@ -200,32 +207,32 @@ def deadlock_cycles(edges: DataFrame) -> DataFrame:
     pairs, inner = _waits(edges, [], "waiter", "holder")
     # Only waits for a session that waits itself can close a cycle.
     waiting = inner.select(F.col("waiter").alias("holder")).distinct()
-    closing = materialise(inner.join(waiting, "holder", "left_semi").select("waiter", "holder"), "closing_waits")
+    closing = _written(inner.join(waiting, "holder", "left_semi").select("waiter", "holder"), "closing_waits")
     degree = closing.groupBy(F.col("waiter").alias("node")).agg(F.count("*").alias("n"), F.max("holder").alias("next"))
-    degree = materialise(degree, "holders")
+    degree = _written(degree, "holders")
     single = degree.where("n = 1").select("node", "next")
     chains, ring = _ends_of_chains(single)
-    chains = materialise(chains, "chain_ends")
-    members = [_ring_names(materialise(single.join(ring, "node"), "ring")).select("node", "name")]
+    chains = _written(chains, "chain_ends")
+    members = [_ring_names(_written(single.join(ring, "node"), "ring")).select("node", "name")]
     forks = degree.where("n > 1").select("node")
     if not forks.isEmpty():
         between = closing.join(forks.withColumnRenamed("node", "waiter"), "waiter", "left_semi")
         ends = between.join(chains.select(F.col("node").alias("holder"), "end"), "holder", "left")
         ends = ends.select("waiter", "holder", F.coalesce("end", "holder").alias("end"))
-        ends = materialise(ends.join(forks.withColumnRenamed("node", "end"), "end", "left_semi").select("waiter", "holder", "end"), "fork_waits")
-        parts = materialise(components(ends.select(F.col("waiter").alias("source"), F.col("end").alias("target"))), "fork_components")
+        ends = _written(ends.join(forks.withColumnRenamed("node", "end"), "end", "left_semi").select("waiter", "holder", "end"), "fork_waits")
+        parts = _written(components(ends.select(F.col("waiter").alias("source"), F.col("end").alias("target"))), "fork_components")
         # Chains from one fork of a component to another of it belong to it as well.
         own = ends.join(parts.select(F.col("node").alias("waiter"), F.col("component").alias("one")), "waiter")
         own = own.join(parts.select(F.col("node").alias("end"), F.col("component").alias("other")), "end").where("one = other")
         to_parts = chains.join(parts.select(F.col("node").alias("end"), "component"), "end").select("node", "component")
-        to_parts = materialise(to_parts, "chains_to_components")
+        to_parts = _written(to_parts, "chains_to_components")
         crossed = _crossed(single.join(to_parts, "node", "left_semi"), own.select(F.col("holder").alias("node")).distinct())
-        every = materialise(parts.union(to_parts.join(crossed, "node")), "component_members")
+        every = _written(parts.union(to_parts.join(crossed, "node")), "component_members")
         names = every.groupBy("component").agg(F.min("node").alias("name"))
         members.append(every.join(names, "component").select("node", "name"))
-    members = materialise(reduce(DataFrame.union, members), "deadlock_members")
+    members = _written(reduce(DataFrame.union, members), "deadlock_members")
     # Written, so that AQE can split the participants of a very large deadlock.
-    sizes = materialise(members.groupBy("name").agg(F.count("*").alias("participants")), "sizes")
+    sizes = _written(members.groupBy("name").agg(F.count("*").alias("participants")), "sizes")
     held = members.select(F.col("node").alias("holder"), F.col("name").alias("theirs"))
     waits = pairs.join(members.select(F.col("node").alias("waiter"), "name"), "waiter").join(held, "holder").where("name = theirs")
     return waits.join(sizes, "name").select(F.col("name").alias("deadlock_id"), "participants", "waiter", "holder")
