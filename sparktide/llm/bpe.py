@@ -377,16 +377,26 @@ def read_vocabulary(path: str) -> str:
 
 
 def _with(df: DataFrame, source: F.Column, name: str, kind: T.DataType, make) -> DataFrame:
-    """``df`` with the column ``name`` made batch by batch from ``source``."""
+    """``df`` with the column ``name`` made value by value from ``source``."""
+
+    def each():
+        one = make()
+        return lambda values: [one(x) for x in values]
+
+    return _with_lists(df, source, name, kind, each)
+
+
+def _with_lists(df: DataFrame, source: F.Column, name: str, kind: T.DataType, make) -> DataFrame:
+    """``df`` with the column ``name`` made batch by batch from the list of the values of ``source``."""
     plain, names = set_aside(df.withColumn(_free(df), source))
     *kept, read_from = names.values()
     schema = T.StructType([*plain.schema.fields[:-1], T.StructField("made", kind)])
 
     def once():
-        one = make()
+        all_of = make()
 
         def step(batch: pa.RecordBatch) -> dict:
-            made = [one(x) for x in batch.column(read_from).to_pylist()]
+            made = all_of(batch.column(read_from).to_pylist())
             return {c: batch.column(c) for c in kept} | {"made": made}
 
         return step

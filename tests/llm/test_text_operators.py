@@ -79,6 +79,42 @@ def test_library_encoder_gives_the_librarys_ids(tokenizer_path, library):
         assert _ids(mine.encode(text)) == library.encode(text, add_special_tokens=False).ids
 
 
+def test_words_between_marks_are_encoded_once(tokenizer_path, library):
+    """What a word is written next to doesn't make it a new one for the library."""
+    mine = records.LibraryEncoder(bpe.read_vocabulary(tokenizer_path))
+    given, encode = [], mine._encode_words
+    mine._encode_words = lambda words: given.extend(words) or encode(words)
+    for i in range(50):
+        text = f"a thinonder{'#&%*'[i % 4] * (i // 4 + 1)} thinonder.\nThe{i}"
+        assert _ids(mine.encode(text)) == library.encode(text, add_special_tokens=False).ids
+    assert len([w for w in given if (w if isinstance(w, str) else w.decode()).startswith(" thinonder")]) == 1
+
+
+@pytest.mark.parametrize("remembered", [1, 20, 10_000])
+def test_full_tables_small_groups_and_windows_change_no_ids(tokenizer_path, library, monkeypatch, remembered):
+    monkeypatch.setattr(records, "REMEMBERED", remembered)
+    monkeypatch.setattr(records, "GROUP", 40)
+    monkeypatch.setattr(records, "WINDOW", 12)
+    mine = records.LibraryEncoder(bpe.read_vocabulary(tokenizer_path))
+    plain = [p for p in PIECES if p.isascii() and p.isprintable() and p != "<|endoftext|>"] + ["'ll", "'s", "\n", "À", "t", "v"]
+    rng = random.Random(6)
+    texts = ["".join(rng.choice(plain) for _ in range(rng.randint(0, 30))) for _ in range(1500)]
+    texts += [*_random_texts(500, 7), "thinonder " * 30, "x" * 100, "é×÷ª", "'s", "'", "s"]
+    for text, ids in zip(texts, mine.encode_all(texts), strict=True):
+        assert _ids(ids) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_words_in_use_survive_a_full_table(tokenizer_path, monkeypatch):
+    monkeypatch.setattr(records, "REMEMBERED", 30)
+    mine = records.LibraryEncoder(bpe.read_vocabulary(tokenizer_path))
+    given, encode = [], mine._encode_words
+    mine._encode_words = lambda words: given.extend(words) or encode(words)
+    for i in range(100):
+        mine.encode(f"x common w{i} {'long' * 30}{i}")
+    assert given.count(b" common") == 1
+    assert len(mine._young) <= 30 and len(mine._old) <= 30
+
+
 def test_records_round_trip(spark, docs_of, tokenizer_path, library):
     docs = docs_of([(i, t) for i, t in enumerate(_random_texts(200, 5), 10)] + ODD)
     index, path = records.write_documents(docs, tokenizer_path, end_id=0)
